@@ -1,7 +1,9 @@
-"""Money arithmetic in DECIMAL, returned as double.
+"""Exact money arithmetic over double columns.
 
-Binary floating point makes ``round(price * 1.18, 2)`` depend on the engine and sums depend on row
-order. Exact decimals give one answer whatever the partitioning.
+Binary floating point makes ``round(price * 1.18, 2)`` depend on the engine, and sums depend on row
+order. Here amounts are taken as millionths in a bigint, which keeps the work in primitive codegen,
+and as DECIMAL where they are too large for that; both give the same, exactly rounded result.
+NaN and infinite amounts count as null.
 """
 
 from __future__ import annotations
@@ -14,49 +16,105 @@ from pyspark.sql import functions as F
 from tierline import settings
 
 EXACT = "decimal(26,6)"
+MILLION = 10**6
+SAFE = 2**53  # integers up to here are exact as double too
 
 
 def exact(value: Column) -> Column:
-    """``value`` as a decimal; what is no finite number becomes null instead of failing the job."""
     return value.try_cast(EXACT)
 
 
-def to_cents(value: Column) -> Column:
-    """Half-up to two places, as double."""
-    return F.round(value, 2).cast("double")
+def millionths(value: Column) -> Column:
+    return F.rint(value * float(MILLION)).try_cast("bigint")
 
 
-def price_with_tax(price: Column, rate: Decimal = settings.TAX_RATE) -> Column:
-    return (exact(price) * F.lit(1 + rate)).cast("double")
+def _divided(amount: Column, unit: Column | int) -> Column:
+    """Bigint division, rounded half-up away from zero."""
+    unit = F.lit(unit).cast("bigint") if isinstance(unit, int) else unit
+    half_unit = F.call_function("div", unit, F.lit(2).cast("bigint"))
+    quotient = F.call_function("div", F.abs(amount) + half_unit, unit)
+    return F.when(amount < 0, -quotient).otherwise(quotient)
+
+
+def _cents(amount: Column, unit: int) -> Column:
+    """``amount`` in 1/unit parts as a double of two places."""
+    return _divided(amount, unit // 100) / F.lit(100.0)
+
+
+def _decimal_cents(amount: Column) -> Column:
+    return F.round(amount, 2).cast("double")
+
+
+def _factor_parts(factor: Decimal) -> tuple[int, int]:
+    """The factor as an integer over a power of ten."""
+    scale = 10 ** max(0, -factor.as_tuple().exponent)
+    return int(factor * scale), scale
 
 
-def revenue(price: Column) -> Column:
-    return to_cents(exact(price))
+def revenue(price: Column, factor: Decimal = Decimal(1)) -> Column:
+    """``price`` times ``factor``, rounded to two places."""
+    numerator, scale = _factor_parts(factor)
+    product = millionths(price) * F.lit(numerator)
+    return F.when(
+        F.abs(price) < SAFE // (MILLION * numerator), _cents(product, MILLION * scale)
+    ).otherwise(_decimal_cents(exact(price) * F.lit(factor)))
 
 
 def revenue_with_tax(price: Column, rate: Decimal = settings.TAX_RATE) -> Column:
-    return to_cents(exact(price) * F.lit(1 + rate))
+    return revenue(price, 1 + rate)
+
+
+def price_with_tax(price: Column, rate: Decimal = settings.TAX_RATE) -> Column:
+    """Unrounded."""
+    numerator, scale = _factor_parts(1 + rate)
+    product = millionths(price) * F.lit(numerator)
+    return F.when(
+        F.abs(price) < SAFE // (MILLION * numerator), product / F.lit(float(MILLION * scale))
+    ).otherwise((exact(price) * F.lit(1 + rate)).cast("double"))
 
 
 def net_revenue(price: Column, discount: Column | None = None) -> Column:
     """Revenue after a fractional discount; without one it equals ``revenue``."""
     if discount is None:
         return revenue(price)
-    return to_cents(exact(price) * (F.lit(1) - exact(discount)))
+    return _product(price, F.lit(1) - discount)
 
 
 def inventory_value(price: Column, quantity: Column) -> Column:
-    return to_cents(exact(price) * quantity)
+    """``price`` times a whole quantity, rounded to two places."""
+    product = millionths(price) * quantity
+    return F.when(F.abs(price * quantity) < SAFE // MILLION, _cents(product, MILLION)).otherwise(
+        _decimal_cents(exact(price) * quantity)
+    )
+
+
+def _product(left: Column, right: Column) -> Column:
+    product = millionths(left) * millionths(right)
+    return F.when(F.abs(left * right) < SAFE // MILLION**2, _cents(product, MILLION**2)).otherwise(
+        _decimal_cents(exact(left) * exact(right))
+    )
 
 
 def price_change(price: Column, previous: Column) -> Column:
     """Difference to the previous price; 0 where there is none."""
-    return to_cents(exact(price) - exact(F.coalesce(previous, price)))
+    previous = F.coalesce(previous, price)
+    change = millionths(price) - millionths(previous)
+    return F.when(
+        F.greatest(F.abs(price), F.abs(previous)) < SAFE // MILLION, _cents(change, MILLION)
+    ).otherwise(_decimal_cents(exact(price) - exact(previous)))
+
+
+def _exact_sum(value: Column) -> Column:
+    """Aggregate: the sum as a decimal, from two bigint sums: whole units, and millionths."""
+    value = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+    whole = F.floor(value)
+    fraction = F.rint((value - whole) * float(MILLION)).cast("bigint")
+    return F.sum(whole).cast("decimal(20,0)") + F.sum(fraction).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
 
 
 def total(value: Column) -> Column:
     """Aggregate: exact sum, rounded to two places."""
-    return to_cents(F.sum(exact(value)))
+    return _decimal_cents(_exact_sum(value))
 
 
 def mean(value: Column) -> Column:
@@ -65,6 +123,7 @@ def mean(value: Column) -> Column:
     ``round(avg(x), 2)`` rounds twice, first to the scale of the quotient. Integer division of the
     exact sum rounds once.
     """
-    amount, rows = F.sum(exact(value)), F.count(exact(value))
+    amount = _exact_sum(value)
+    rows = F.count(F.nanvl(value.cast("double"), F.lit(None).cast("double")))
     hundredths = F.call_function("div", F.abs(amount) * 200 + rows, F.nullif(rows * 2, F.lit(0)))
     return F.when(amount < 0, -hundredths).otherwise(hundredths) / F.lit(100.0)

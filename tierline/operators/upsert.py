@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators.clean import dedup_latest
+from tierline.operators.layout import write_partitioned
+from tierline.session import stage
 
 
 def one_per_key(new: DataFrame, pk: str, latest: list[str] | None = None) -> DataFrame:
@@ -33,3 +37,32 @@ def merge_frames(
         fresh = fresh.join(kept_values, pk, "left")
     untouched = old.join(new.select(pk), pk, "left_anti")
     return untouched.unionByName(fresh, allowMissingColumns=True)
+
+
+def merge_into_partitions(
+    spark: SparkSession,
+    path: str,
+    new: DataFrame,
+    pk: str,
+    partition_by: list[str],
+    latest: list[str] | None = None,
+) -> None:
+    """Upsert ``new`` into the partitioned Parquet table at ``path``, rewriting only touched folders.
+
+    For tables far larger than what arrives. A key must stay in its partition, so ``partition_by``
+    has to be fixed per key (an order's month); a key that moved raises an error before anything is
+    written. Merged rows are staged first, as a folder cannot be overwritten while it is read; a run
+    that dies can simply be repeated.
+    """
+    table = spark.read.parquet(path)
+    fresh = one_per_key(new, pk, latest)
+    arriving = fresh.filter(F.col(pk).isNotNull()).select(
+        F.col(pk).alias("__pk"), *[F.col(c).alias(f"__new_{c}") for c in partition_by]
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__new_{c}")) for c in partition_by])
+    places = table.select(pk, *partition_by)
+    if not places.join(arriving, F.col(pk) == F.col("__pk")).filter(~same).isEmpty():
+        raise ValueError(f"a {pk} changed its partition; load this table as snapshots instead")
+    touched = fresh.select(*[F.col(c).alias(f"__new_{c}") for c in partition_by]).distinct()
+    old = table.join(touched, same, "left_semi")
+    write_partitioned(stage(merge_frames(old, fresh, pk, unique=True), "merge"), path, partition_by)

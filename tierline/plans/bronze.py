@@ -9,6 +9,7 @@ from tierline.functions.dates import parse_timestamp
 from tierline.operators.audit import stamp_raw
 from tierline.settings import Run
 from tierline.sources.files import read_csv, read_json_records
+from tierline.sources.jdbc import read_jdbc_partitioned
 
 # Input schemas and the defaults of absent fields.
 ORDER_RECORD = (
@@ -37,11 +38,21 @@ def orders_from_json(spark: SparkSession, path: str, run: Run = Run(), source: s
     return stamp_raw(dated, "api", run.ts)
 
 
-def products_from_csv(spark: SparkSession, path: str, run: Run = Run(), **options) -> DataFrame:
-    return stamp_raw(read_csv(spark, path, PRODUCT_SCHEMA, **options), "csv", run.ts)
+def products_from_csv(
+    spark: SparkSession, path: str, run: Run = Run(), source: str = "csv", **options
+) -> DataFrame:
+    return stamp_raw(read_csv(spark, path, PRODUCT_SCHEMA, **options), source, run.ts)
 
 
-def customers_from_table(table: DataFrame, run: Run = Run()) -> DataFrame:
+def customers_from_table(table: DataFrame, run: Run = Run(), source: str = "database") -> DataFrame:
     """``table`` as read from the database, with its date texts parsed."""
     parsed = {name: parse_timestamp(F.col(name)) for name in ("signup_date", "updated_at")}
-    return stamp_raw(table.withColumns(parsed), "database", run.ts)
+    return stamp_raw(table.withColumns(parsed), source, run.ts)
+
+
+def customers_from_jdbc(
+    spark: SparkSession, url: str, table: str, bounds: tuple[int, int], partitions: int, run: Run = Run()
+) -> DataFrame:
+    """Customers read as ``partitions`` ranges of customer_id; ``bounds`` are its lowest and highest."""
+    rows = read_jdbc_partitioned(spark, url, table, "customer_id", *bounds, partitions)
+    return customers_from_table(rows, run)

@@ -47,16 +47,20 @@ def _by_type(mapping: dict[str, str]) -> Column:
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Raw orders: line items with their part."""
-    lines = load(spark, sf, "lineitem").join(
-        load(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")
+    part = load(spark, sf, "part").select(
+        "p_partkey",
+        F.col("p_name").alias("product_name"),
+        _by_type(RAW_CATEGORIES).alias("category"),
+        (F.col("p_size") / 10).alias("rating_rate"),
     )
+    lines = load(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
     return lines.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        _by_type(RAW_CATEGORIES).alias("category"),
+        "product_name",
+        "category",
         F.col("l_extendedprice").alias("price"),
-        (F.col("p_size") / 10).alias("rating_rate"),
+        "rating_rate",
         F.col("l_quantity").cast("int").alias("rating_count"),
         F.col("l_shipdate").alias("order_date"),
         F.lit(" Web ").alias("source"),

@@ -179,6 +179,8 @@ FROM best LEFT JOIN dim_product USING (product_id)"""
 # --- Marts, star ------------------------------------------------------------------------------
 ORACLES["sales_by_category"] = f"""WITH {SALE_LINES}
 SELECT category, order_year, order_month, {_CATEGORY_METRICS} FROM sale_lines GROUP BY ALL"""
+ORACLES["sales_by_category_estimate"] = f"""SELECT * EXCLUDE (unique_products)
+FROM ({ORACLES["sales_by_category"]})"""
 ORACLES["sales_by_date"] = f"""WITH {SALE_LINES}
 SELECT order_year, order_month, order_day, is_weekend, {_total("revenue")} AS daily_revenue,
   count(order_id) AS daily_orders, {_mean("unit_price")} AS avg_order_value,
@@ -284,20 +286,33 @@ SELECT order_id, product_id, category, rating_rate,
 ORACLES["rank_by_price"] = f"""WITH {RAW_ORDERS}
 SELECT order_id, category, price, dense_rank() OVER (PARTITION BY category ORDER BY price) AS price_rank
 FROM raw_orders"""
-ORACLES["inventory_rank"] = ORACLES["inventory_rank_sliced"] = f"""WITH {RAW_PRODUCTS}, valued AS (
+ORACLES["inventory_rank"] = f"""WITH {RAW_PRODUCTS}, valued AS (
   SELECT product_id, updated_at, category, {_cents(_exact("price") + " * stock_qty")} AS inventory_value
   FROM raw_products)
 SELECT *, row_number() OVER (PARTITION BY category ORDER BY inventory_value DESC, product_id, updated_at)
   AS inventory_rank FROM valued"""
 ORACLES["seniority_rank"] = f"""WITH {SILVER_CUSTOMERS}
 SELECT customer_id, region, tenure_days, seniority_rank FROM customers_transformed"""
-ORACLES["price_change"] = ORACLES["price_change_sliced"] = f"""WITH lagged AS (
+ORACLES["price_change"] = f"""WITH lagged AS (
   SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice,
     lag(l_extendedprice) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey,
       l_quantity, l_extendedprice) AS prev_price FROM lineitem)
 SELECT *, {_cents(f"{_exact('l_extendedprice')} - {_exact('coalesce(prev_price, l_extendedprice)')}")} AS price_change
 FROM lagged"""
 
+_LINES = """l_returnflag, l_shipdate, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+  l_discount, l_tax"""
+_LINE_ORDER = _LINES.removeprefix("l_returnflag, l_shipdate, ")
+ORACLES["number_in_hot_groups"] = f"""SELECT {_LINES}, row_number() OVER (PARTITION BY l_returnflag
+  ORDER BY l_shipdate DESC, {_LINE_ORDER}) AS line_rank FROM lineitem"""
+ORACLES["rank_in_hot_groups"] = """SELECT l_returnflag, l_orderkey, l_extendedprice,
+  dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC) AS price_rank FROM lineitem"""
+ORACLES["price_change_in_hot_groups"] = f"""WITH lagged AS (
+  SELECT {_LINES}, lag(l_extendedprice) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, {_LINE_ORDER}) AS prev_price
+  FROM lineitem)
+SELECT *, {_cents(f"{_exact('l_extendedprice')} - {_exact('coalesce(prev_price, l_extendedprice)')}")} AS price_change
+FROM lagged"""
+
 # --- Incremental ------------------------------------------------------------------------------
 ORACLES["upsert_orders"] = MERGED
 ORACLES["incremental_two_runs"] = MERGED
@@ -307,6 +322,8 @@ ORACLES["upsert_new_columns"] = f"""WITH {BASE}, {LATER}
 SELECT l.o_orderkey, l.o_custkey, l.o_orderstatus, l.o_totalprice, l.o_orderdate, b.o_orderpriority, 'web' AS o_channel
 FROM later l LEFT JOIN base b ON l.o_orderkey = b.o_orderkey WHERE l.o_orderstatus = 'F'
 UNION ALL SELECT *, NULL FROM base WHERE o_orderstatus <> 'F'"""
+ORACLES["upsert_partitions"] = """SELECT * REPLACE (
+  CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM orders"""
 ORACLES["incremental_slice"] = "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1999-06-30'"
 ORACLES["incremental_slice_inclusive"] = "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1999-06-30'"
 ORACLES["high_mark_state"] = """SELECT 'orders' AS table_name,

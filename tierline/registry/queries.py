@@ -41,6 +41,13 @@ def sales_by_category(spark, sf):
     return _business(gold.sales_by_category(inputs.sale_lines(spark, sf), RUN))
 
 
+@query
+def sales_by_category_estimate(spark, sf):
+    """The mart with estimated distinct counts, which need one shuffle less; the estimate is left out."""
+    mart = gold.sales_by_category(inputs.sale_lines(spark, sf), RUN, estimate_distinct=True)
+    return _business(mart).drop("unique_products")
+
+
 @query
 def sales_by_date(spark, sf):
     return _business(gold.sales_by_date(inputs.sale_lines(spark, sf), RUN))
@@ -399,44 +406,59 @@ def inventory_rank(spark, sf):
     return windows.number_within(rows, ["category"], order, "inventory_rank")
 
 
-@query
-def inventory_rank_sliced(spark, sf):
-    """The same numbers from groups split over tasks."""
-    value = money.inventory_value(F.col("price"), F.col("stock_qty")).alias("inventory_value")
-    rows = inputs.products(spark, sf).select("product_id", "updated_at", "category", value)
-    order = [F.desc("inventory_value"), F.asc("product_id"), F.asc("updated_at")]
-    return windows.number_within(rows, ["category"], order, "inventory_rank", rows_per_task=100)
+LINE_ORDER = [
+    "l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax",
+]
+
+
+def _sixteenth(df: DataFrame) -> int:
+    """A bound that the three return flags exceed, each holding a third of the rows."""
+    return max(1, df.count() // 16)
 
 
 @query
-def seniority_rank(spark, sf):
-    days = dates.tenure_days(F.col("signup_date"), RUN.as_of).alias("tenure_days")
-    region = labels.region(text.raised(F.col("country"))).alias("region")
-    rows = inputs.customers(spark, sf).select("customer_id", region, days)
-    return windows.dense_rank_within(rows, ["region"], "tenure_days", "seniority_rank")
+def number_in_hot_groups(spark, sf):
+    lines = load(spark, sf, "lineitem").select("l_returnflag", *LINE_ORDER)
+    order = [F.desc("l_shipdate"), *[F.asc(c) for c in LINE_ORDER[1:]]]
+    return windows.number_within(lines, ["l_returnflag"], order, "line_rank", _sixteenth(lines))
 
 
-PRICE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice"]
+@query
+def rank_in_hot_groups(spark, sf):
+    lines = load(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_extendedprice")
+    return windows.dense_rank_within(
+        lines, ["l_returnflag"], "l_extendedprice", "price_rank", rows_per_task=_sixteenth(lines)
+    )
 
 
-def _price_changes(spark, sf, rows_per_task):
-    lines = load(spark, sf, "lineitem").select("l_partkey", *PRICE_ORDER)
+@query
+def price_change_in_hot_groups(spark, sf):
+    lines = load(spark, sf, "lineitem").select("l_returnflag", *LINE_ORDER)
     rows = windows.previous_within(
-        lines, ["l_partkey"], PRICE_ORDER, "l_extendedprice", "prev_price", rows_per_task
+        lines, ["l_returnflag"], LINE_ORDER, "l_extendedprice", "prev_price", _sixteenth(lines)
     )
     change = money.price_change(F.col("l_extendedprice"), F.col("prev_price"))
     return rows.withColumn("price_change", change)
 
 
 @query
-def price_change(spark, sf):
-    return _price_changes(spark, sf, windows.settings.ROWS_PER_TASK)
+def seniority_rank(spark, sf):
+    days = dates.tenure_days(F.col("signup_date"), RUN.as_of).alias("tenure_days")
+    region = labels.region(text.raised(F.col("country"))).alias("region")
+    rows = inputs.customers(spark, sf).select("customer_id", region, days)
+    return windows.dense_rank_within(rows, ["region"], "tenure_days", "seniority_rank")
+
+
+PRICE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 
 @query
-def price_change_sliced(spark, sf):
-    """The same changes from groups split over tasks."""
-    return _price_changes(spark, sf, 20)
+def price_change(spark, sf):
+    lines = load(spark, sf, "lineitem").select("l_partkey", *PRICE_ORDER)
+    rows = windows.previous_within(lines, ["l_partkey"], PRICE_ORDER, "l_extendedprice", "prev_price")
+    change = money.price_change(F.col("l_extendedprice"), F.col("prev_price"))
+    return rows.withColumn("price_change", change)
 
 
 # --- Incremental ------------------------------------------------------------------------------
@@ -457,6 +479,18 @@ def upsert_new_columns(spark, sf):
     return upsert.merge_frames(inputs.base_orders(spark, sf), delta, "o_orderkey", ["o_orderdate"])
 
 
+@query
+def upsert_partitions(spark, sf):
+    """Re-priced urgent orders merged into a table partitioned by priority."""
+    path = scratch_path(spark, "merged")
+    orders = load(spark, sf, "orders")
+    layout.write_partitioned(orders, path, ["o_orderpriority"])
+    urgent = orders.filter(F.col("o_orderpriority") == "1-URGENT")
+    changed = urgent.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    upsert.merge_into_partitions(spark, path, changed, "o_orderkey", ["o_orderpriority"], ["o_orderdate"])
+    return spark.read.parquet(path)
+
+
 @query
 def incremental_slice(spark, sf):
     return incremental.rows_after(load(spark, sf, "orders"), "o_orderdate", "1999-06-30")

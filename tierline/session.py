@@ -14,6 +14,7 @@ def local_session(app: str = "tierline", cpus: int | str = "*", shuffle_partitio
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -18,6 +18,7 @@ from tierline import settings
 EXACT = "decimal(26,6)"
 MILLION = 10**6
 SAFE = 2**53  # integers up to here are exact as double too
+LONG = 2**62  # products up to here fit a bigint with room for rounding
 
 
 def exact(value: Column) -> Column:
@@ -90,7 +91,7 @@ def inventory_value(price: Column, quantity: Column) -> Column:
 
 def _product(left: Column, right: Column) -> Column:
     product = millionths(left) * millionths(right)
-    return F.when(F.abs(left * right) < SAFE // MILLION**2, _cents(product, MILLION**2)).otherwise(
+    return F.when(F.abs(left * right) < LONG // MILLION**2, _cents(product, MILLION**2)).otherwise(
         _decimal_cents(exact(left) * exact(right))
     )
 

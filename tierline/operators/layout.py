@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DateType, StringType, TimestampNTZType, TimestampType
 
 from tierline import settings
+from tierline.operators.quality import table_stats
 
 _Z = "__z"
 _SALT = "__salt"
@@ -34,17 +35,12 @@ def read_evolved(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.sum("file_size")).first()[0] or 0
-
-
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = settings.FILE_BYTES) -> None:
     """Rewrite many small files as few of about ``file_bytes``, without a shuffle.
 
     A scan already packs small files into splits; coalescing joins neighbouring splits.
     """
-    files = max(1, math.ceil(total_bytes(spark, source) / file_bytes))
+    files = max(1, math.ceil(table_stats(spark, source).first()["bytes"] / file_bytes))
     spark.read.parquet(source).coalesce(files).write.parquet(target)
 
 
@@ -63,31 +59,41 @@ def _ordinal(column: str, data_type: DataType) -> Column:
     return value.cast("double")
 
 
-def _position(value: Column, bounds: list[float], low: int = 0) -> Column:
-    """How many of the ascending ``bounds`` lie at or below ``value``, by bisection."""
+def _by_bounds(value: Column, bounds: list[float], results: list[int]) -> Column:
+    """The result for the interval of the ascending ``bounds`` that holds ``value``, by bisection."""
     if not bounds:
-        return F.lit(low)
+        return F.lit(results[0]).cast("bigint")
     middle = len(bounds) // 2
-    return F.when(value < bounds[middle], _position(value, bounds[:middle], low)).otherwise(
-        _position(value, bounds[middle + 1 :], low + middle + 1)
-    )
+    return F.when(
+        value < bounds[middle], _by_bounds(value, bounds[:middle], results[: middle + 1])
+    ).otherwise(_by_bounds(value, bounds[middle + 1 :], results[middle + 1 :]))
+
+
+def _spread(position: int, bits: int, stride: int, offset: int) -> int:
+    """The bits of ``position`` moved ``stride`` apart."""
+    return sum(((position >> bit) & 1) << (bit * stride + offset) for bit in range(bits))
 
 
-def z_value(df: DataFrame, columns: list[str], bits: int = 5, error: float = 0.01) -> Column:
-    """The interleaved bits of each column's quantile position; nulls sort first.
+def with_z_value(
+    df: DataFrame, columns: list[str], name: str, bits: int = 5, sampled: float = 1.0
+) -> DataFrame:
+    """Adds the interleaved bits of each column's quantile position; nulls sort first.
 
-    Quantiles rather than raw values make each bit halve the rows, whatever the distribution.
+    Quantiles rather than raw values make each bit halve the rows, whatever the distribution. They
+    are taken from a share of the rows, as they only shape the layout, and leave at most ``2**bits``
+    numbers per column on the driver.
     """
-    ordinals = df.select(*[_ordinal(c, df.schema[c].dataType).alias(c) for c in columns])
+    ordinals = {f"__ordinal_{c}": _ordinal(c, df.schema[c].dataType) for c in columns}
+    numbered = df.withColumns(ordinals)
+    measured = numbered if sampled >= 1 else numbered.sample(sampled, seed=1)
     steps = [i / 2**bits for i in range(1, 2**bits)]
     z = F.lit(0).cast("bigint")
-    for index, bounds in enumerate(ordinals.approxQuantile(columns, steps, error)):
-        value = _ordinal(columns[index], df.schema[columns[index]].dataType)
-        position = F.when(value.isNull(), 0).otherwise(_position(value, sorted(set(bounds))))
-        for bit in range(bits):
-            one = F.shiftright(position, bit).bitwiseAND(F.lit(1)).cast("bigint")
-            z = z.bitwiseOR(F.shiftleft(one, bit * len(columns) + index))
-    return z
+    for index, bounds in enumerate(measured.approxQuantile(list(ordinals), steps, 0.01)):
+        value, bounds = F.col(f"__ordinal_{columns[index]}"), sorted(set(bounds))
+        results = [_spread(position, bits, len(columns), index) for position in range(len(bounds) + 1)]
+        part = F.when(value.isNull(), 0).otherwise(_by_bounds(value, bounds, results))
+        z = z.bitwiseOR(part.cast("bigint"))
+    return numbered.withColumn(name, z).drop(*ordinals)
 
 
 def zorder(
@@ -104,10 +110,12 @@ def zorder(
     a salt that is stable when a task runs again.
     """
     table = spark.read.parquet(source)
-    files = max(1, math.ceil(total_bytes(spark, source) / file_bytes))
+    stats = table_stats(spark, source).first()
+    files = max(1, math.ceil(stats["bytes"] / file_bytes))
+    sampled = settings.QUANTILE_ROWS / max(1, stats["rows"])
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     (
-        table.withColumns({_Z: z_value(table, columns, bits), _SALT: place})
+        with_z_value(table.withColumn(_SALT, place), columns, _Z, bits, sampled)
         .repartitionByRange(files, _Z, _SALT)
         .sortWithinPartitions(_Z)
         .drop(_Z, _SALT)

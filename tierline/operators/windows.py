@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline import settings
+from tierline import session, settings
 from tierline.operators.joins import broadcast_if, measured_bytes, null_safe_join
 from tierline.operators.slices import ROW, SLICE, group_sizes, slice_groups
 
+MIN_REPEAT = 20  # rows per distinct value from which ranking the values beats ranking the rows
+
 
 def number_within(
     df: DataFrame,
@@ -60,22 +62,27 @@ def dense_rank_within(
 ) -> DataFrame:
     """dense_rank of ``by`` in each group; nulls rank last when descending.
 
-    A dense rank depends on the distinct values only. These are numbered and joined back, so the
-    rows themselves are neither sorted nor, while the values are few, shuffled.
+    Values that hardly repeat take one window over the rows. Otherwise the distinct values are ranked
+    and joined back: the rows are then neither sorted nor, while the values fit a broadcast, shuffled.
+    So it also goes for a group too large for one task, whose distinct values are sliced if need be.
     """
-    pair = [*keys, by]
-    values = df.select(*pair).distinct()
     order = [F.desc(by) if descending else F.asc(by)]
-    if rows_per_task is None:
-        return null_safe_join(df, number_within(values, keys, order, name, None), pair)
-    groups = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), measured_bytes(pair, df).alias("size"))
-    largest, rows, size = groups.agg(F.max("n"), F.sum("n"), F.sum("size")).first()
-    if (largest or 0) > rows_per_task:
-        ranked = _number_sliced(values, keys, order, name, rows, rows_per_task)
-    else:
-        ranked = number_within(values, keys, order, name, None)
-    ranked = broadcast_if(ranked, size or 0)
-    return null_safe_join(df, ranked, pair)
+    if rows_per_task is None or _window_suffices(df, keys, by, rows_per_task):
+        rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn(name, rank.cast("bigint"))
+    pair = [*keys, by]
+    values = session.stage(df.select(*pair).distinct(), "values")
+    size = values.agg(measured_bytes(pair, values)).first()[0] or 0
+    ranked = number_within(values, keys, order, name, rows_per_task)
+    return null_safe_join(df, broadcast_if(ranked, size), pair)
+
+
+def _window_suffices(df: DataFrame, keys: list[str], by: str, rows_per_task: int) -> bool:
+    """No group is too large for one task, and ranking distinct values instead would not pay."""
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(by).alias("values"))
+    found = groups.agg(F.max("n"), F.sum("n"), F.sum("values")).first()
+    largest, rows, values = (value or 0 for value in found)
+    return largest <= rows_per_task and values * MIN_REPEAT > rows
 
 
 def previous_within(

@@ -13,7 +13,7 @@ from tierline.operators import audit, clean, incremental, joins, layout, quality
 from tierline.plans import bronze, gold, silver
 from tierline.registry import inputs
 from tierline.registry.inputs import RUN, load
-from tierline.session import scratch_path
+from tierline.session import scratch_path, stage
 from tierline.sources import files, tables
 from tierline.streaming.load import stream_upsert
 
@@ -99,7 +99,8 @@ def dim_date(spark, sf):
 
 
 def _silver_orders(spark, sf):
-    return silver.transform_orders(silver.clean_orders(inputs.order_lines(spark, sf), RUN), RUN)
+    cleaned = stage(silver.clean_orders(inputs.order_lines(spark, sf), RUN), "silver_orders")
+    return silver.transform_orders(cleaned, RUN)
 
 
 @query

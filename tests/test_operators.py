@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tierline.operators import clean, incremental, joins, layout, quality, upsert, windows
+from tierline.operators import clean, incremental, joins, layout, quality, slices, upsert, windows
 from tierline.session import scratch_path, stage
 from tierline.streaming.load import stream_upsert
 
@@ -95,13 +95,14 @@ def test_sliced_previous_equals_plain_previous(spark, skewed):
 
 def test_no_task_gets_a_whole_hot_group(spark, skewed):
     """Even equal rows spread: all keys and orders the same."""
-    from tierline.operators.slices import SLICE, slice_groups
-
     copies = spark.range(4000).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
-    sizes = slice_groups(copies, ["k"], [F.asc("v")], 4000, 500).groupBy(SLICE).count()
+    assert slices.split_hot(copies, ["k"], 500)[2] == 4000
+    sizes = slices.slice_groups(copies, ["k"], [F.asc("v")], 4000, 500).groupBy(slices.SLICE).count()
     assert sizes.agg(F.max("count")).first()[0] < 1000
     numbered = windows.number_within(copies, ["k"], [F.asc("v")], "n", 500)
     assert numbered.agg(F.countDistinct("n"), F.max("n")).first()[:] == (4000, 4000)
+    everywhere = windows.number_within(copies, [], [F.asc("v")], "n", 500)
+    assert everywhere.agg(F.countDistinct("n"), F.max("n")).first()[:] == (4000, 4000)
 
 
 def test_few_values_are_ranked_without_sorting_rows(spark):
@@ -154,9 +155,21 @@ def test_partition_merge_leaves_other_folders_alone(spark):
     assert found.count() == 31
     assert rows(found.filter("v != 'old'").select("k", "p", "v")) == [(1, 1, "new"), (100, 1, "newer")]
     moved = spark.createDataFrame([(1, 2, "moved")], base.schema)
-    with pytest.raises(ValueError):
-        upsert.merge_into_partitions(spark, path, moved, "k", ["p"])
-    assert spark.read.parquet(path).count() == 31
+    upsert.merge_into_partitions(spark, path, moved, "k", ["p"])
+    found = spark.read.parquet(path)
+    assert found.count() == 31
+    assert rows(found.filter("k = 1").select("k", "p", "v")) == [(1, 2, "moved")]
+
+
+def test_partition_merge_drops_emptied_folders(spark):
+    path = scratch_path(spark, "emptied")
+    base = spark.createDataFrame([(1, "a b"), (2, None), (3, "c")], "k int, p string")
+    layout.write_partitioned(base.withColumn("v", F.lit(0)), path, ["p"])
+    delta = spark.createDataFrame([(1, "c", 1), (2, "d", 1)], "k int, p string, v int")
+    for _ in range(2):
+        upsert.merge_into_partitions(spark, path, delta, "k", ["p"])
+        found = rows(spark.read.parquet(path).select("k", "p", "v"))
+        assert found == [(1, "c", 1), (2, "d", 1), (3, "c", 0)]
 
 
 DAY = dt.datetime(2024, 1, 1)

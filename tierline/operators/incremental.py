@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline import settings
-from tierline.operators.upsert import merge_frames, one_per_key
+from tierline.operators.layout import write_partitioned
+from tierline.operators.upsert import merge_frames, merge_into_partitions, one_per_key
 
 STATE_SCHEMA = "table_name string, last_watermark string, seq bigint, snapshot string"
 
+IN_PLACE = "data"  # the folder of a table that is updated partition by partition
+
 
 class State(NamedTuple):
     mark: str | None
@@ -95,12 +98,14 @@ def load(
     mark_col: str | None = None,
     pk: str | None = None,
     inclusive: bool = False,
+    partition_by: list[str] | None = None,
 ) -> State:
     """Bring ``table`` up to date with source ``df``.
 
     ``full_load`` replaces the rows. ``incremental`` takes the rows beyond the mark, upserts them by
     ``pk`` and moves the mark. The new mark is read before the rows are, so rows that arrive in
-    between are loaded again next time rather than lost.
+    between are loaded again next time rather than lost. With ``partition_by`` a run rewrites only
+    the folders it touches, in place, instead of a whole new snapshot.
     """
     spark = df.sparkSession
     if mode == "full_load":
@@ -110,12 +115,35 @@ def load(
     last = read_state(spark, root, table)
     fresh = rows_after(df, mark_col, last.mark if last else None, inclusive)
     mark = high_mark(fresh, mark_col)
-    if last is None:
-        return commit(spark, one_per_key(fresh, pk, [mark_col]), root, table, mark)
-    if mark is None:
+    if last is not None and mark is None:
         return last
-    merged = merge_frames(current(spark, root, table), fresh, pk, [mark_col])
-    return commit(spark, merged, root, table, mark)
+    return upsert_rows(spark, fresh, root, table, pk, [mark_col], mark, partition_by)
+
+
+def upsert_rows(
+    spark: SparkSession,
+    fresh: DataFrame,
+    root: str,
+    table: str,
+    pk: str,
+    latest: list[str],
+    mark: str | None,
+    partition_by: list[str] | None = None,
+) -> State:
+    """Upsert ``fresh`` into the table, as a new snapshot or folder by folder, and commit ``mark``."""
+    last = read_state(spark, root, table)
+    if partition_by is None:
+        old = current(spark, root, table)
+        merged = one_per_key(fresh, pk, latest) if old is None else merge_frames(old, fresh, pk, latest)
+        return commit(spark, merged, root, table, mark)
+    path = f"{root}/{table}/{IN_PLACE}"
+    if last is None:
+        write_partitioned(one_per_key(fresh, pk, latest), path, partition_by)
+    else:
+        merge_into_partitions(spark, path, fresh, pk, partition_by, latest)
+    state = State(mark, last.seq + 1 if last else 1, IN_PLACE)
+    write_state(spark, root, table, state)
+    return state
 
 
 def load_configured(df: DataFrame, root: str, table: str) -> State:

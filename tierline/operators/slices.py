@@ -1,8 +1,8 @@
 """Splitting window groups that are too large for one task.
 
-A window sorts each group in a single task. Where one group holds a large share of the rows, the
-rows are range-partitioned by (group, order) instead, so that a group runs on over neighbouring
-slices; what a slice needs from those before it is one row per (group, slice).
+A window sorts each group in a single task. Rows of a group that is too large for that are
+range-partitioned by (group, order) instead, so that the group runs on over neighbouring slices;
+what a slice needs from those before it is one row per (group, slice).
 """
 
 from __future__ import annotations
@@ -13,15 +13,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline import session
+from tierline.operators.joins import broadcast_if, measured_bytes, null_safe_join
 
 ROW = "__row"
 SLICE = "__slice"
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(rows of the largest group, rows in all): one pre-aggregated pass over the key columns."""
-    found = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-    return found[0] or 0, found[1] or 0
+def split_hot(
+    df: DataFrame, keys: list[str], rows_per_task: int
+) -> tuple[DataFrame | None, DataFrame | None, int]:
+    """``df`` as (rows of ordinary groups, rows of too large groups, how many the latter are).
+
+    Measuring is one pre-aggregated pass over the key columns. There can be no more than
+    rows / rows_per_task large groups, so their keys are few.
+    """
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    large = groups.filter(F.col("__rows") > rows_per_task)
+    if not keys:
+        rows = groups.first()[0]
+        return (None, df, rows) if rows > rows_per_task else (df, None, 0)
+    rows, size = large.agg(F.sum("__rows"), measured_bytes(keys, large)).first()
+    if rows is None:
+        return df, None, 0
+    hot = broadcast_if(session.stage(large.select(*keys), "hot"), size)
+    return null_safe_join(df, hot, keys, "left_anti"), null_safe_join(df, hot, keys, "left_semi"), rows
 
 
 def slice_groups(

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators.clean import dedup_latest
+from tierline.operators.joins import null_safe_join
 from tierline.operators.layout import write_partitioned
 from tierline.session import stage
 
@@ -49,20 +48,32 @@ def merge_into_partitions(
 ) -> None:
     """Upsert ``new`` into the partitioned Parquet table at ``path``, rewriting only touched folders.
 
-    For tables far larger than what arrives. A key must stay in its partition, so ``partition_by``
-    has to be fixed per key (an order's month); a key that moved raises an error before anything is
-    written. Merged rows are staged first, as a folder cannot be overwritten while it is read; a run
-    that dies can simply be repeated.
+    For tables far larger than what arrives. Touched are the folders that new rows go to and those
+    that replaced rows leave. Finding the latter reads the key column only, and no more where
+    ``partition_by`` derives from the key. Merged rows are staged first, as a folder cannot be
+    overwritten while it is read. Readers may see folders change one by one; a run that dies can
+    simply be repeated.
     """
     table = spark.read.parquet(path)
     fresh = one_per_key(new, pk, latest)
-    arriving = fresh.filter(F.col(pk).isNotNull()).select(
-        F.col(pk).alias("__pk"), *[F.col(c).alias(f"__new_{c}") for c in partition_by]
-    )
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__new_{c}")) for c in partition_by])
-    places = table.select(pk, *partition_by)
-    if not places.join(arriving, F.col(pk) == F.col("__pk")).filter(~same).isEmpty():
-        raise ValueError(f"a {pk} changed its partition; load this table as snapshots instead")
-    touched = fresh.select(*[F.col(c).alias(f"__new_{c}") for c in partition_by]).distinct()
-    old = table.join(touched, same, "left_semi")
-    write_partitioned(stage(merge_frames(old, fresh, pk, unique=True), "merge"), path, partition_by)
+    leaving = table.select(pk, *partition_by).join(new.select(pk), pk, "left_semi")
+    places = fresh.select(*partition_by).union(leaving.select(*partition_by)).distinct()
+    touched = stage(places, "touched")
+    old = null_safe_join(table, touched, partition_by, "left_semi")
+    merged = stage(merge_frames(old, fresh, pk, unique=True), "merge")
+    write_partitioned(merged, path, partition_by)
+    emptied = null_safe_join(touched, merged.select(*partition_by), partition_by, "left_anti")
+    _drop_rows_of(spark, path, emptied, partition_by)
+
+
+def _drop_rows_of(spark: SparkSession, path: str, places: DataFrame, partition_by: list[str]) -> None:
+    """Delete the files of folders that lost all their rows; an overwrite leaves such folders as they are."""
+    if places.isEmpty():
+        return
+    stale = null_safe_join(spark.read.parquet(path), places, partition_by, "left_semi")
+    files = stale.select(F.col("_metadata.file_path").alias("file")).distinct()
+    for row in files.toLocalIterator():
+        # the metadata column holds the path as an encoded URI
+        file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["file"]))
+        if not file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False):
+            raise OSError(f"could not delete {row['file']}")

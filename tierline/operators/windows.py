@@ -2,9 +2,9 @@
 
 Numbers are bigint: a group may hold more rows than an int can count.
 
-``rows_per_task`` bounds what one task sorts. The largest group is measured first (a pass over the
-key columns only); beyond the bound the same result comes from slices, see ``slices``. Pass None to
-skip the measurement where groups are known to be small.
+``rows_per_task`` bounds what one task sorts. Groups are measured first (a pass over the key columns
+only), and those beyond the bound are computed in slices with the same result, see ``slices``. Pass
+None to skip the measurement where groups are known to be small.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tierline import session, settings
 from tierline.operators.joins import broadcast_if, measured_bytes, null_safe_join
-from tierline.operators.slices import ROW, SLICE, group_sizes, slice_groups
+from tierline.operators.slices import ROW, SLICE, slice_groups, split_hot
 
 MIN_REPEAT = 20  # rows per distinct value from which ranking the values beats ranking the rows
 
@@ -27,12 +27,18 @@ def number_within(
     rows_per_task: int | None = settings.ROWS_PER_TASK,
 ) -> DataFrame:
     """row_number of each row in its group. Let ``order`` end in a unique column."""
-    if rows_per_task is not None:
-        largest, rows = group_sizes(df, keys)
-        if largest > rows_per_task:
-            return _number_sliced(df, keys, order, name, rows, rows_per_task)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+
+    def plain(rows: DataFrame) -> DataFrame:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
+
+    if rows_per_task is None:
+        return plain(df)
+    ordinary, hot, hot_rows = split_hot(df, keys, rows_per_task)
+    if hot is None:
+        return plain(ordinary)
+    sliced = _number_sliced(hot, keys, order, name, hot_rows, rows_per_task)
+    return sliced if ordinary is None else plain(ordinary).unionByName(sliced)
 
 
 def _number_sliced(
@@ -95,14 +101,23 @@ def previous_within(
 ) -> DataFrame:
     """``value`` of the preceding row of the group, ascending by ``order``; null on the first row."""
     ascending = [F.asc(column) for column in order]
-    if rows_per_task is not None:
-        largest, rows = group_sizes(df, keys)
-        if largest > rows_per_task:
-            return _previous_sliced(df, keys, ascending, order, value, name, rows, rows_per_task)
-    return df.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*ascending)))
 
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*ascending)))
+
+    if rows_per_task is None:
+        return plain(df)
+    ordinary, hot, hot_rows = split_hot(df, keys, rows_per_task)
+    if hot is None:
+        return plain(ordinary)
+    sliced = _previous_sliced(hot, keys, order, value, name, hot_rows, rows_per_task)
+    return sliced if ordinary is None else plain(ordinary).unionByName(sliced)
 
-def _previous_sliced(df, keys, ascending, order, value, name, rows, rows_per_task) -> DataFrame:
+
+def _previous_sliced(
+    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, rows: int, rows_per_task: int
+) -> DataFrame:
+    ascending = [F.asc(column) for column in order]
     sliced = slice_groups(df, keys, ascending, rows, rows_per_task)
     inside = Window.partitionBy(*keys, SLICE).orderBy(*ascending, ROW)
     last = F.max_by(value, F.struct(*order, ROW)).alias("__last")

@@ -316,6 +316,7 @@ FROM lagged"""
 # --- Incremental ------------------------------------------------------------------------------
 ORACLES["upsert_orders"] = MERGED
 ORACLES["incremental_two_runs"] = MERGED
+ORACLES["incremental_partitions"] = MERGED
 ORACLES["stream_upsert_orders"] = MERGED
 ORACLES["full_load_two_runs"] = f"WITH {LATER} SELECT * FROM later"
 ORACLES["upsert_new_columns"] = f"""WITH {BASE}, {LATER}

@@ -510,6 +510,18 @@ def incremental_two_runs(spark, sf):
     return incremental.current(spark, root, "orders")
 
 
+@query
+def incremental_partitions(spark, sf):
+    """The same two runs into a table partitioned by a column that re-dated rows move across."""
+    root = scratch_path(spark, "incremental")
+    for source in (inputs.base_orders(spark, sf), inputs.later_orders(spark, sf)):
+        dated = source.withColumn("order_year", F.year("o_orderdate"))
+        incremental.load(
+            dated, root, "orders", "incremental", "o_orderdate", "o_orderkey", partition_by=["order_year"]
+        )
+    return incremental.current(spark, root, "orders").drop("order_year")
+
+
 @query
 def full_load_two_runs(spark, sf):
     root = scratch_path(spark, "full")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tierline.operators.incremental import commit, current, high_mark
-from tierline.operators.upsert import merge_frames, one_per_key
+from tierline.operators.incremental import high_mark, upsert_rows
 
 
 def stream_upsert(
@@ -20,22 +19,22 @@ def stream_upsert(
     latest: list[str],
     file_format: str = "parquet",
     max_files: int | None = None,
+    partition_by: list[str] | None = None,
 ) -> int:
     """Upsert the files that arrived in ``source`` since the last run; returns the batches processed.
 
     The checkpoint remembers which files were read, and ``availableNow`` ends the query once they
     are in. A batch may be delivered twice after a failure; the keyed upsert makes that harmless.
-    Each batch rewrites the snapshot, so leave ``max_files`` unset unless one run's files are too
-    many for one pass.
+    Without ``partition_by`` each batch rewrites the snapshot, so leave ``max_files`` unset unless one
+    run's files are too many for one pass.
     """
     batches = 0
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         nonlocal batches
         own = batch.sparkSession  # a batch lives in the query's clone of the session
-        old = current(own, root, table)
-        merged = one_per_key(batch, pk, latest) if old is None else merge_frames(old, batch, pk, latest)
-        commit(own, merged, root, table, high_mark(batch, latest[0]))
+        mark = high_mark(batch, latest[0])
+        upsert_rows(own, batch, root, table, pk, latest, mark, partition_by)
         batches += 1
 
     reader = spark.readStream.schema(schema).format(file_format)

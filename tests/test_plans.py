@@ -126,6 +126,16 @@ def test_marts(made):
     assert (day["is_weekend"], day["daily_revenue"], day["avg_order_value"]) == (True, 20.0, 20.0)
 
 
+def test_mart_keeps_null_groups(spark, made):
+    fact = made["fact_orders"].withColumn("category", F.lit(None).cast("string"))
+    found = gold.sales_by_category(fact, RUN).orderBy("order_month").collect()
+    assert [(r["category"], r["total_orders"], r["unique_products"]) for r in found] == [(None, 1, 1), (None, 3, 3)]
+    estimated = gold.sales_by_category(fact, RUN, estimate_distinct=True)
+    assert estimated.select(*gold.sales_by_category(fact, RUN).columns).exceptAll(
+        gold.sales_by_category(fact, RUN)
+    ).isEmpty()
+
+
 def test_surrogate_modes(made):
     fact = made["fact_orders"]
     assert fact.agg(F.countDistinct("order_sk")).first()[0] == fact.count()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -38,15 +38,15 @@ def lookup(
     )
 
 
-def measured_bytes(columns: list[str], df: DataFrame):
-    """Aggregate: bytes the given columns hold, strings by length and the rest at 16 per value."""
-    strings = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
+def row_bytes(df: DataFrame, columns: list[str]) -> Column:
+    """Bytes that the given columns take in a row: strings by length, the rest at 16 per value."""
     width = F.lit(16 * len(columns) + 16).cast("bigint")
-    for name in strings:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    return F.sum(width)
+    for name in columns:
+        if isinstance(df.schema[name].dataType, StringType):
+            width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    return width
 
 
 def broadcast_if(df: DataFrame, size: int) -> DataFrame:
-    """Broadcast ``df`` when its measured ``size`` in bytes is within bounds; else let Spark shuffle."""
+    """Broadcast ``df`` when its checked ``size`` in bytes is within bounds; else let Spark shuffle."""
     return F.broadcast(df) if size <= settings.BROADCAST_BYTES else df

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline import session
-from tierline.operators.joins import broadcast_if, measured_bytes, null_safe_join
+from tierline.operators.joins import broadcast_if, null_safe_join, row_bytes
 
 ROW = "__row"
 SLICE = "__slice"
@@ -32,7 +32,7 @@ def split_hot(
     if not keys:
         rows = groups.first()[0]
         return (None, df, rows) if rows > rows_per_task else (df, None, 0)
-    rows, size = large.agg(F.sum("__rows"), measured_bytes(keys, large)).first()
+    rows, size = large.agg(F.sum("__rows"), F.sum(row_bytes(large, keys))).first()
     if rows is None:
         return df, None, 0
     hot = broadcast_if(session.stage(large.select(*keys), "hot"), size)

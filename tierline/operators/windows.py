@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline import session, settings
-from tierline.operators.joins import broadcast_if, measured_bytes, null_safe_join
+from tierline.operators.joins import broadcast_if, null_safe_join, row_bytes
 from tierline.operators.slices import ROW, SLICE, slice_groups, split_hot
 
 MIN_REPEAT = 20  # rows per distinct value from which ranking the values beats ranking the rows
@@ -73,22 +73,30 @@ def dense_rank_within(
     So it also goes for a group too large for one task, whose distinct values are sliced if need be.
     """
     order = [F.desc(by) if descending else F.asc(by)]
-    if rows_per_task is None or _window_suffices(df, keys, by, rows_per_task):
+    pair = [*keys, by]
+
+    def plain() -> DataFrame:
         rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order))
         return df.withColumn(name, rank.cast("bigint"))
-    pair = [*keys, by]
-    values = session.stage(df.select(*pair).distinct(), "values")
-    size = values.agg(measured_bytes(pair, values)).first()[0] or 0
-    ranked = number_within(values, keys, order, name, rows_per_task)
-    return null_safe_join(df, broadcast_if(ranked, size), pair)
-
-
-def _window_suffices(df: DataFrame, keys: list[str], by: str, rows_per_task: int) -> bool:
-    """No group is too large for one task, and ranking distinct values instead would not pay."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(by).alias("values"))
-    found = groups.agg(F.max("n"), F.sum("n"), F.sum("values")).first()
-    largest, rows, values = (value or 0 for value in found)
-    return largest <= rows_per_task and values * MIN_REPEAT > rows
+
+    if rows_per_task is None:
+        return plain()
+    groups = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.approx_count_distinct(by).alias("values"),
+        F.max(row_bytes(df, pair)).alias("width"),
+    )
+    found = groups.agg(F.max("n"), F.sum("n"), F.sum("values"), F.max("width")).first()
+    largest, rows, values, width = (value or 0 for value in found)
+    if largest <= rows_per_task and values * MIN_REPEAT > rows:
+        return plain()
+    distinct = df.select(*pair).distinct()
+    most = 2 * values  # twice the estimate is far outside its error
+    if most <= rows_per_task:
+        ranked = number_within(distinct, keys, order, name, None)
+    else:
+        ranked = number_within(session.stage(distinct, "values"), keys, order, name, rows_per_task)
+    return null_safe_join(df, broadcast_if(ranked, most * width), pair)
 
 
 def previous_within(

@@ -3,7 +3,9 @@
 import compare
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tierline.registry.oracle import ORACLES
+from tierline.registry.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,12 +16,12 @@ def connection():
 
 
 def test_each_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, connection, name):
-    assert compare.differences(queries()[name](spark, SF), connection, oracle_sql()[name]) == []
+    assert compare.differences(QUERIES[name](spark, SF), connection, ORACLES[name]) == []
 
 
 def test_entry_has_rows(spark):

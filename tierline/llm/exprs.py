@@ -43,7 +43,7 @@ def running_sums(items: Column) -> Column:
     """
 
     def append(acc: Column, n: Column) -> Column:
-        return F.concat(acc, F.array(F.coalesce(F.element_at(acc, F.lit(-1)), F.lit(0)) + n))
+        return F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + n))
 
     def sums(of: Column) -> Column:
         return F.aggregate(of, F.array().cast("array<int>"), append)
@@ -53,7 +53,7 @@ def running_sums(items: Column) -> Column:
         return F.transform(starts, lambda at: sums(F.slice(items, at + 1, width)))
 
     def shifted(inner: Column) -> Column:
-        before = sums(F.transform(inner, lambda x: F.element_at(x, F.lit(-1))))
+        before = sums(F.transform(inner, lambda x: F.try_element_at(x, F.lit(-1))))
         return let(before, lambda totals: F.flatten(F.transform(
             inner, lambda x, i: F.transform(x, lambda e: e + F.coalesce(F.get(totals, i - 1), F.lit(0)))
         )))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import mixing, quality, sharding
+from tierline.llm import mixing, quality, secrets, sharding
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,6 +18,17 @@ def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf, "documents"))
+    base = secrets.KINDS[:3]
+    return found.select(
+        "doc_id",
+        *[secrets.count(F.col("spans"), kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(secrets.digest(F.col("spans"), base), 256).alias("base_sha256"),
+        secrets.digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judged(_table(spark, sf, "documents"))
 
@@ -31,6 +42,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
+    "op6_secret_scans": op6_secret_scans,
     "op7_quality_rules": op7_quality_rules,
     "op10_sharding": op10_sharding,
 }

@@ -7,13 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import mixing, quality, secrets, sharding
+from tierline.llm import mixing, packing, quality, secrets, sharding
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """The place of a tokenizer's file, found by the package that brings it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    placed = packing.pack(_table(spark, sf, "documents"), _tokenizer("word_bpe_49k.json"))
+    return placed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -41,6 +55,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op4_mixing": op4_mixing,
     "op6_secret_scans": op6_secret_scans,
     "op7_quality_rules": op7_quality_rules,

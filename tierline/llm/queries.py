@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import mixing, packing, quality, secrets, sharding
+from tierline.llm import mixing, packing, quality, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judged(_table(spark, sf, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     rows = sharding.assigned(_table(spark, sf, "documents"), shards=40)
     return rows.select(
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op6_secret_scans": op6_secret_scans,
     "op7_quality_rules": op7_quality_rules,
+    "op8_simhash": op8_simhash,
     "op10_sharding": op10_sharding,
 }
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import mixing, packing, quality, secrets, sharding, simhash
+from tierline.llm import classifier, embeddings, mixing, packing, quality, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf, "embeddings"))
+
+
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -52,6 +56,15 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    held_out = classifier.remainder(F.col("doc_id")) == 2
+    model = classifier.train(docs, _table(spark, sf, "labels").filter(~held_out))
+    return classifier.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= classifier.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     rows = sharding.assigned(_table(spark, sf, "documents"), shards=40)
     return rows.select(
@@ -61,10 +74,12 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_mixing": op4_mixing,
     "op6_secret_scans": op6_secret_scans,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
 }
 

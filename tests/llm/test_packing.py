@@ -16,7 +16,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 EDGES = [
     None, "", " ", "\x1c", "a\x1cb\x85c d", "It's Bob's, they'll 'tis", "<|endoftext|> x<|startoftext|>y <|EndOfText|>",
     "İstanbul ΣΑΣ ﬁ ǅ ß", "é ́x ä_b", "𝔘𝕟𝕚 漢字 한글 한", "x__y__1234 5th $%^ -- ...don't", " nbsp　wide​zero",
-    "tab\tnew\nline\r\n", "word " * 9000, "A1b2C3" * 3000,
+    "naïve ÀÉÎ ª º µ x² ½ Ⅳ Œuvre ĲĳŁł ŉ \x00\x7f\xad¡a¡ ÿŸ", "tab\tnew\nline\r\n", "word " * 9000, "A1b2C3" * 3000,
 ]
 
 
@@ -28,12 +28,36 @@ def library_ids(text):
 
 
 def test_ids_equal_the_library():
-    coder = packing.WordTokenizer(PATH, "<u2")
+    coder = packing.PieceTokenizer(PATH, "<u2")
     texts = [t or "" for t in EDGES]
     for text, found in zip(texts + texts, coder.encode(texts) + coder.encode(texts)):
         assert np.frombuffer(found, "<u2").tolist() == library_ids(text)[:-1], text[:40]
 
 
+def test_ids_of_real_texts(spark):
+    coder = packing.PieceTokenizer(PATH, "<u2")
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    for text, found in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(found, "<u2").tolist() == library_ids(text)[:-1]
+
+
+def test_every_sign_below_the_letters(spark):
+    coder = packing.PieceTokenizer(PATH, "<u2")
+    texts = [f"a{chr(c)}b {chr(c)} {chr(c)}1{chr(c)}" for c in range(0x400)]
+    for text, found in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(found, "<u2").tolist() == library_ids(text)[:-1], repr(text)
+
+
+def test_few_pieces_kept_and_short_segments(monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_KEPT", 20)
+    monkeypatch.setattr(packing, "SEGMENT", 50)
+    coder = packing.PieceTokenizer(PATH, "<u2")
+    texts = [t or "" for t in EDGES if len(t or "") < 5000] + [" ".join(f"w{i % 37} plain Text{i}" for i in range(300))]
+    for _ in range(2):
+        for text, found in zip(texts, coder.encode(texts)):
+            assert np.frombuffer(found, "<u2").tolist() == library_ids(text)[:-1], text[:40]
+
+
 def brute_best_fit(lengths, capacity):
     bins, at = [], {}
     for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):

@@ -12,6 +12,7 @@ length is tokenized whole and cut into as many pieces as it needs.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
@@ -26,56 +27,170 @@ CAPACITY = 4096
 END_ID = 1
 CHUNK = 16_384  # pieces packed at a time
 CHUNK_BYTES = 64 << 20
-WORDS_KEPT = 250_000  # entries of each word cache
+PIECES_KEPT = 1_000_000  # pieces whose ids a task remembers
+SEGMENT = 1 << 20  # bytes of text looked at together
 ROWS_OUT = 512
 
+SPACE = re.compile(rb"[\t-\r ]")
+LETTER, DIGIT, OTHER = 1, 2, 3
+KINDS = np.full(256, OTHER, np.uint8)  # of a byte of plain text
+KINDS[[*range(0x61, 0x7B), *range(0x41, 0x5B), *range(0x80, 0x100)]] = LETTER
+KINDS[0x30:0x3A] = DIGIT
+KINDS[[*range(9, 14), 32]] = 0
+FACTOR = 0x9E3779B97F4A7C15 | 1
+COEFFICIENTS = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
 
-class WordTokenizer:
-    """Token ids by the ``tokenizers`` library, remembered by word.
 
-    Only for tokenizers that drop white space and never join text across it; then a text's ids are its
-    words' ids in order. ASCII words are further taken as runs of letters, single digits and runs of
-    other signs, the pieces such a tokenizer splits them into; everything else goes to the library.
+class PieceTokenizer:
+    """Token ids by the ``tokenizers`` library, remembered by piece.
+
+    Only for tokenizers that lower-case, drop white space, take runs of letters, single digits and runs
+    of other signs as pieces, and mark the last token of a piece: a text's ids are then its pieces' ids
+    in order. Texts of plain Latin letters and ASCII signs (where normal form C changes nothing) are
+    cut into those pieces with numpy; of other texts the words go through the library's own steps.
+
+    Pieces are told apart by a 64-bit polynomial hash from prefix sums. Ids of known pieces are gathered
+    from one array; the library's model gets the new pieces of a batch at once.
     """
 
     def __init__(self, path: str, dtype: str):
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the cores
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
-        self.dtype = dtype
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.separators = re.compile("[\x1c-\x1f]")  # white space to str.split, signs to the tokenizer
-        self.split = re.compile("[a-z]+|[0-9]|[^a-z0-9]+").findall
+        self.model = Tokenizer(self.library.model)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.last = np.zeros(self.library.get_vocab_size(), bool)
+        for token, number in self.library.get_vocab().items():
+            self.last[number] = token.endswith("</w>")
+        self.dtype = np.dtype(dtype)
+        self.odd = re.compile("['\x80-©«-´¶-¹»-¿×÷İ\u0250-\U0010ffff]|<\\|").search
+        self.split = re.compile(r"[^\W\d_]+|\d|[\W_]+").findall
+        self.keys = np.zeros(0, np.uint64)  # ascending
+        self.first, self.count, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.ids = np.zeros(0, self.dtype)
+        self.batch = 0
+        self.power = self.inverse = np.ones(1, np.uint64)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, self.dtype).tobytes() for e in found]
 
-    def _learn(self, missing: list[str]) -> None:
-        if len(self.parts) > WORDS_KEPT:
-            self.parts.clear()
-        simple = {w: self.split(w.lower()) for w in missing if w.isascii() and "'" not in w and "<|" not in w}
-        parts = list({p for ps in simple.values() for p in ps}.difference(self.parts))
-        self.parts.update(zip(parts, self._library(parts)))
-        known = self.parts
-        for word, ps in simple.items():
-            self.words[word] = b"".join([known[p] for p in ps])
-        other = [w for w in missing if w not in simple]
-        self.words.update(zip(other, self._library(other)))
+    def _model(self, pieces: list[str]) -> list[bytes]:
+        joined = [" ".join(pieces[at : at + 1000]) for at in range(0, len(pieces), 1000)]
+        found = self.model.encode_batch_fast(joined, add_special_tokens=False)
+        ids = np.array([i for e in found for i in e.ids], self.dtype)
+        cuts = ((np.flatnonzero(self.last[ids]) + 1) * self.dtype.itemsize).tolist()
+        raw = ids.tobytes()
+        out = [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+        if len(out) != len(pieces):
+            raise ValueError("this tokenizer does not mark the last token of each piece")
+        return out
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of texts that are not plain."""
+        cut = [None if self.odd(w) else self.split(w.lower()) for w in words]
+        pieces = list({p for ps in cut if ps for p in ps})
+        known = dict(zip(pieces, self._model(pieces)))
+        rest = iter(self._library([w for w, ps in zip(words, cut) if ps is None]))
+        return [next(rest) if ps is None else b"".join([known[p] for p in ps]) for ps in cut]
+
+    def _hashes(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        while len(self.power) < len(data):
+            n = np.uint64(len(self.power))
+            step, back = pow(FACTOR, int(n), 1 << 64), pow(pow(FACTOR, -1, 1 << 64), int(n), 1 << 64)
+            self.power = np.concatenate([self.power, self.power * np.uint64(step)])
+            self.inverse = np.concatenate([self.inverse, self.inverse * np.uint64(back)])
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.multiply(COEFFICIENTS[data], self.power[: len(data)], out=sums[1:])
+        np.cumsum(sums, out=sums)
+        return (sums[end] - sums[start]) * self.inverse[start]
+
+    def _learn(self, keys: np.ndarray, found: list[bytes]) -> None:
+        """Adds new ``keys``, ascending; beyond ``PIECES_KEPT`` those not used for longest go."""
+        if len(self.keys) > PIECES_KEPT:
+            kept = self.used >= np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
+            if kept.all():
+                kept = self.used == self.batch
+            self.ids, self.first = _gather(self.ids, self.first[kept], self.count[kept])
+            self.keys, self.count, self.used = self.keys[kept], self.count[kept], self.used[kept]
+        at = np.searchsorted(self.keys, keys)
+        count = np.array([len(x) for x in found], np.int64) // self.dtype.itemsize
+        first = len(self.ids) + np.cumsum(count) - count
+        self.keys, self.first, self.count = np.insert(self.keys, at, keys), np.insert(self.first, at, first), np.insert(self.count, at, count)
+        self.used = np.insert(self.used, at, self.batch)
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), self.dtype)])
+
+    def _batch(self, parts: list[bytes], plain: bool) -> list[bytes]:
+        self.batch += 1
+        raw = b"\n".join(parts) + b"\n"
+        data = np.frombuffer(raw, np.uint8)
+        kind = (KINDS if plain else np.minimum(KINDS, 1))[data]
+        single = kind == DIGIT if plain else np.zeros(len(kind), bool)
+        changes = np.flatnonzero(kind[1:] != kind[:-1]) + 1 if not single.any() else np.flatnonzero((kind[1:] != kind[:-1]) | single[1:]) + 1
+        bounds = np.concatenate([[0], changes, [len(data)]])
+        inside = kind[bounds[:-1]] != 0
+        start, end = bounds[:-1][inside], bounds[1:][inside]
+        keys, where, inverse = np.unique(self._hashes(data, start, end), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inner = at < len(self.keys)
+        known[inner] = self.keys[at[inner]] == keys[inner]
+        self.used[at[known]] = self.batch
+        if not known.all():
+            fresh = where[~known]
+            texts = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(start[fresh].tolist(), end[fresh].tolist())]
+            self._learn(keys[~known], self._model(texts) if plain else self._words(texts))
+            at = np.searchsorted(self.keys, keys)
+        at = at[inverse]
+        ids, first = _gather(self.ids, self.first[at], self.count[at])
+        edges = np.cumsum([len(p) + 1 for p in parts])
+        cuts = np.append(first, len(ids))[np.searchsorted(start, edges)].tolist()
+        out, size = ids.tobytes(), self.dtype.itemsize
+        return [out[a * size : b * size] for a, b in zip([0, *cuts], cuts)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        split = [None if self.separators.search(t) else t.split() for t in texts]
-        missing = list({w for words in split if words for w in words}.difference(self.words))
-        if missing:
-            self._learn(missing)
-        known = self.words
-        return [
-            b"".join([known[w] for w in words]) if words is not None else self._library([text])[0]
-            for text, words in zip(texts, split)
-        ]
+        """The ids of each text, without an end, as bytes of ``dtype``."""
+        found = [[] for _ in texts]
+        for plain in (True, False):
+            rows, parts, size = [], [], 0
+            for row, text in enumerate(texts):
+                strange = "'" in text or "<|" in text if text.isascii() else bool(self.odd(text))
+                if strange == plain:
+                    continue
+                for part in _segments(text.lower().encode() if plain else text.encode("utf-8", "surrogatepass")):
+                    rows.append(row)
+                    parts.append(part)
+                    size += len(part)
+                    if size >= SEGMENT:
+                        for r, ids in zip(rows, self._batch(parts, plain)):
+                            found[r].append(ids)
+                        rows, parts, size = [], [], 0
+            if parts:
+                for r, ids in zip(rows, self._batch(parts, plain)):
+                    found[r].append(ids)
+        return [b"".join(x) for x in found]
+
+
+def _gather(values: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``values`` one after another, and where each begins."""
+    to = np.cumsum(count)
+    at = to - count
+    return values[np.repeat(first - at, count) + np.arange(to[-1] if len(to) else 0)], at
+
+
+def _segments(data: bytes) -> list[bytes]:
+    """Parts of about SEGMENT bytes at most, cut at white space where there is any."""
+    parts, at = [], 0
+    while len(data) - at > SEGMENT:
+        space = SPACE.search(data, at + SEGMENT)
+        if not space:
+            break
+        parts.append(data[at : space.start()])
+        at = space.end()
+    return [*parts, data[at:]]
 
 
 def _width(path: str) -> str:
@@ -104,7 +219,7 @@ def pieces(
     end = np.asarray([END_ID], dtype).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokenizer(tokenizer, dtype)
+        encoder = PieceTokenizer(tokenizer, dtype)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_OUT):
                 batch = whole.slice(at, ROWS_OUT)

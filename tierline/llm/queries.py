@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import classifier, embeddings, mixing, packing, quality, secrets, sharding, simhash
+from tierline.llm import chat, classifier, embeddings, mixing, packing, quality, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,6 +28,18 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    control = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame(
+        [(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string"
+    )
+    turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    formatted = chat.format_chats(turns, _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return chat.read_back(formatted)
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf, "embeddings"))
 
@@ -74,6 +86,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_mixing": op4_mixing,
     "op6_secret_scans": op6_secret_scans,

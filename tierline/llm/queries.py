@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import chat, classifier, embeddings, mixing, packing, quality, secrets, sharding, simhash
+from tierline.llm import chat, classifier, embeddings, mixing, packing, pii, quality, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -48,6 +48,17 @@ def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    found = pii.scan(docs, pii.train(docs))
+
+    def count(kind: str):
+        listed = F.split(F.col("base"), ",")
+        return F.size(F.filter(listed, lambda s: s.startswith(f"{kind}:"))).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(kind) for kind in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op6_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf, "documents"))
     base = secrets.KINDS[:3]
@@ -89,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_mixing": op4_mixing,
+    "op5_pii": op5_pii,
     "op6_secret_scans": op6_secret_scans,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,

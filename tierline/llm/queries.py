@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tierline.llm import chat, classifier, embeddings, mixing, packing, pii, quality, secrets, sharding, simhash
 
 
@@ -106,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}

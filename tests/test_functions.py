@@ -136,3 +136,28 @@ def test_json_field_defaults(spark):
         lambda x: records.json_field(x, "k int", "k", 0),
     )
     assert found == [5, 0, 0, 0, 0]
+
+
+def test_money_keeps_large_and_fine_amounts(spark):
+    one = spark.range(1)
+
+    def value(column):
+        return one.select(column).first()[0]
+
+    x = lambda v: F.lit(v).cast("double")
+    assert value(money.revenue(x(1e21))) == 1e21
+    assert value(money.net_revenue(x(1e13), x(1.0))) == 0 and value(money.inventory_value(x(1e13), F.lit(0))) == 0
+    assert value(money.net_revenue(x(1e13), x(0.9999999))) == 1000000.0
+    assert value(money.net_revenue(x(6000006.005006), x(0.000001))) == 6000000.0
+    assert abs(value(money.price_with_tax(x(1.23456789))) - 1.4567901102) < 1e-12
+    assert abs(value(money.price_with_tax(x(4e-7))) - 4.72e-7) < 1e-18
+    assert value(money.revenue(x(float("inf")))) is None and value(money.price_change(x(float("nan")), x(1.0))) is None
+
+
+def test_sums_of_large_amounts(spark):
+    same = spark.range(10_000).select(F.lit(1234567890123.12).alias("x"))
+    assert same.agg(money.total(F.col("x")), money.mean(F.col("x"))).first()[:] == (12345678901231200.0, 1234567890123.12)
+    mixed = spark.createDataFrame([(9e18,), (9e18,), (0.01,), (float("inf"),), (None,), (float("nan"),)], "x double")
+    assert mixed.agg(money.total(F.col("x")), money.mean(F.col("x"))).first()[:] == (1.8e19, 6e18)
+    none = spark.createDataFrame([(None,), (float("inf"),)], "x double")
+    assert none.agg(money.total(F.col("x")), money.mean(F.col("x"))).first()[:] == (None, None)

@@ -321,3 +321,60 @@ def test_hot_partition_value_is_written_by_several_tasks(spark):
         spark.conf.unset(threshold)
     assert len([f for f in os.listdir(f"{path.removeprefix('file:')}/p=0") if f.endswith(".parquet")]) > 3
     assert spark.read.parquet(path).count() == 400_000
+
+
+def test_rows_without_a_mark_enter(spark):
+    root = scratch_path(spark, "nulls")
+    rows = lambda data: spark.createDataFrame(data, "k int, t int")
+    run = lambda data: incremental.load(rows(data), root, "t", "incremental", "t", "k")
+    assert run([(1, None)]).mark is None
+    assert run([(1, None), (2, None)]).mark is None
+    assert run([(1, None), (2, None), (3, 5)]).mark == "5"
+    assert run([(4, None), (5, 2)]).mark == "5"
+    assert {r.k for r in incremental.current(spark, root, "t").collect()} == {1, 2, 3, 4}
+
+
+def test_marks_do_not_follow_the_session_zone(spark):
+    moments = spark.sql("SELECT timestamp_micros(1710000000123456) AS t")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        marks = set()
+        for name in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            marks.add(incremental.high_mark(moments, "t"))
+            assert incremental.rows_after(moments, "t", next(iter(marks)), inclusive=True).count() == 1
+            assert incremental.rows_after(moments, "t", next(iter(marks))).count() == 0
+        assert marks == {"2024-03-09 16:00:00.123456"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_partition_merge_lists_touched_folders_only(spark):
+    path = scratch_path(spark, "pruned")
+    layout.write_partitioned(spark.range(1000).selectExpr("id AS k", "id % 10 AS p", "0 AS v"), path, ["p"])
+    touched = spark.createDataFrame([(3,), (None,)], "p bigint")
+    old = upsert._folders(spark.read.parquet(path), touched, ["p"])
+    assert old.count() == 100 and len(old.select("_metadata.file_path").distinct().collect()) == 1
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
+def test_dedup_of_nested_columns(spark):
+    rows = spark.sql("SELECT 1 AS k, struct(map('a', v) AS m) AS s, array(map(1, v)) AS a, v FROM VALUES (2), (1) AS t(v)")
+    assert clean.dedup_latest(rows, ["k"], ["v"]).collect()[0].v == 2
+    assert clean.dedup_latest(rows.drop("v"), ["k"]).count() == 1
+
+
+def test_top_k_beyond_the_group_limit(spark):
+    rows = spark.range(5000).selectExpr("id", "id % 2 AS g")
+    for per_task in (None, 600):
+        got = windows.top_k(rows, [F.desc("id")], 1500, ["g"], per_task)
+        assert sorted(r.id for r in got.collect()) == list(range(2000, 5000))
+    assert sorted(r.id for r in windows.top_k(rows, [F.desc("id")], 1200, None, 600).collect()) == list(range(3800, 5000))
+
+
+def test_upsert_with_absent_columns_and_repeated_keys(spark):
+    old = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (None, "n", 0)], "k int, x string, y int")
+    new = spark.createDataFrame([(1, "c")] * 3 + [(3, "d"), (None, "m")], "k int, x string")
+    got = sorted(map(tuple, upsert.merge_frames(old, new, "k").collect()), key=str)
+    assert got == sorted([(1, "c", 10), (2, "b", 20), (None, "n", 0), (3, "d", None), (None, "m", None)], key=str)

@@ -1,9 +1,10 @@
 """Exact money arithmetic over double columns.
 
 Binary floating point makes ``round(price * 1.18, 2)`` depend on the engine, and sums depend on row
-order. Here amounts are taken as millionths in a bigint, which keeps the work in primitive codegen,
-and as DECIMAL where they are too large for that; both give the same, exactly rounded result.
-NaN and infinite amounts count as null.
+order. Amounts of up to six decimals are taken as millionths in a bigint, which keeps the work in
+primitive codegen, or as DECIMAL where they are too large for that; both give the same, exactly rounded
+result. Each operand is tested by itself. What neither can hold, more decimals or 1e13 and beyond, is
+computed in double and rounded, never cut or dropped. NaN and infinite amounts count as null.
 """
 
 from __future__ import annotations
@@ -15,20 +16,34 @@ from pyspark.sql import functions as F
 
 from tierline import settings
 
-EXACT = "decimal(26,6)"
 MILLION = 10**6
 SAFE = 2**53  # integers up to here are exact as double too
 LONG = 2**62  # products up to here fit a bigint with room for rounding
+SMALL = SAFE // MILLION  # amounts up to here have exact millionths
+LARGE = 1e13  # decimal(19,6) holds amounts below
+SUMMED = 1e6  # amounts whose whole units are summed as bigint, whatever the number of rows
+WHOLE = 1e15  # beyond, a double has no cents
 
 
-def exact(value: Column) -> Column:
-    return value.try_cast(EXACT)
+def finite(value: Column) -> Column:
+    value = value.cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def millionths(value: Column) -> Column:
     return F.rint(value * float(MILLION)).try_cast("bigint")
 
 
+def _as_decimal(value: Column, digits: int = 19) -> Column:
+    return value.try_cast(f"decimal({digits},6)")
+
+
+def _six(value: Column) -> Column:
+    """Whether a number has at most six decimals and fits decimal(19,6)."""
+    small = (F.abs(value) < SMALL) & (F.rint(value * float(MILLION)) / float(MILLION) == value)
+    return small | ((F.abs(value) < LARGE) & (_as_decimal(value).cast("double") == value))
+
+
 def _divided(amount: Column, unit: Column | int) -> Column:
     """Bigint division, rounded half-up away from zero."""
     unit = F.lit(unit).cast("bigint") if isinstance(unit, int) else unit
@@ -55,10 +70,15 @@ def _factor_parts(factor: Decimal) -> tuple[int, int]:
 def revenue(price: Column, factor: Decimal = Decimal(1)) -> Column:
     """``price`` times ``factor``, rounded to two places."""
     numerator, scale = _factor_parts(factor)
-    product = millionths(price) * F.lit(numerator)
-    return F.when(
-        F.abs(price) < SAFE // (MILLION * numerator), _cents(product, MILLION * scale)
-    ).otherwise(_decimal_cents(exact(price) * F.lit(factor)))
+    price = finite(price)
+    return (
+        F.when(
+            (F.abs(price) < SMALL // max(1, numerator)) & _six(price),
+            _cents(millionths(price) * F.lit(numerator), MILLION * scale),
+        )
+        .when(_six(price), _decimal_cents(_as_decimal(price) * F.lit(factor)))
+        .otherwise(F.round(price * float(factor), 2))
+    )
 
 
 def revenue_with_tax(price: Column, rate: Decimal = settings.TAX_RATE) -> Column:
@@ -68,54 +88,76 @@ def revenue_with_tax(price: Column, rate: Decimal = settings.TAX_RATE) -> Column
 def price_with_tax(price: Column, rate: Decimal = settings.TAX_RATE) -> Column:
     """Unrounded."""
     numerator, scale = _factor_parts(1 + rate)
+    price = finite(price)
+    exact = (F.abs(price) < SMALL // numerator) & _six(price)
     product = millionths(price) * F.lit(numerator)
-    return F.when(
-        F.abs(price) < SAFE // (MILLION * numerator), product / F.lit(float(MILLION * scale))
-    ).otherwise((exact(price) * F.lit(1 + rate)).cast("double"))
+    return F.when(exact, product / F.lit(float(MILLION * scale))).otherwise(price * float(1 + rate))
 
 
 def net_revenue(price: Column, discount: Column | None = None) -> Column:
     """Revenue after a fractional discount; without one it equals ``revenue``."""
     if discount is None:
         return revenue(price)
-    return _product(price, F.lit(1) - discount)
+    discount = finite(discount)
+    kept = F.when(_six(discount), F.round(F.lit(1.0) - discount, 6)).otherwise(F.lit(1.0) - discount)
+    return _product(price, kept)
 
 
 def inventory_value(price: Column, quantity: Column) -> Column:
     """``price`` times a whole quantity, rounded to two places."""
-    product = millionths(price) * quantity
-    return F.when(F.abs(price * quantity) < SAFE // MILLION, _cents(product, MILLION)).otherwise(
-        _decimal_cents(exact(price) * quantity)
-    )
+    return _product(price, quantity)
 
 
 def _product(left: Column, right: Column) -> Column:
-    product = millionths(left) * millionths(right)
-    return F.when(F.abs(left * right) < LONG // MILLION**2, _cents(product, MILLION**2)).otherwise(
-        _decimal_cents(exact(left) * exact(right))
+    left, right = finite(left), finite(right)
+    exact = _six(left) & _six(right)
+    inside = (F.abs(left) < SMALL) & (F.abs(right) < SMALL) & (F.abs(left * right) < LONG // MILLION**2)
+    return (
+        F.when(exact & inside, _cents(millionths(left) * millionths(right), MILLION**2))
+        .when(exact & (F.abs(right) < LARGE / 10), _decimal_cents(_as_decimal(left) * _as_decimal(right, 18)))
+        .otherwise(F.round(left * right, 2))
     )
 
 
 def price_change(price: Column, previous: Column) -> Column:
     """Difference to the previous price; 0 where there is none."""
-    previous = F.coalesce(previous, price)
+    price = finite(price)
+    previous = F.coalesce(finite(previous), price)
+    exact = _six(price) & _six(previous)
     change = millionths(price) - millionths(previous)
-    return F.when(
-        F.greatest(F.abs(price), F.abs(previous)) < SAFE // MILLION, _cents(change, MILLION)
-    ).otherwise(_decimal_cents(exact(price) - exact(previous)))
+    return (
+        F.when(exact & (F.greatest(F.abs(price), F.abs(previous)) < SMALL), _cents(change, MILLION))
+        .when(exact, _decimal_cents(_as_decimal(price) - _as_decimal(previous)))
+        .otherwise(F.round(price - previous, 2))
+    )
+
 
+def _sums(value: Column) -> tuple[Column, Column, Column]:
+    """Aggregates: the exact sum as a decimal, the sum of what has no cents as a double, and the count.
 
-def _exact_sum(value: Column) -> Column:
-    """Aggregate: the sum as a decimal, from two bigint sums: whole units, and millionths."""
-    value = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
-    whole = F.floor(value)
-    fraction = F.rint((value - whole) * float(MILLION)).cast("bigint")
-    return F.sum(whole).cast("decimal(20,0)") + F.sum(fraction).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    Small amounts are summed as bigint, whole units and millionths apart. Their millionths are rounded
+    from the amount itself, so a large whole part does not blur them; larger amounts are decimals.
+    """
+    value = finite(value)
+    size = F.abs(value)
+    parts = F.when(size < SUMMED, millionths(value))
+    whole = F.sum(F.call_function("div", parts, F.lit(MILLION)))
+    fraction = F.sum(parts % MILLION)
+    large = F.sum(F.when((size >= SUMMED) & (size < WHOLE), _as_decimal(value, 22)))
+    zero = F.lit(0).cast("decimal(38,6)")
+    amount = (
+        F.coalesce(whole.cast("decimal(30,6)"), zero)
+        + F.coalesce(fraction.cast("decimal(20,0)") * F.lit(Decimal("0.000001")), zero)
+        + F.coalesce(large.cast("decimal(37,6)"), zero)
+    )
+    return amount, F.sum(F.when(size >= WHOLE, value)), F.count(value)
 
 
 def total(value: Column) -> Column:
-    """Aggregate: exact sum, rounded to two places."""
-    return _decimal_cents(_exact_sum(value))
+    """Aggregate: exact sum, rounded to two places; null without amounts."""
+    amount, huge, rows = _sums(value)
+    whole = _decimal_cents(amount)
+    return F.when(rows > 0, F.when(huge.isNull(), whole).otherwise(F.round(huge + whole, 2)))
 
 
 def mean(value: Column) -> Column:
@@ -124,7 +166,8 @@ def mean(value: Column) -> Column:
     ``round(avg(x), 2)`` rounds twice, first to the scale of the quotient. Integer division of the
     exact sum rounds once.
     """
-    amount = _exact_sum(value)
-    rows = F.count(F.nanvl(value.cast("double"), F.lit(None).cast("double")))
-    hundredths = F.call_function("div", F.abs(amount) * 200 + rows, F.nullif(rows * 2, F.lit(0)))
-    return F.when(amount < 0, -hundredths).otherwise(hundredths) / F.lit(100.0)
+    amount, huge, rows = _sums(value)
+    twice = F.nullif(rows * 2, F.lit(0))
+    hundredths = F.call_function("div", F.abs(amount).cast("decimal(34,6)") * 200 + rows, twice)
+    exact = F.when(amount < 0, -hundredths).otherwise(hundredths) / F.lit(100.0)
+    return F.when(huge.isNull(), exact).otherwise(F.round((huge + amount.cast("double")) / twice * 2, 2))

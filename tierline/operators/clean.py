@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType, VariantType
+from pyspark.sql.types import ArrayType, CalendarIntervalType, DataType, MapType, StructType, VariantType
 
 from tierline.functions import text
 
@@ -12,7 +12,11 @@ _PICK = "__pick"
 
 
 def _orderable(data_type: DataType) -> bool:
-    return not isinstance(data_type, (MapType, VariantType))
+    if isinstance(data_type, ArrayType):
+        return _orderable(data_type.elementType)
+    if isinstance(data_type, StructType):
+        return all(_orderable(f.dataType) for f in data_type)
+    return not isinstance(data_type, (MapType, VariantType, CalendarIntervalType))
 
 
 def dedup_latest(
@@ -20,7 +24,8 @@ def dedup_latest(
 ) -> DataFrame:
     """One row per key: the greatest by ``latest``, ties by ``tie_break`` ascending.
 
-    By default every remaining column breaks ties, so the survivor never depends on partitioning.
+    By default every remaining column breaks ties, so the survivor never depends on partitioning; columns
+    that have no order, such as maps, do so by a hash of their JSON.
     Spark turns the ``== 1`` filter into a group limit before the shuffle: each map task sends at
     most one row per key, which keeps a hot key small.
     """
@@ -29,7 +34,11 @@ def dedup_latest(
         tie_break = [
             f.name for f in df.schema if f.name not in {*keys, *latest} and _orderable(f.dataType)
         ]
+        nested = [f.name for f in df.schema if f.name not in {*keys, *latest} and not _orderable(f.dataType)]
+    else:
+        nested = []
     order = [F.desc(name) for name in latest] + [F.asc(name) for name in tie_break]
+    order += [F.xxhash64(F.to_json(F.struct(F.col(name)))) for name in nested]
     best = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
     return df.withColumn(_PICK, F.row_number().over(best)).filter(F.col(_PICK) == 1).drop(_PICK)
 

@@ -11,8 +11,9 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampType
 
 from tierline import settings
 from tierline.operators.layout import write_partitioned
@@ -64,19 +65,37 @@ def current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
 
 
 def rows_after(df: DataFrame, column: str, mark: str | None, inclusive: bool = False) -> DataFrame:
-    """Rows beyond the mark; all rows if there is none.
+    """Rows beyond the mark, and those without one; all rows if there is no mark.
+
+    A row whose mark column is null could otherwise never enter; the upsert absorbs its repetition.
 
     ``inclusive`` also takes rows equal to the mark, for sources that add more of them later; the
     upsert makes the repetition harmless. The mark is a literal, so the filter reaches the scan.
     """
     if mark is None:
         return df
-    bound = F.lit(mark).cast(df.schema[column].dataType)
-    return df.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
+    bound = _mark_value(mark, df.schema[column].dataType)
+    beyond = F.col(column) >= bound if inclusive else F.col(column) > bound
+    return df.filter(beyond | F.col(column).isNull())
+
+
+def _mark_value(mark: str, kind: DataType) -> Column:
+    return F.lit(f"{mark}Z" if isinstance(kind, TimestampType) else mark).cast(kind)
 
 
-def high_mark(df: DataFrame, column: str) -> str | None:
-    return df.agg(F.max(column).cast("string")).first()[0]
+def high_mark(df: DataFrame, column: str, stored: str | None = None) -> str | None:
+    """The greatest mark of ``df`` and ``stored``: a mark never moves back.
+
+    Points in time are written in UTC, so the session's zone does not shift the next slice.
+    """
+    kind = df.schema[column].dataType
+    newest = F.max(column)
+    if stored is not None:
+        newest = F.greatest(newest, _mark_value(stored, kind))
+    if isinstance(kind, TimestampType):  # as the clock of UTC shows it
+        seconds = F.unix_micros(newest).cast("decimal(24,6)") / F.lit(1_000_000).cast("decimal(7,0)")
+        newest = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return df.agg(newest.cast("string")).first()[0]
 
 
 def commit(spark: SparkSession, df: DataFrame, root: str, table: str, mark: str | None) -> State:
@@ -114,8 +133,8 @@ def load(
         raise ValueError(f"unknown load mode: {mode}")
     last = read_state(spark, root, table)
     fresh = rows_after(df, mark_col, last.mark if last else None, inclusive)
-    mark = high_mark(fresh, mark_col)
-    if last is not None and mark is None:
+    mark = high_mark(fresh, mark_col, last.mark if last else None)
+    if last is not None and fresh.isEmpty():
         return last
     return upsert_rows(spark, fresh, root, table, pk, [mark_col], mark, partition_by)
 

@@ -32,9 +32,9 @@ def merge_frames(
     fresh = new if unique else one_per_key(new, pk, latest)
     absent = [name for name in old.columns if name not in new.columns]
     if absent:
-        kept_values = old.filter(F.col(pk).isNotNull()).select(pk, *absent)
+        kept_values = old.join(new.select(pk).distinct(), pk, "left_semi").select(pk, *absent)
         fresh = fresh.join(kept_values, pk, "left")
-    untouched = old.join(new.select(pk), pk, "left_anti")
+    untouched = old.join(new.select(pk).distinct(), pk, "left_anti")
     return untouched.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -56,21 +56,32 @@ def merge_into_partitions(
     """
     table = spark.read.parquet(path)
     fresh = one_per_key(new, pk, latest)
-    leaving = table.select(pk, *partition_by).join(new.select(pk), pk, "left_semi")
+    leaving = table.select(pk, *partition_by).join(new.select(pk).distinct(), pk, "left_semi")
     places = fresh.select(*partition_by).union(leaving.select(*partition_by)).distinct()
     touched = stage(places, "touched")
-    old = null_safe_join(table, touched, partition_by, "left_semi")
+    old = null_safe_join(_folders(table, touched, partition_by), touched, partition_by, "left_semi")
     merged = stage(merge_frames(old, fresh, pk, unique=True), "merge")
     write_partitioned(merged, path, partition_by)
     emptied = null_safe_join(touched, merged.select(*partition_by), partition_by, "left_anti")
     _drop_rows_of(spark, path, emptied, partition_by)
 
 
+def _folders(table: DataFrame, touched: DataFrame, partition_by: list[str]) -> DataFrame:
+    """``table`` filtered to values that ``touched`` has, column by column, so that the scan lists only
+    folders that may be touched. The values are some of the table's folder names."""
+    for column in partition_by:
+        values = [row[0] for row in touched.select(column).distinct().collect()]
+        named = [value for value in values if value is not None]
+        condition = F.col(column).isin(named) if named else F.lit(False)
+        table = table.filter(condition | F.col(column).isNull() if None in values else condition)
+    return table
+
+
 def _drop_rows_of(spark: SparkSession, path: str, places: DataFrame, partition_by: list[str]) -> None:
     """Delete the files of folders that lost all their rows; an overwrite leaves such folders as they are."""
     if places.isEmpty():
         return
-    stale = null_safe_join(spark.read.parquet(path), places, partition_by, "left_semi")
+    stale = null_safe_join(_folders(spark.read.parquet(path), places, partition_by), places, partition_by, "left_semi")
     files = stale.select(F.col("_metadata.file_path").alias("file")).distinct()
     for row in files.toLocalIterator():
         # the metadata column holds the path as an encoded URI

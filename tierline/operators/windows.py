@@ -140,9 +140,25 @@ def _previous_sliced(
     return joined.withColumn(name, previous).drop(ROW, SLICE, "__nth", "__carried")
 
 
-def top_k(df: DataFrame, order: list[Column], k: int, keys: list[str] | None = None) -> DataFrame:
-    """The first ``k`` rows, overall or per group. Spark limits both on the map side."""
-    if not keys:
-        return df.orderBy(*order).limit(k)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__nth", F.row_number().over(window)).filter(F.col("__nth") <= k).drop("__nth")
+GROUP_LIMIT = 1000  # Spark's own bound for limiting groups before the shuffle
+
+
+def top_k(
+    df: DataFrame,
+    order: list[Column],
+    k: int,
+    keys: list[str] | None = None,
+    rows_per_task: int | None = settings.ROWS_PER_TASK,
+) -> DataFrame:
+    """The first ``k`` rows, overall or per group.
+
+    Spark limits small groups on the map side. For a larger ``k`` the rows are numbered, too large
+    groups in slices, so that none is sorted in a single task.
+    """
+    if k <= GROUP_LIMIT:
+        if not keys:
+            return df.orderBy(*order).limit(k)
+        window = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn("__nth", F.row_number().over(window)).filter(F.col("__nth") <= k).drop("__nth")
+    numbered = number_within(df, keys or [], order, "__nth", rows_per_task)
+    return numbered.filter(F.col("__nth") <= k).drop("__nth")

@@ -87,12 +87,13 @@ def transform_orders(orders: DataFrame, run: Run = Run()) -> DataFrame:
             "net_revenue": money.net_revenue(price),
         }
     )
-    rows = dense_rank_within(
-        rows, ["category"], "rating_rate", "rank_in_category", rows_per_task=run.rows_per_task
-    )
+    # the window first: measuring its output for the rank prunes it, while the rank's join would stay
     rows = previous_within(
         rows, ["product_id"], ["order_date", "order_id"], "price", "prev_price", run.rows_per_task
     )
+    rows = dense_rank_within(
+        rows, ["category"], "rating_rate", "rank_in_category", rows_per_task=run.rows_per_task
+    )
     rows = rows.withColumn("price_change", money.price_change(price, F.col("prev_price")))
     source = run.table("silver", "silver_orders")
     return stamp(rows, "silver_transformed", source, run.name, run.env, run.ts)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tierline.operators.incremental import high_mark, upsert_rows
+from tierline.operators.incremental import high_mark, read_mark, upsert_rows
+from tierline.session import stage
 
 
 def stream_upsert(
@@ -33,8 +34,9 @@ def stream_upsert(
     def apply(batch: DataFrame, batch_id: int) -> None:
         nonlocal batches
         own = batch.sparkSession  # a batch lives in the query's clone of the session
-        mark = high_mark(batch, latest[0])
-        upsert_rows(own, batch, root, table, pk, latest, mark, partition_by)
+        fresh = stage(batch, "batch")  # read several times below
+        mark = high_mark(fresh, latest[0], read_mark(own, root, table))
+        upsert_rows(own, fresh, root, table, pk, latest, mark, partition_by)
         batches += 1
 
     reader = spark.readStream.schema(schema).format(file_format)

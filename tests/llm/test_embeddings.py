@@ -74,6 +74,13 @@ def test_clusters(spark, monkeypatch, tile, small):
     check(embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect(), rows)
 
 
+def test_more_hashes(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "ROWS_BY_HASHES", (10, 1 << 40))
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    wide = table.selectExpr("vec_id", "cast(embedding as array<double>) AS embedding", "label")
+    check(embeddings.near_duplicates(wide).collect(), [tuple(r) for r in table.collect()])
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     v = [1.0, 2.0, 3.0]

@@ -70,6 +70,11 @@ def codes(x: np.ndarray, tables: int, hashes: int, seed: int = 23) -> np.ndarray
     return out
 
 
+def _code_type(hashes: int) -> type:
+    """Wide enough for (twice the dimension) to the power of ``hashes``."""
+    return np.int32 if hashes == 1 else np.int64
+
+
 def _classes(valid: DataFrame) -> DataFrame:
     return stage(
         valid.groupBy("k").agg(
@@ -79,7 +84,7 @@ def _classes(valid: DataFrame) -> DataFrame:
     )
 
 
-def _filed(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
+def _filed(classes: DataFrame, tables: int, hashes: int, dtype: str) -> DataFrame:
     """One row for each class, table and bucket it is filed under."""
     schema = "where long, own boolean, at int, code long, label string, rep long, n long, vec binary, codes binary"
     probes = 1 << hashes
@@ -99,8 +104,8 @@ def _filed(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
                     table = np.tile(np.repeat(np.arange(tables), probes), len(rows))
                     base = np.tile(np.arange(probes) == 0, len(rows) * tables)
                     held = own.select(["label", "rep", "n"]).take(pa.array(every))
-                    vec = pa.array([r.tobytes() for r in x]).take(pa.array(every))
-                    known = pa.array([r.tobytes() for r in found]).take(pa.array(every))
+                    vec = pa.array([r.tobytes() for r in x.astype(dtype)]).take(pa.array(every))
+                    known = pa.array([r.tobytes() for r in found.astype(_code_type(hashes))]).take(pa.array(every))
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(every), dim, np.int64)), pa.array(base), pa.array(table.astype(np.int32)),
@@ -123,7 +128,7 @@ def _first_meeting(mine: np.ndarray, theirs: np.ndarray, table: np.ndarray, code
     return (first == table) & (chosen == code)
 
 
-def _compare(tables: int, hashes: int, threshold: float):
+def _compare(tables: int, hashes: int, threshold: float, dtype: str):
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
@@ -157,7 +162,7 @@ def _compare(tables: int, hashes: int, threshold: float):
         label = np.unique(rows.column("label").to_pylist(), return_inverse=True)[1]
         raw = rows.column("vec").to_pylist()
         wide = np.array([len(r) for r in raw])
-        known = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.int64).reshape(len(rows), tables, 1 << hashes)
+        known = np.frombuffer(b"".join(rows.column("codes").to_pylist()), _code_type(hashes)).reshape(len(rows), tables, 1 << hashes)
         links = np.zeros(len(rows), np.int64)
         forest = Forest(len(rows))
 
@@ -174,7 +179,7 @@ def _compare(tables: int, hashes: int, threshold: float):
             return (own[i] | own[j]) & (label[i] == label[j]) & (wide[i] == wide[j]) & (~tiled[i] | (side[i] != side[j])) & (rep[i] != rep[j])
 
         def unit(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            x = np.frombuffer(b"".join([raw[k] for k in which]), np.float64).reshape(len(which), -1)
+            x = np.frombuffer(b"".join([raw[k] for k in which]), dtype).astype(np.float64).reshape(len(which), -1)
             return x, np.linalg.norm(x, axis=1)
 
         for width in np.unique(wide):
@@ -228,7 +233,9 @@ def near_duplicates(
     total = classes.count()
     hashes = 1 + sum(total > most for most in ROWS_BY_HASHES)
     tables = TABLES[hashes]
-    filed = stage(_filed(classes, tables, hashes), "filed")
+    element = rows.schema[vector].dataType.elementType
+    dtype = "<f4" if isinstance(element, T.FloatType) else "<f8"  # as given: all arithmetic is double
+    filed = stage(_filed(classes, tables, hashes, dtype), "filed")
     counts = filed.groupBy("where").agg(F.count(F.lit(1)).alias("n"))
     large = counts.filter(F.col("n") > TILE).select("where", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
     tiled = attach(filed, large, "where", counts).withColumn("tiles", F.coalesce("tiles", F.lit(1)))
@@ -239,7 +246,7 @@ def near_duplicates(
         "own", "at", "code", "label", "rep", "n", "vec", "codes",
     )
     sorted_pairs = pairs.repartition("where", "ia", "ib").sortWithinPartitions("where", "ia", "ib", "side")
-    found = stage(sorted_pairs.mapInArrow(_compare(tables, hashes, threshold), "a long, b long, links long"), "links")
+    found = stage(sorted_pairs.mapInArrow(_compare(tables, hashes, threshold, dtype), "a long, b long, links long"), "links")
     sums = found.groupBy("a").agg(F.sum("links").alias("links"))
     linked = components(found.filter("b is not null").select("a", "b"))
     table = (

@@ -378,3 +378,25 @@ def test_upsert_with_absent_columns_and_repeated_keys(spark):
     new = spark.createDataFrame([(1, "c")] * 3 + [(3, "d"), (None, "m")], "k int, x string")
     got = sorted(map(tuple, upsert.merge_frames(old, new, "k").collect()), key=str)
     assert got == sorted([(1, "c", 10), (2, "b", 20), (None, "n", 0), (3, "d", None), (None, "m", None)], key=str)
+
+
+def test_zorder_tells_prefixed_strings_apart(spark):
+    source, target = scratch_path(spark, "prefixed"), scratch_path(spark, "zp")
+    df = spark.range(8000).selectExpr("format_string('Customer#%09d', pmod(hash(id), 1000)) AS s", "pmod(hash(id, 1), 1000) AS n")
+    df.repartition(4).write.parquet(source)
+    size = quality.table_stats(spark, source).first()["bytes"]
+    layout.zorder(spark, source, target, ["s", "n"], file_bytes=size // 16)
+    spans = spark.read.parquet(target).groupBy("_metadata.file_path").agg(
+        (F.substring(F.max("s"), 10, 9).cast("int") - F.substring(F.min("s"), 10, 9).cast("int")).alias("s"),
+        (F.max("n") - F.min("n")).alias("n"),
+    )
+    found = spans.agg(F.count("s"), F.avg("s"), F.avg("n")).first()
+    assert found[0] >= 12 and found[1] < 600 and found[2] < 600
+    assert rows(spark.read.parquet(target)) == rows(df)
+
+
+def test_zorder_of_too_many_columns_says_so(spark):
+    many = spark.range(3).select(*[F.col("id").alias(f"c{i}") for i in range(20)])
+    assert layout.with_z_value(many, many.columns, "z", 3).select("z").distinct().count() > 1
+    with pytest.raises(ValueError, match="do not fit"):
+        layout.with_z_value(many, many.columns, "z", 5)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from tierline.operators.quality import table_stats
 
 _Z = "__z"
 _SALT = "__salt"
+Z_BITS = 62  # of a z-value, a bigint
+MOST_BITS = 9  # for each column, unless asked for
 
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "overwrite") -> None:
@@ -44,12 +47,13 @@ def compact(spark: SparkSession, source: str, target: str, file_bytes: int = set
     spark.read.parquet(source).coalesce(files).write.parquet(target)
 
 
-def _ordinal(column: str, data_type: DataType) -> Column:
-    """A number that follows the order of ``column``; for strings, of their first six bytes."""
+def _ordinal(column: str, data_type: DataType, skip: int = 0) -> Column:
+    """A number that follows the order of ``column``; for strings, of six bytes after the ``skip``
+    characters that all of them share."""
     value = F.col(column)
     if isinstance(data_type, StringType):
-        prefix = F.rpad(F.hex(F.substring(F.encode(value, "utf-8"), 1, 6)), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double")
+        own = F.encode(F.substring(value, skip + 1, 6), "utf-8")
+        return F.conv(F.rpad(F.hex(F.substring(own, 1, 6)), 12, "0"), 16, 10).cast("double")
     if isinstance(data_type, DateType):
         return F.unix_date(value).cast("double")
     if isinstance(data_type, (TimestampType, TimestampNTZType)):
@@ -74,21 +78,31 @@ def _spread(position: int, bits: int, stride: int, offset: int) -> int:
     return sum(((position >> bit) & 1) << (bit * stride + offset) for bit in range(bits))
 
 
-def with_z_value(
-    df: DataFrame, columns: list[str], name: str, bits: int = 5, sampled: float = 1.0
-) -> DataFrame:
+def _shared_prefixes(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    """How many leading characters all values of each string column share: those of its extremes."""
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
+    if not texts:
+        return {}
+    ends = df.agg(*[f(c) for c in texts for f in (F.min, F.max)]).first()
+    pairs = {c: [end for end in ends[2 * i : 2 * i + 2] if end is not None] for i, c in enumerate(texts)}
+    return {c: len(os.path.commonprefix(pair)) for c, pair in pairs.items()}
+
+
+def with_z_value(df: DataFrame, columns: list[str], name: str, bits: int = 5) -> DataFrame:
     """Adds the interleaved bits of each column's quantile position; nulls sort first.
 
     Quantiles rather than raw values make each bit halve the rows, whatever the distribution. They
-    are taken from a share of the rows, as they only shape the layout, and leave at most ``2**bits``
-    numbers per column on the driver.
+    come from all rows, by sketches that merge, and leave at most ``2**bits`` numbers per column on
+    the driver.
     """
-    ordinals = {f"__ordinal_{c}": _ordinal(c, df.schema[c].dataType) for c in columns}
+    if not 1 <= bits * len(columns) <= Z_BITS:
+        raise ValueError(f"{len(columns)} columns of {bits} bits do not fit a z-value of {Z_BITS} bits")
+    skip = _shared_prefixes(df, columns)
+    ordinals = {f"__ordinal_{c}": _ordinal(c, df.schema[c].dataType, skip.get(c, 0)) for c in columns}
     numbered = df.withColumns(ordinals)
-    measured = numbered if sampled >= 1 else numbered.sample(sampled, seed=1)
     steps = [i / 2**bits for i in range(1, 2**bits)]
     z = F.lit(0).cast("bigint")
-    for index, bounds in enumerate(measured.approxQuantile(list(ordinals), steps, 0.01)):
+    for index, bounds in enumerate(numbered.approxQuantile(list(ordinals), steps, min(0.01, 0.25 / 2**bits))):
         value, bounds = F.col(f"__ordinal_{columns[index]}"), sorted(set(bounds))
         results = [_spread(position, bits, len(columns), index) for position in range(len(bounds) + 1)]
         part = F.when(value.isNull(), 0).otherwise(_by_bounds(value, bounds, results))
@@ -101,23 +115,25 @@ def zorder(
     source: str,
     target: str,
     columns: list[str],
-    bits: int = 5,
+    bits: int | None = None,
     file_bytes: int = settings.FILE_BYTES,
 ) -> None:
     """Rewrite the table at ``source`` so that rows close in all of ``columns`` share files.
 
-    Rows with the same z-value, however many, spread over tasks by their place in the source files:
+    Without ``bits`` each column is cut into as many intervals as there are files, up to
+    2**MOST_BITS; within a cell rows are ordered by the columns themselves. Rows with the same z-value, however many, spread over tasks by their place in the source files:
     a salt that is stable when a task runs again.
     """
     table = spark.read.parquet(source)
     stats = table_stats(spark, source).first()
     files = max(1, math.ceil(stats["bytes"] / file_bytes))
-    sampled = settings.QUANTILE_ROWS / max(1, stats["rows"])
+    if bits is None:
+        bits = max(1, min(max(5, math.ceil(math.log2(files))), MOST_BITS, Z_BITS // len(columns)))
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     (
-        with_z_value(table.withColumn(_SALT, place), columns, _Z, bits, sampled)
-        .repartitionByRange(files, _Z, _SALT)
-        .sortWithinPartitions(_Z)
+        with_z_value(table.withColumn(_SALT, place), columns, _Z, bits)
+        .repartitionByRange(files, _Z, *columns, _SALT)
+        .sortWithinPartitions(_Z, *columns)
         .drop(_Z, _SALT)
         .write.parquet(target)
     )

@@ -179,7 +179,7 @@ FROM best LEFT JOIN dim_product USING (product_id)"""
 # --- Marts, star ------------------------------------------------------------------------------
 ORACLES["sales_by_category"] = f"""WITH {SALE_LINES}
 SELECT category, order_year, order_month, {_CATEGORY_METRICS} FROM sale_lines GROUP BY ALL"""
-ORACLES["sales_by_category_estimate"] = f"""SELECT * EXCLUDE (unique_products)
+ORACLES["sales_by_category_estimate"] = f"""SELECT * EXCLUDE (unique_products), true AS estimate_close
 FROM ({ORACLES["sales_by_category"]})"""
 ORACLES["sales_by_date"] = f"""WITH {SALE_LINES}
 SELECT order_year, order_month, order_day, is_weekend, {_total("revenue")} AS daily_revenue,
@@ -340,6 +340,15 @@ ORACLES["json_scan"] = """SELECT CAST(p_partkey AS INTEGER) AS order_id, CAST(p_
   CASE WHEN p_type = 'LARGE' THEN 0 ELSE p_size END AS rating_count,
   TIMESTAMP '2024-01-01' AS order_date, 'rest_api' AS source FROM part"""
 ORACLES["csv_scan"] = f"WITH {RAW_PRODUCTS} SELECT * FROM raw_products"
+ORACLES["catalog_database"] = """SELECT count(*) AS rows_read, count(*) AS rows_written, false AS before,
+  true AS after FROM orders"""
+ORACLES["incremental_null_marks"] = """WITH s AS (SELECT * REPLACE (
+    CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS o_orderdate) FROM orders)
+SELECT * FROM s WHERE o_orderstatus = 'F' OR o_orderdate IS NULL
+  OR o_orderdate > (SELECT max(o_orderdate) FROM s WHERE o_orderstatus = 'F')"""
+ORACLES["top_2000_per_flag"] = """SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
+FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_returnflag
+  ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) <= 2000"""
 ORACLES["catalog_table"] = "SELECT * FROM orders"
 ORACLES["partitioned_read"] = """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year,
   CAST(month(o_orderdate) AS INTEGER) AS order_month FROM orders"""
@@ -350,8 +359,8 @@ ORACLES["evolved_read"] = """SELECT * REPLACE (CASE WHEN o_orderdate > TIMESTAMP
   AS o_orderpriority) FROM orders"""
 ORACLES["zorder_rows"] = "SELECT * FROM lineitem"
 ORACLES["compact_rows"] = "SELECT * FROM orders"
-ORACLES["table_stats"] = """SELECT count(*) AS rows, CAST(11 AS BIGINT) AS columns, CAST(1 AS BIGINT) AS files
-FROM lineitem"""
+ORACLES["table_stats"] = """SELECT count(*) AS rows, CAST(11 AS BIGINT) AS columns, CAST(1 AS BIGINT) AS files,
+  true AS has_bytes FROM lineitem"""
 
 
 def _null_counts() -> str:

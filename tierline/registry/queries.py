@@ -43,9 +43,13 @@ def sales_by_category(spark, sf):
 
 @query
 def sales_by_category_estimate(spark, sf):
-    """The mart with estimated distinct counts, which need one shuffle less; the estimate is left out."""
-    mart = gold.sales_by_category(inputs.sale_lines(spark, sf), RUN, estimate_distinct=True)
-    return _business(mart).drop("unique_products")
+    """The mart with estimated distinct counts, which need one shuffle less, held against the exact ones."""
+    lines = inputs.sale_lines(spark, sf)
+    mart = _business(gold.sales_by_category(lines, RUN, estimate_distinct=True))
+    named = [name for name in ("category", "order_year", "order_month") if name in mart.columns]
+    exact = lines.groupBy(*named).agg(F.countDistinct("product_id").alias("exact"))
+    close = F.abs(F.col("unique_products") - F.col("exact")) <= 0.2 * F.col("exact")
+    return joins.null_safe_join(mart, exact, named).withColumn("estimate_close", close).drop("unique_products", "exact")
 
 
 @query
@@ -510,6 +514,24 @@ def incremental_two_runs(spark, sf):
     return incremental.current(spark, root, "orders")
 
 
+@query
+def incremental_null_marks(spark, sf):
+    """Filled orders first, then all; low-priority ones carry no date and must enter all the same."""
+    root = scratch_path(spark, "incremental")
+    dated = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate"))
+    orders = load(spark, sf, "orders").withColumn("o_orderdate", dated)
+    for source in (orders.filter("o_orderstatus = 'F'"), orders):
+        incremental.load(source, root, "orders", "incremental", "o_orderdate", "o_orderkey")
+    return incremental.current(spark, root, "orders")
+
+
+@query
+def top_2000_per_flag(spark, sf):
+    order = [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")]
+    lines = load(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return windows.top_k(lines, order, 2000, ["l_returnflag"])
+
+
 @query
 def incremental_partitions(spark, sf):
     """The same two runs into a table partitioned by a column that re-dated rows move across."""
@@ -599,6 +621,20 @@ def catalog_table(spark, sf):
     return tables.read_table(spark, name)
 
 
+@query
+def catalog_database(spark, sf):
+    """A table in a database of its own: whether it is there before and after, and the rows written."""
+    name = f"tierline_db_{uuid.uuid4().hex}.orders"
+    tables.ensure_database(spark, name.split(".")[0])
+    before = tables.exists(spark, name)
+    written = tables.save_table(load(spark, sf, "orders"), name)
+    after = tables.exists(spark, name)
+    rows = tables.read_table(spark, name).agg(F.count(F.lit(1)).alias("rows_read"))
+    return rows.withColumns(
+        {"rows_written": F.lit(written).cast("bigint"), "before": F.lit(before), "after": F.lit(after)}
+    )
+
+
 @query
 def partitioned_read(spark, sf):
     path = scratch_path(spark, "partitioned")
@@ -650,7 +686,7 @@ def compact_rows(spark, sf):
 
 @query
 def table_stats(spark, sf):
-    return quality.table_stats(spark, f"{sf}/lineitem.parquet").select("rows", "columns", "files")
+    return quality.table_stats(spark, f"{sf}/lineitem.parquet").selectExpr("rows", "columns", "files", "bytes > 0 AS has_bytes")
 
 
 @query

@@ -400,3 +400,15 @@ def test_zorder_of_too_many_columns_says_so(spark):
     assert layout.with_z_value(many, many.columns, "z", 3).select("z").distinct().count() > 1
     with pytest.raises(ValueError, match="do not fit"):
         layout.with_z_value(many, many.columns, "z", 5)
+
+
+def test_rewrites_keep_folders(spark):
+    source = scratch_path(spark, "folders")
+    df = spark.range(2000).selectExpr("id", "id % 50 AS b", "id % 4 AS p")
+    layout.write_partitioned(df, source, ["p"])
+    for name, rewrite in (("c", layout.compact), ("z", lambda *a, **k: layout.zorder(*a, ["id", "b"], **k))):
+        target = scratch_path(spark, name)
+        rewrite(spark, source, target, partition_by=["p"])
+        back = spark.read.parquet(target)
+        assert sorted(map(tuple, back.select("id", "b", "p").collect())) == sorted(map(tuple, df.collect()))
+        assert "PartitionFilters: [isnotnull(p" in plan(back.filter("p = 1"))

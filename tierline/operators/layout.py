@@ -38,11 +38,21 @@ def read_evolved(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
-def compact(spark: SparkSession, source: str, target: str, file_bytes: int = settings.FILE_BYTES) -> None:
-    """Rewrite many small files as few of about ``file_bytes``, without a shuffle.
+def compact(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    file_bytes: int = settings.FILE_BYTES,
+    partition_by: list[str] | None = None,
+) -> None:
+    """Rewrite many small files as few of about ``file_bytes``.
 
-    A scan already packs small files into splits; coalescing joins neighbouring splits.
+    A scan already packs small files into splits; coalescing joins neighbouring splits without a
+    shuffle. A table with folders keeps them by ``partition_by``.
     """
+    if partition_by:
+        write_partitioned(spark.read.parquet(source), target, partition_by)
+        return
     files = max(1, math.ceil(table_stats(spark, source).first()["bytes"] / file_bytes))
     spark.read.parquet(source).coalesce(files).write.parquet(target)
 
@@ -117,11 +127,12 @@ def zorder(
     columns: list[str],
     bits: int | None = None,
     file_bytes: int = settings.FILE_BYTES,
+    partition_by: list[str] | None = None,
 ) -> None:
     """Rewrite the table at ``source`` so that rows close in all of ``columns`` share files.
 
     Without ``bits`` each column is cut into as many intervals as there are files, up to
-    2**MOST_BITS; within a cell rows are ordered by the columns themselves. Rows with the same z-value, however many, spread over tasks by their place in the source files:
+    2**MOST_BITS; ``partition_by`` keeps a table's folders, each in z-order. Within a cell rows are ordered by the columns themselves. Rows with the same z-value, however many, spread over tasks by their place in the source files:
     a salt that is stable when a task runs again.
     """
     table = spark.read.parquet(source)
@@ -130,10 +141,12 @@ def zorder(
     if bits is None:
         bits = max(1, min(max(5, math.ceil(math.log2(files))), MOST_BITS, Z_BITS // len(columns)))
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    folders = partition_by or []
     (
         with_z_value(table.withColumn(_SALT, place), columns, _Z, bits)
-        .repartitionByRange(files, _Z, *columns, _SALT)
-        .sortWithinPartitions(_Z, *columns)
+        .repartitionByRange(files, *folders, _Z, *columns, _SALT)
+        .sortWithinPartitions(*folders, _Z, *columns)
         .drop(_Z, _SALT)
-        .write.parquet(target)
+        .write.partitionBy(*folders)
+        .parquet(target)
     )

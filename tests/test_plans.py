@@ -21,9 +21,9 @@ PRODUCTS = [
     (5, "Coffee Maker", "Kitchen", 75.50, 60, "SUP004", "DE", "2024-01-19"),
 ]
 CUSTOMERS = [
-    (1, "Rahul", "Sharma", "rahul@gmail.com", "9999999999", "Delhi", "IN", "2024-01-01", "2024-01-10", 1),
-    (2, "Ankit", "Verma", "ankit@gmail.com", "8888888888", "Mumbai", "IN", "2024-01-02", "2024-01-11", 1),
-    (3, "John", "Doe", "john@gmail.com", "7777777777", "NY", "US", "2024-01-03", "2024-01-12", 1),
+    (1, "Ilka", "Tavor", "ilka@post.example", "5550100001", "Nordhafen", "IN", "2024-01-01", "2024-01-10", 1),
+    (2, "Benno", "Quist", "benno@post.example", "5550100002", "Südstadt", "IN", "2024-01-02", "2024-01-11", 1),
+    (3, "Mara", "Lund", "mara@post.example", "5550100003", "Eastbay", "US", "2024-01-03", "2024-01-12", 1),
 ]
 CUSTOMER_SCHEMA = (
     "customer_id bigint, first_name string, last_name string, email string, phone string, city string, "
@@ -77,9 +77,9 @@ def test_customers(made):
     columns = ["customer_id", "region", "seniority_rank", "tenure_days", "tenure_bucket", "full_name", "is_active"]
     found = made["silver_customers_transformed"].select(*columns).orderBy("customer_id").collect()
     assert [tuple(r) for r in found] == [
-        (1, "Asia", 1, 152, "Regular", "Rahul Sharma", True),
-        (2, "Asia", 2, 151, "Regular", "Ankit Verma", True),
-        (3, "North America", 1, 150, "Regular", "John Doe", True),
+        (1, "Asia", 1, 152, "Regular", "Ilka Tavor", True),
+        (2, "Asia", 2, 151, "Regular", "Benno Quist", True),
+        (3, "North America", 1, 150, "Regular", "Mara Lund", True),
     ]
 
 

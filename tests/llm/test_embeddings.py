@@ -2,6 +2,7 @@
 
 import math
 
+import compare
 import numpy as np
 import pytest
 
@@ -99,3 +100,8 @@ def test_edges(spark):
 def test_real_vectors(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     check(embeddings.near_duplicates(table).collect(), [tuple(r) for r in table.collect()])
+
+
+def test_matches_sql(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    assert compare.differences(embeddings.near_duplicates(table), compare.duck("/root/testdata/sf0.01"), embeddings.ORACLE) == []

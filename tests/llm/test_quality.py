@@ -3,6 +3,9 @@
 import re
 from collections import Counter
 
+import compare
+import pytest
+
 from tierline.llm import quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -68,3 +71,9 @@ def test_empty_and_repeated_rows(spark):
     assert quality.judged(empty).count() == 0 and quality.keep_good(empty).count() == 0
     twice = spark.createDataFrame([(None, PROSE), (None, PROSE)], "doc_id long, text string")
     assert [r.kept for r in quality.judged(twice).collect()] == [True, True]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_matches_sql(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    assert compare.differences(quality.judged(docs), compare.duck(f"/root/testdata/{sf}"), quality.oracle()) == []

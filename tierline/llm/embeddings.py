@@ -260,3 +260,27 @@ def near_duplicates(
     out = joined.select("id", "n_links", "component_id").unionByName(alone)
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
     return out.select(F.col("id").alias(key), "n_links", "component_id", kept.alias("kept"))
+
+
+#: DuckDB SQL for ``near_duplicates`` over the table embeddings, by comparing all pairs of a label.
+ORACLE = f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), usable AS (
+  SELECT *, sqrt(list_inner_product(v, v)) AS norm FROM vectors
+  WHERE label IS NOT NULL AND len([x for x in v if x IS NOT NULL AND isfinite(x)]) = len(v) AND len([x for x in v if x <> 0]) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= CAST({THRESHOLD} AS DOUBLE)
+), reached AS (
+  SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), named AS (
+  SELECT a, min(b) AS least FROM reached GROUP BY a
+), counted AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+  vec_id <= coalesce(least, vec_id) AS kept
+FROM vectors LEFT JOIN counted ON vec_id = counted.a LEFT JOIN named ON vec_id = named.a
+"""

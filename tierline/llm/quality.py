@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.exprs import SPACES, let, whole, words_of
+from tierline.llm.exprs import SPACES, WORD, let, whole, words_of
 
 # Frequent function words of the four languages of the corpus.
 STOP_WORDS = {
@@ -164,3 +164,47 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "tex
         return ~base_failed(m) & verdict(m, rules)
 
     return docs.filter(let(measures(F.col(text)), kept))
+
+
+def _limits(rules: tuple[Rule, ...]) -> str:
+    bounds = [(r.measure, op, b) for r in rules for op, b in ((">=", r.low), ("<=", r.high)) if b is not None]
+    return " AND ".join(f"{measure} {op} CAST({bound} AS DOUBLE)" for measure, op, bound in bounds)
+
+
+def oracle(rules: tuple[Rule, ...] = RULES) -> str:
+    """DuckDB SQL for ``judged`` over the table documents."""
+    stop = ", ".join(f"'{word}'" for word in sorted({word for words in STOP_WORDS.values() for word in words}))
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') AS words
+  FROM documents
+), placed AS (
+  SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d
+), windows AS (
+  SELECT r, i, w AS a, lead(w) OVER x AS b, lead(w, 2) OVER x AS c FROM placed WINDOW x AS (PARTITION BY r ORDER BY i)
+), counted AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM windows WHERE c IS NOT NULL
+), repeats AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM counted, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY r
+), basics AS (
+  SELECT d.r, doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '{SYMBOLS}')) AS BIGINT) AS n_symbols,
+    [line for line in string_split(t, chr(10)) if regexp_matches(line, '{WORD}')] AS lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+    len([w for w in words if lower(w) IN ({stop})]) AS n_stop_words
+  FROM d LEFT JOIN repeats ON d.r = repeats.r
+), measured AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    n_repeat_words,
+    coalesce(word_chars / nullif(n_words, 0), 0.0::DOUBLE) AS mean_word_length,
+    coalesce(n_symbols / nullif(n_words, 0), 0.0::DOUBLE) AS symbol_ratio,
+    coalesce(n_stop_words / nullif(n_words, 0), 0.0::DOUBLE) AS stop_word_ratio,
+    coalesce((len(lines) - len(list_distinct(lines))) / nullif(len(lines), 0), 0.0::DOUBLE) AS dup_line_ratio,
+    coalesce(n_repeat_words / nullif(n_words, 0), 0.0::DOUBLE) AS repeat_word_ratio,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM basics
+)
+SELECT *, NOT base_failed AND {_limits(rules)} AS kept FROM measured
+"""

@@ -110,4 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_embedding_near_dedup": embeddings.ORACLE,
+    "op4_mixing": mixing.ORACLE,
+    "op7_quality_rules": quality.oracle(),
+}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tierline.operators import clean, incremental, joins, layout, quality, slices, upsert, windows
 from tierline.session import scratch_path, stage
+from tierline.sources import tables
 from tierline.streaming.load import stream_upsert
 
 
@@ -412,3 +413,74 @@ def test_rewrites_keep_folders(spark):
         back = spark.read.parquet(target)
         assert sorted(map(tuple, back.select("id", "b", "p").collect())) == sorted(map(tuple, df.collect()))
         assert "PartitionFilters: [isnotnull(p" in plan(back.filter("p = 1"))
+
+
+# --- merges that survive a lost driver, named and optimised tables ---
+
+
+def test_half_merged_folders_lose_nothing(spark, monkeypatch):
+    root = scratch_path(spark, "crash")
+    schema = "k int, t timestamp, p string"
+    at = lambda day: DAY + dt.timedelta(days=day)
+    run = lambda data: incremental.load(
+        spark.createDataFrame(data, schema), root, "t", "incremental", "t", "k", partition_by=["p"]
+    )
+    run([(1, at(1), "a"), (2, at(1), "a"), (3, at(1), "b"), (4, at(1), "c")])
+
+    def dies(spark, path, prepared):
+        local = path.removeprefix("file:")
+        for name in os.listdir(f"{local}/p=a"):  # an overwrite deletes a folder before its rows come
+            os.remove(f"{local}/p=a/{name}")
+        raise RuntimeError("the driver is lost")
+
+    delta = [(1, at(2), "b"), (4, at(2), "d"), (5, at(2), "a")]
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(incremental, "apply_merge", dies)
+        run(delta)
+    want = [(1, "b"), (2, "a"), (3, "b"), (4, "d"), (5, "a")]
+    seen = lambda: rows(incremental.current(spark, root, "t").select("k", "p"))
+    assert seen() == want
+    state = run([(1, at(1), "old")])
+    assert state.pending is None and state.seq == 2 and seen() == want
+    run([(6, at(3), "b")])
+    assert seen() == [*want, (6, "b")]
+    local = f"{root}/t".removeprefix("file:")
+    assert not [name for name in os.listdir(local) if name.startswith("pending")]
+    assert not os.path.exists(f"{local}/snapshot-000001/p=c")
+
+
+def test_configured_folders_are_left_out_again(spark):
+    root = scratch_path(spark, "configured")
+    schema = "order_id int, order_date timestamp, v string"
+    first = spark.createDataFrame([(1, DAY, "a"), (2, None, "b")], schema)
+    incremental.load_configured(first.limit(0), root, "orders")
+    assert incremental.loaded(spark, root, "orders").columns == first.columns
+    incremental.load_configured(first, root, "orders")
+    incremental.load_configured(spark.createDataFrame([(2, DAY + dt.timedelta(days=40), "B")], schema), root, "orders")
+    assert [(r[0], r[2]) for r in rows(incremental.loaded(spark, root, "orders"))] == [(1, "a"), (2, "B")]
+
+
+def test_named_table_takes_new_columns(spark):
+    root = scratch_path(spark, "named")
+    incremental.upsert_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), root, "named_unit.t", "k")
+    incremental.upsert_table(spark.createDataFrame([(2, 7)], "k int, extra int"), root, "named_unit.t", "k")
+    assert rows(spark.read.table("named_unit.t").select("k", "v", "extra")) == [(1, "a", None), (2, "b", 7)]
+
+
+def test_optimised_table_keeps_folders_and_pruning(spark):
+    root = scratch_path(spark, "optimised")
+    data = spark.range(4000).selectExpr("id", "id % 97 AS other", "concat('0', id % 4) AS p")
+    tables.save_table(data, "optimised_unit", ["p"])
+    for _ in range(2):
+        layout.optimise_table(spark, "optimised_unit", ["id", "other", "p"], root, file_bytes=4096)
+    table = spark.read.table("optimised_unit")
+    assert table.exceptAll(data).count() == 0 and table.count() == 4000
+    assert dict(table.dtypes)["p"] == "string" and tables.folders_of(spark, "optimised_unit") == ["p"]
+    one = table.filter("p = '02'")
+    assert "PartitionFilters: [isnotnull(p" in plan(one) and one.count() == 1000
+    assert len(spark.sql("SHOW PARTITIONS optimised_unit").collect()) == 4
+    spark.sql("ALTER TABLE optimised_unit RENAME TO optimised_unit__next")  # where a lost driver may leave it
+    layout.optimise_table(spark, "optimised_unit", [], root)
+    assert spark.read.table("optimised_unit").count() == 4000
+    tables.save_table(data.limit(5), "optimised_unit", ["p"])
+    assert spark.read.table("optimised_unit").count() == 5

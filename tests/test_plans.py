@@ -233,3 +233,26 @@ def test_jdbc_options():
     options = jdbc.partition_options("jdbc:x:y", "customers", "customer_id", 1, 1000, 8)
     assert options["partitionColumn"] == "customer_id" and options["numPartitions"] == "8"
     assert (options["lowerBound"], options["upperBound"]) == ("1", "1000")
+
+
+def test_raw_tables_load_by_mode_and_silver_is_optimised(spark, raw):
+    run = Run(as_of=RUN.as_of, ts=RUN.ts, env="modes")
+    root = scratch_path(spark, "layers")
+    build = lambda **changed: layers.build_tables(
+        spark, **{**raw, **changed}, dates=gold.dim_date(spark, run=run), run=run, root=root
+    )
+    build()
+    later = raw["orders"].filter("order_id = 6").withColumns(
+        {"order_id": F.lit(7), "order_date": F.lit(dt.datetime(2024, 3, 1))}
+    )
+    counts = build(orders=later, products=raw["products"].limit(2))
+    assert counts["ecommerce_bronze_modes.bronze_orders"] == 7
+    assert counts["ecommerce_bronze_modes.bronze_products"] == 2
+    assert counts["ecommerce_silver_modes.silver_orders_transformed"] == 5
+    assert spark.read.table("ecommerce_bronze_modes.bronze_customers").columns == raw["customers"].columns
+    before = spark.read.table("ecommerce_silver_modes.silver_orders_transformed").collect()
+    stats = layers.optimise_tables(spark, f"{root}/optimised", run)
+    assert stats["ecommerce_silver_modes.silver_orders_transformed"]["rows"] == 5
+    assert len(stats) == 3
+    after = spark.read.table("ecommerce_silver_modes.silver_orders_transformed").collect()
+    assert sorted(map(str, before)) == sorted(map(str, after))

@@ -4,6 +4,11 @@ A table lives below ``root/table``: ``snapshot-N`` folders with data and an appe
 log. One line of that log names the current snapshot and its high mark together, and is written
 after the data. A run that dies before leaves the old state valid; the next run writes the same
 snapshot again, and the keyed upsert absorbs rows it meets twice. One writer per table at a time.
+
+A table with folders is updated in place. The rows of the folders a run touches are written beside the
+table first; the line that commits them calls them ``pending``, and a second line says that the folders
+hold them. A run that dies in between loses nothing: readers take the pending rows in place of the
+touched folders, and the next run moves them in before anything else.
 """
 
 from __future__ import annotations
@@ -16,18 +21,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampType
 
 from tierline import settings
-from tierline.operators.layout import write_partitioned
-from tierline.operators.upsert import merge_frames, merge_into_partitions, one_per_key
-
-STATE_SCHEMA = "table_name string, last_watermark string, seq bigint, snapshot string"
+from tierline.operators.upsert import apply_merge, merge_frames, merged_view, one_per_key, prepare_merge
+from tierline.session import discard
+from tierline.sources.tables import publish
 
-IN_PLACE = "data"  # the folder of a table that is updated partition by partition
+STATE_SCHEMA = "table_name string, last_watermark string, seq bigint, snapshot string, pending string"
 
 
 class State(NamedTuple):
     mark: str | None
     seq: int
     snapshot: str
+    pending: str | None = None
 
 
 def _state_path(root: str, table: str) -> str:
@@ -42,13 +47,13 @@ def read_state(spark: SparkSession, root: str, table: str) -> State | None:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    last = log.filter(F.col("table_name") == table).orderBy(F.desc("seq")).first()
-    return State(last["last_watermark"], last["seq"], last["snapshot"]) if last else None
+    last = log.filter(F.col("table_name") == table).orderBy(F.desc("seq"), F.asc_nulls_first("pending")).first()
+    return State(last["last_watermark"], last["seq"], last["snapshot"], last["pending"]) if last else None
 
 
 def write_state(spark: SparkSession, root: str, table: str, state: State) -> None:
     """Append ``state``; call it after the data it names is written."""
-    row = [(table, state.mark, state.seq, state.snapshot)]
+    row = [(table, state.mark, state.seq, state.snapshot, state.pending)]
     frame = spark.createDataFrame(row, STATE_SCHEMA).coalesce(1)
     frame.write.mode("append").json(_state_path(root, table))
 
@@ -61,7 +66,23 @@ def read_mark(spark: SparkSession, root: str, table: str) -> str | None:
 def current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """The committed rows, or None before the first load."""
     state = read_state(spark, root, table)
-    return spark.read.parquet(f"{root}/{table}/{state.snapshot}") if state else None
+    if state is None:
+        return None
+    path = f"{root}/{table}/{state.snapshot}"
+    return merged_view(spark, path, f"{root}/{table}/{state.pending}") if state.pending else spark.read.parquet(path)
+
+
+def settled(spark: SparkSession, root: str, table: str) -> State | None:
+    """The last committed state, with its pending rows moved in."""
+    state = read_state(spark, root, table)
+    if state is None or state.pending is None:
+        return state
+    prepared = f"{root}/{table}/{state.pending}"
+    apply_merge(spark, f"{root}/{table}/{state.snapshot}", prepared)
+    state = state._replace(pending=None)
+    write_state(spark, root, table, state)
+    discard(spark, prepared)
+    return state
 
 
 def rows_after(df: DataFrame, column: str, mark: str | None, inclusive: bool = False) -> DataFrame:
@@ -98,13 +119,19 @@ def high_mark(df: DataFrame, column: str, stored: str | None = None) -> str | No
     return df.agg(newest.cast("string")).first()[0]
 
 
-def commit(spark: SparkSession, df: DataFrame, root: str, table: str, mark: str | None) -> State:
+def commit(
+    spark: SparkSession, df: DataFrame, root: str, table: str, mark: str | None, partition_by: list[str] | None = None
+) -> State:
     """Write ``df`` as the next snapshot, then make it current."""
     last = read_state(spark, root, table)
     seq = last.seq + 1 if last else 1
     state = State(mark, seq, f"snapshot-{seq:06d}")
+    if partition_by and df.isEmpty():
+        partition_by = None  # folders could not tell the schema of no rows
     # overwrite clears only what an unfinished run may have left at this not yet current path
-    df.write.mode("overwrite").parquet(f"{root}/{table}/{state.snapshot}")
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*(partition_by or []))
+    writer.parquet(f"{root}/{table}/{state.snapshot}")
     write_state(spark, root, table, state)
     return state
 
@@ -128,10 +155,10 @@ def load(
     """
     spark = df.sparkSession
     if mode == "full_load":
-        return commit(spark, df, root, table, None)
+        return commit(spark, df, root, table, None, partition_by)
     if mode != "incremental":
         raise ValueError(f"unknown load mode: {mode}")
-    last = read_state(spark, root, table)
+    last = settled(spark, root, table)
     fresh = rows_after(df, mark_col, last.mark if last else None, inclusive)
     mark = high_mark(fresh, mark_col, last.mark if last else None)
     if last is not None and fresh.isEmpty():
@@ -145,26 +172,47 @@ def upsert_rows(
     root: str,
     table: str,
     pk: str,
-    latest: list[str],
+    latest: list[str] | None,
     mark: str | None,
     partition_by: list[str] | None = None,
 ) -> State:
     """Upsert ``fresh`` into the table, as a new snapshot or folder by folder, and commit ``mark``."""
-    last = read_state(spark, root, table)
+    last = settled(spark, root, table)
     if partition_by is None:
         old = current(spark, root, table)
         merged = one_per_key(fresh, pk, latest) if old is None else merge_frames(old, fresh, pk, latest)
         return commit(spark, merged, root, table, mark)
-    path = f"{root}/{table}/{IN_PLACE}"
-    if last is None:
-        write_partitioned(one_per_key(fresh, pk, latest), path, partition_by)
-    else:
-        merge_into_partitions(spark, path, fresh, pk, partition_by, latest)
-    state = State(mark, last.seq + 1 if last else 1, IN_PLACE)
+    if last is None or current(spark, root, table).isEmpty():
+        return commit(spark, one_per_key(fresh, pk, latest), root, table, mark, partition_by)
+    state = State(mark, last.seq + 1, last.snapshot, f"pending-{last.seq + 1:06d}")
+    path = f"{root}/{table}/{last.snapshot}"
+    prepare_merge(spark, path, fresh, pk, partition_by, latest, f"{root}/{table}/{state.pending}")
     write_state(spark, root, table, state)
-    return state
+    return settled(spark, root, table)
 
 
 def load_configured(df: DataFrame, root: str, table: str) -> State:
-    """``load`` with the mode, mark column and key that the settings give for ``table``."""
-    return load(df, root, table, **settings.LOAD_MODES[table])
+    """``load`` with the mode, mark column, key and folders that the settings give for ``table``.
+
+    The folder columns derive from others, so that an incremental run rewrites only those it touches;
+    ``loaded`` reads the rows without them.
+    """
+    folders = settings.LOAD_FOLDERS.get(table, {})
+    placed = df.withColumns({name: F.expr(rule) for name, rule in folders.items()})
+    return load(placed, root, table, **settings.LOAD_MODES[table], partition_by=list(folders) or None)
+
+
+def loaded(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """What ``load_configured`` has brought in so far."""
+    rows = current(spark, root, table)
+    return None if rows is None else rows.drop(*settings.LOAD_FOLDERS.get(table, {}))
+
+
+def upsert_table(
+    new: DataFrame, root: str, name: str, pk: str, latest: list[str] | None = None, partition_by: list[str] | None = None
+) -> State:
+    """Upsert ``new`` into catalog table ``name``, kept below ``root`` and created if absent."""
+    spark = new.sparkSession
+    state = upsert_rows(spark, new, root, name, pk, latest, read_mark(spark, root, name), partition_by)
+    publish(spark, name, f"{root}/{name}/{state.snapshot}")
+    return state

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.types import BooleanType, DataType, DateType, StringType, Times
 
 from tierline import settings
 from tierline.operators.quality import table_stats
+from tierline.sources import tables
 
 _Z = "__z"
 _SALT = "__salt"
@@ -38,9 +40,13 @@ def read_evolved(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
+def _read(spark: SparkSession, source: str | DataFrame) -> DataFrame:
+    return spark.read.parquet(source) if isinstance(source, str) else source
+
+
 def compact(
     spark: SparkSession,
-    source: str,
+    source: str | DataFrame,
     target: str,
     file_bytes: int = settings.FILE_BYTES,
     partition_by: list[str] | None = None,
@@ -48,13 +54,13 @@ def compact(
     """Rewrite many small files as few of about ``file_bytes``.
 
     A scan already packs small files into splits; coalescing joins neighbouring splits without a
-    shuffle. A table with folders keeps them by ``partition_by``.
+    shuffle. A table with folders keeps them by ``partition_by``. ``source`` is a path or a table as read.
     """
     if partition_by:
-        write_partitioned(spark.read.parquet(source), target, partition_by)
+        write_partitioned(_read(spark, source), target, partition_by)
         return
     files = max(1, math.ceil(table_stats(spark, source).first()["bytes"] / file_bytes))
-    spark.read.parquet(source).coalesce(files).write.parquet(target)
+    _read(spark, source).coalesce(files).write.parquet(target)
 
 
 def _ordinal(column: str, data_type: DataType, skip: int = 0) -> Column:
@@ -122,7 +128,7 @@ def with_z_value(df: DataFrame, columns: list[str], name: str, bits: int = 5) ->
 
 def zorder(
     spark: SparkSession,
-    source: str,
+    source: str | DataFrame,
     target: str,
     columns: list[str],
     bits: int | None = None,
@@ -132,11 +138,12 @@ def zorder(
     """Rewrite the table at ``source`` so that rows close in all of ``columns`` share files.
 
     Without ``bits`` each column is cut into as many intervals as there are files, up to
-    2**MOST_BITS; ``partition_by`` keeps a table's folders, each in z-order. Within a cell rows are ordered by the columns themselves. Rows with the same z-value, however many, spread over tasks by their place in the source files:
-    a salt that is stable when a task runs again.
+    2**MOST_BITS; ``partition_by`` keeps a table's folders, each in z-order. Within a cell rows are
+    ordered by the columns themselves. Rows with the same z-value, however many, spread over tasks by
+    their place in the source files: a salt that is stable when a task runs again.
     """
-    table = spark.read.parquet(source)
-    stats = table_stats(spark, source).first()
+    table = _read(spark, source)
+    stats = table_stats(spark, table).first()
     files = max(1, math.ceil(stats["bytes"] / file_bytes))
     if bits is None:
         bits = max(1, min(max(5, math.ceil(math.log2(files))), MOST_BITS, Z_BITS // len(columns)))
@@ -150,3 +157,25 @@ def zorder(
         .write.partitionBy(*folders)
         .parquet(target)
     )
+
+
+def optimise_table(
+    spark: SparkSession, name: str, columns: list[str], root: str, file_bytes: int = settings.FILE_BYTES
+) -> None:
+    """Z-order catalog table ``name`` by ``columns``, or compact it where there are none, and make the
+    copy, written below ``root``, current.
+
+    The table keeps its folders, and the columns of those are left out of the z-order: a folder has
+    one value of each. Give ``root`` a place that lasts.
+    """
+    tables.finish_replacing(spark, name)
+    rows, folders = tables.read_table(spark, name), tables.folders_of(spark, name)
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    inner = [column for column in columns if column not in folders]
+    if rows.isEmpty():
+        return
+    if inner:
+        zorder(spark, rows, path, inner, file_bytes=file_bytes, partition_by=folders)
+    else:
+        compact(spark, rows, path, file_bytes, folders)
+    tables.replace_files(spark, name, path)

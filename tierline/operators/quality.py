@@ -52,9 +52,10 @@ def key_collisions(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
-def table_stats(spark: SparkSession, path: str) -> DataFrame:
-    """One row: rows, columns, files and bytes of the Parquet table at ``path``. Reads no column."""
-    table = spark.read.parquet(path)
+def table_stats(spark: SparkSession, source: str | DataFrame) -> DataFrame:
+    """One row: rows, columns, files and bytes of the Parquet table at a path, or of one just read.
+    Reads no column."""
+    table = spark.read.parquet(source) if isinstance(source, str) else source
     files = table.groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
     return files.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),

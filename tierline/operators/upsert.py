@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tierline.operators.clean import dedup_latest
 from tierline.operators.joins import null_safe_join
 from tierline.operators.layout import write_partitioned
-from tierline.session import stage
+from tierline.session import discard, scratch_path
 
 
 def one_per_key(new: DataFrame, pk: str, latest: list[str] | None = None) -> DataFrame:
@@ -48,22 +48,54 @@ def merge_into_partitions(
 ) -> None:
     """Upsert ``new`` into the partitioned Parquet table at ``path``, rewriting only touched folders.
 
-    For tables far larger than what arrives. Touched are the folders that new rows go to and those
-    that replaced rows leave. Finding the latter reads the key column only, and no more where
-    ``partition_by`` derives from the key. Merged rows are staged first, as a folder cannot be
-    overwritten while it is read. Readers may see folders change one by one; a run that dies can
-    simply be repeated.
+    For tables far larger than what arrives. Readers may see folders change one by one, and a driver
+    lost while they do leaves the table half merged: ``incremental.load`` prepares and applies the
+    merge apart and so survives that.
+    """
+    prepared = scratch_path(spark, "merge")
+    prepare_merge(spark, path, new, pk, partition_by, latest, prepared)
+    apply_merge(spark, path, prepared)
+    discard(spark, prepared)
+
+
+def prepare_merge(
+    spark: SparkSession,
+    path: str,
+    new: DataFrame,
+    pk: str,
+    partition_by: list[str],
+    latest: list[str] | None,
+    prepared: str,
+) -> None:
+    """Write the folders a merge touches, and all rows they will hold, below ``prepared``.
+
+    Touched are the folders that new rows go to and those that replaced rows leave. Finding the latter
+    reads the key column only, and no more where ``partition_by`` derives from the key.
     """
     table = spark.read.parquet(path)
     fresh = one_per_key(new, pk, latest)
     leaving = table.select(pk, *partition_by).join(new.select(pk).distinct(), pk, "left_semi")
     places = fresh.select(*partition_by).union(leaving.select(*partition_by)).distinct()
-    touched = stage(places, "touched")
+    places.write.mode("overwrite").parquet(f"{prepared}/touched")
+    touched = spark.read.schema(places.schema).parquet(f"{prepared}/touched")
     old = null_safe_join(_folders(table, touched, partition_by), touched, partition_by, "left_semi")
-    merged = stage(merge_frames(old, fresh, pk, unique=True), "merge")
-    write_partitioned(merged, path, partition_by)
-    emptied = null_safe_join(touched, merged.select(*partition_by), partition_by, "left_anti")
-    _drop_rows_of(spark, path, emptied, partition_by)
+    merged = merge_frames(old, fresh, pk, unique=True)
+    merged.write.mode("overwrite").parquet(f"{prepared}/rows")
+
+
+def apply_merge(spark: SparkSession, path: str, prepared: str) -> None:
+    """Replace the touched folders by their prepared rows. Repeating it gives the same table."""
+    rows, touched = (spark.read.parquet(f"{prepared}/{part}") for part in ("rows", "touched"))
+    write_partitioned(rows, path, touched.columns)
+    emptied = null_safe_join(touched, rows.select(*touched.columns), touched.columns, "left_anti")
+    _drop_folders(spark, path, emptied)
+
+
+def merged_view(spark: SparkSession, path: str, prepared: str) -> DataFrame:
+    """The table at ``path`` as it is once the prepared merge is applied, however far that has come."""
+    rows, touched = (spark.read.parquet(f"{prepared}/{part}") for part in ("rows", "touched"))
+    table = spark.read.schema(rows.schema).parquet(path)
+    return null_safe_join(table, touched, touched.columns, "left_anti").unionByName(rows)
 
 
 def _folders(table: DataFrame, touched: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -77,14 +109,13 @@ def _folders(table: DataFrame, touched: DataFrame, partition_by: list[str]) -> D
     return table
 
 
-def _drop_rows_of(spark: SparkSession, path: str, places: DataFrame, partition_by: list[str]) -> None:
-    """Delete the files of folders that lost all their rows; an overwrite leaves such folders as they are."""
+def _drop_folders(spark: SparkSession, path: str, places: DataFrame) -> None:
+    """Delete folders that lost all their rows; an overwrite leaves them as they are."""
     if places.isEmpty():
         return
-    stale = null_safe_join(_folders(spark.read.parquet(path), places, partition_by), places, partition_by, "left_semi")
-    files = stale.select(F.col("_metadata.file_path").alias("file")).distinct()
-    for row in files.toLocalIterator():
+    columns = places.columns
+    stale = null_safe_join(_folders(spark.read.parquet(path), places, columns), places, columns, "left_semi")
+    folders = stale.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")).distinct()
+    for row in folders.toLocalIterator():
         # the metadata column holds the path as an encoded URI
-        file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["file"]))
-        if not file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False):
-            raise OSError(f"could not delete {row['file']}")
+        discard(spark, spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["folder"])).toString())

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
+from tierline.operators import incremental, layout
+from tierline.operators.quality import table_stats
 from tierline.plans import gold, silver
-from tierline.settings import PARTITION_COLUMNS, Run
-from tierline.sources.tables import read_table, save_table
+from tierline.settings import LOAD_FOLDERS, PARTITION_COLUMNS, ZORDER_COLUMNS, Run
+from tierline.sources.tables import publish, read_table, save_table
 
 Keep = Callable[[str, DataFrame], DataFrame]
 
@@ -64,10 +66,13 @@ def build_tables(
     customers: DataFrame,
     dates: DataFrame,
     run: Run = Run(),
+    root: str | None = None,
 ) -> dict[str, int]:
     """Write every layer to catalog tables and return their row counts.
 
-    Each table is computed once: what follows reads the stored copy.
+    Each table is computed once: what follows reads the stored copy. With ``root`` the raw tables are
+    kept below it and brought up to date by their configured load modes, which rewrite only folders
+    that new rows touch; without, they are overwritten.
     """
     counts: dict[str, int] = {}
 
@@ -80,10 +85,23 @@ def build_tables(
     raw = {"bronze_orders": orders, "bronze_products": products, "bronze_customers": customers}
     stored = {}
     for name, df in raw.items():
-        table = run.table("bronze", name)
-        counts[table] = save_table(df, table)
-        stored[name.removeprefix("bronze_")] = read_table(spark, table)
+        table, short = run.table("bronze", name), name.removeprefix("bronze_")
+        if root is None:
+            counts[table] = save_table(df, table)
+        else:
+            state = incremental.load_configured(df, root, short)
+            publish(spark, table, f"{root}/{short}/{state.snapshot}", list(LOAD_FOLDERS.get(short, {})))
+            counts[table] = read_table(spark, table).count()
+        stored[short] = read_table(spark, table)
     build(**stored, dates=dates, run=run, keep=keep)
     return counts
 
 
+def optimise_tables(spark: SparkSession, root: str, run: Run = Run()) -> dict[str, Row]:
+    """Z-order the silver tables, make the copies below ``root`` current, and return their figures."""
+    stats = {}
+    for name, columns in ZORDER_COLUMNS.items():
+        table = run.table("silver", f"silver_{name}_transformed")
+        layout.optimise_table(spark, table, columns, root)
+        stats[table] = table_stats(spark, read_table(spark, table)).first()
+    return stats

@@ -141,3 +141,18 @@ def later_orders(spark: SparkSession, sf: str) -> DataFrame:
             "o_totalprice": F.when(finished, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
         }
     )
+
+
+def whole_orders(orders: DataFrame) -> DataFrame:
+    """Raw orders with one line each, so that order_id is a key."""
+    return orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("product_id"),
+        F.lit("Basket").alias("product_name"),
+        F.col("o_orderpriority").alias("category"),
+        F.col("o_totalprice").alias("price"),
+        F.lit(4.5).alias("rating_rate"),
+        F.lit(1).alias("rating_count"),
+        F.col("o_orderdate").alias("order_date"),
+        F.lit("web").alias("source"),
+    )

@@ -349,6 +349,13 @@ SELECT * FROM s WHERE o_orderstatus = 'F' OR o_orderdate IS NULL
 ORACLES["top_2000_per_flag"] = """SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_returnflag
   ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) <= 2000"""
+ORACLES["upsert_named_table"] = MERGED
+ORACLES["pipeline_two_runs"] = f"""SELECT o_orderkey AS order_id, lower(trim(o_orderpriority)) AS category,
+  o_totalprice AS price, o_orderdate AS order_date, CAST(year(o_orderdate) AS INTEGER) AS order_year,
+  CAST(month(o_orderdate) AS INTEGER) AS order_month FROM ({MERGED}) WHERE o_totalprice > 0"""
+ORACLES["optimised_table"] = "SELECT * FROM orders"
+ORACLES["zorder_spans"] = "SELECT unnest(['name', 'o_orderdate']) AS column, true AS skips_half"
+ORACLES["stream_late_files"] = "SELECT *, (SELECT max(o_orderdate) FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderdate > TIMESTAMP '1998-12-31') AS mark FROM orders"
 ORACLES["catalog_table"] = "SELECT * FROM orders"
 ORACLES["partitioned_read"] = """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year,
   CAST(month(o_orderdate) AS INTEGER) AS order_month FROM orders"""

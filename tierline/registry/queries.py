@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions import dates, keys, labels, money, records, text
 from tierline.operators import audit, clean, incremental, joins, layout, quality, upsert, windows
-from tierline.plans import bronze, gold, silver
+from tierline.plans import bronze, gold, layers, silver
 from tierline.registry import inputs
 from tierline.registry.inputs import RUN, load
 from tierline.session import scratch_path, stage
@@ -525,6 +526,80 @@ def incremental_null_marks(spark, sf):
     return incremental.current(spark, root, "orders")
 
 
+@query
+def upsert_named_table(spark, sf):
+    """Two upserts by the name of a table that is not there at first; read through the catalog."""
+    root, name = scratch_path(spark, "named"), f"tierline_named_{uuid.uuid4().hex}"
+    fresh = incremental.rows_after(inputs.later_orders(spark, sf), "o_orderdate", "1998-12-31 00:00:00")
+    for new in (inputs.base_orders(spark, sf), fresh):
+        incremental.upsert_table(new, root, name, "o_orderkey", ["o_orderdate"], ["o_orderstatus"])
+    return tables.read_table(spark, name)
+
+
+@query
+def pipeline_two_runs(spark, sf):
+    """All layers twice, the raw orders and customers by their load modes; orders through the catalog."""
+    root, run = scratch_path(spark, "layers"), replace(RUN, database_prefix=f"tierline_{uuid.uuid4().hex}")
+    for orders in (inputs.base_orders(spark, sf), inputs.later_orders(spark, sf)):
+        layers.build_tables(
+            spark,
+            orders=inputs.whole_orders(orders),
+            products=inputs.products(spark, sf),
+            customers=inputs.customers(spark, sf),
+            dates=gold.dim_date(spark, run=run),
+            run=run,
+            root=root,
+        )
+    silver_orders = tables.read_table(spark, run.table("silver", "silver_orders_transformed"))
+    return _business(silver_orders).select("order_id", "category", "price", "order_date", "order_year", "order_month")
+
+
+@query
+def optimised_table(spark, sf):
+    """A partitioned catalog table z-ordered in place: its rows, and whether its folders are still pruned."""
+    name = f"tierline_optimised_{uuid.uuid4().hex}"
+    tables.save_table(load(spark, sf, "orders"), name, ["o_orderpriority"])
+    layout.optimise_table(spark, name, ["o_orderkey", "o_custkey", "o_orderpriority"], scratch_path(spark, "optimised"), 1 << 18)
+    return tables.read_table(spark, name)
+
+
+@query
+def zorder_spans(spark, sf):
+    """How well a lookup by each column skips files, here by names that share a prefix and by dates: the
+    share of files whose range holds a value is at most a half on average."""
+    path, source = scratch_path(spark, "zorder"), scratch_path(spark, "named")
+    orders = load(spark, sf, "orders")
+    orders.withColumn("name", F.format_string("Customer#%012d", "o_custkey")).write.parquet(source)
+    sixteenth = quality.table_stats(spark, source).first()["bytes"] // 16
+    layout.zorder(spark, source, path, ["name", "o_orderdate"], file_bytes=sixteenth)
+    rows = spark.read.parquet(path)
+    spans = []
+    for column in ("name", "o_orderdate"):
+        ranges = rows.groupBy("_metadata.file_path").agg(F.min(column).alias("least"), F.max(column).alias("most"))
+        values = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        met = values.join(F.broadcast(ranges), F.col("value").between(F.col("least"), F.col("most")), "left")
+        opened = met.agg(F.sum("n").alias("opened"))
+        share = F.col("opened") / (F.lit(rows.count()) * F.lit(ranges.count()))
+        spans.append(opened.select(F.lit(column).alias("column"), (share <= 0.5).alias("skips_half")))
+    return spans[0].unionByName(spans[1])
+
+
+@query
+def stream_late_files(spark, sf):
+    """Orders of one day arrive late, after later ones: no row is lost and the mark stays."""
+    base = scratch_path(spark, "stream")
+    orders = load(spark, sf, "orders")
+    late = F.col("o_orderpriority") == "5-LOW"
+    early = F.col("o_orderdate") <= F.lit("1998-12-31").cast("timestamp_ntz")
+    for arrival in (orders.filter(~late), orders.filter(late & early), orders.filter(late & ~early)):
+        arrival.write.mode("append").parquet(f"{base}/in")
+        stream_upsert(
+            spark, f"{base}/in", arrival.schema, f"{base}/checkpoint", f"{base}/out", "orders", "o_orderkey", ["o_orderdate"]
+        )
+    mark = F.lit(incremental.read_mark(spark, f"{base}/out", "orders")).cast("timestamp_ntz")
+    return incremental.current(spark, f"{base}/out", "orders").withColumn("mark", mark)
+
+
 @query
 def top_2000_per_flag(spark, sf):
     order = [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")]

@@ -41,6 +41,12 @@ LOAD_MODES = {
     "products": {"mode": "full_load", "mark_col": None, "pk": "product_id"},
     "customers": {"mode": "incremental", "mark_col": "updated_at", "pk": "customer_id"},
 }
+#: Folders that incremental runs rewrite one by one, by the columns they derive from. The letters keep
+#: text from being read back as numbers or dates.
+LOAD_FOLDERS = {
+    "orders": {"month_folder": "concat('m', coalesce(date_format(order_date, 'yyyy-MM'), '-'))"},
+    "customers": {"country_folder": "concat('c-', coalesce(lower(trim(country)), ''))"},
+}
 PARTITION_COLUMNS = {
     "orders": ["order_year", "order_month"],
     "products": ["category"],

@@ -44,3 +44,45 @@ def save_table(
         writer = writer.option("path", path)
     writer.saveAsTable(name)
     return rows.get["rows"]
+
+
+def publish(spark: SparkSession, name: str, path: str, without: list[str] | None = None) -> None:
+    """Make ``name`` show the Parquet files at ``path``, in one step of the catalog.
+
+    ``name`` becomes a view, which lists files anew for each query and takes added columns as they are.
+    """
+    database, _, _ = name.rpartition(".")
+    if database:
+        ensure_database(spark, database)
+    columns = f"* EXCEPT ({', '.join(without)})" if without else "*"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`")
+
+
+def folders_of(spark: SparkSession, name: str) -> list[str]:
+    """The columns that table ``name`` is partitioned by."""
+    return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+
+
+def _next(name: str) -> str:
+    return f"{name}__next"
+
+
+def replace_files(spark: SparkSession, name: str, path: str) -> None:
+    """Make the Parquet files at ``path``, of the same columns and folders, those of table ``name``.
+
+    The table that takes over is complete before the old one goes; ``finish_replacing`` completes a run
+    that died before the renaming. Files of an external table stay where they are, others are deleted.
+    """
+    folders = folders_of(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {_next(name)}")
+    spark.sql(f"CREATE TABLE {_next(name)} LIKE {name} LOCATION '{path}'")
+    if folders:
+        spark.catalog.recoverPartitions(_next(name))
+    spark.sql(f"DROP TABLE {name}")
+    finish_replacing(spark, name)
+
+
+def finish_replacing(spark: SparkSession, name: str) -> None:
+    """Give the replacement its name, if a run has got that far."""
+    if not exists(spark, name) and exists(spark, _next(name)):
+        spark.sql(f"ALTER TABLE {_next(name)} RENAME TO {name}")

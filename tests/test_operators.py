@@ -79,6 +79,22 @@ def test_sliced_numbers_equal_plain_numbers(spark, skewed):
     assert rows(sliced) == rows(plain)
 
 
+def test_tied_rows_get_equal_numbers_sliced_or_not(spark, skewed):
+    tied = skewed.withColumn("m", F.create_map(F.lit("a"), F.col("v")))
+    plain, sliced = (windows.number_within(tied.repartition(n), ["k"], [F.lit(1)], "n", per) for n, per in ((3, None), (5, 200)))
+    assert rows(sliced.drop("m")) == rows(plain.drop("m"))
+
+
+def test_slices_are_not_shuffled_for_their_offsets(spark, skewed):
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(windows.number_within(stage(skewed), ["k"], [F.asc("u")], "n", 200))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+
+
 def test_sliced_ranks_equal_plain_ranks(spark, skewed):
     for by in ("v", "u"):
         for descending in (True, False):

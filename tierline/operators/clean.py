@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, CalendarIntervalType, DataType, MapType, StructType, VariantType
 
@@ -19,26 +19,26 @@ def _orderable(data_type: DataType) -> bool:
     return not isinstance(data_type, (MapType, VariantType, CalendarIntervalType))
 
 
+def ties(df: DataFrame, besides: list[str]) -> list[Column]:
+    """An order by all other columns, so that only equal rows tie: those without an order, such as maps,
+    last and by a hash of their JSON."""
+    others = [f for f in df.schema if f.name not in besides]
+    plain = [F.asc(f.name) for f in others if _orderable(f.dataType)]
+    return plain + [F.xxhash64(F.to_json(F.struct(f.name))) for f in others if not _orderable(f.dataType)]
+
+
 def dedup_latest(
     df: DataFrame, keys: list[str], latest: list[str] | None = None, tie_break: list[str] | None = None
 ) -> DataFrame:
     """One row per key: the greatest by ``latest``, ties by ``tie_break`` ascending.
 
-    By default every remaining column breaks ties, so the survivor never depends on partitioning; columns
-    that have no order, such as maps, do so by a hash of their JSON.
+    By default every remaining column breaks ties, so the survivor never depends on partitioning.
     Spark turns the ``== 1`` filter into a group limit before the shuffle: each map task sends at
     most one row per key, which keeps a hot key small.
     """
     latest = latest or []
-    if tie_break is None:
-        tie_break = [
-            f.name for f in df.schema if f.name not in {*keys, *latest} and _orderable(f.dataType)
-        ]
-        nested = [f.name for f in df.schema if f.name not in {*keys, *latest} and not _orderable(f.dataType)]
-    else:
-        nested = []
-    order = [F.desc(name) for name in latest] + [F.asc(name) for name in tie_break]
-    order += [F.xxhash64(F.to_json(F.struct(F.col(name)))) for name in nested]
+    order = [F.desc(name) for name in latest]
+    order += ties(df, [*keys, *latest]) if tie_break is None else [F.asc(name) for name in tie_break]
     best = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
     return df.withColumn(_PICK, F.row_number().over(best)).filter(F.col(_PICK) == 1).drop(_PICK)
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from tierline import settings
 
@@ -39,11 +39,15 @@ def lookup(
 
 
 def row_bytes(df: DataFrame, columns: list[str]) -> Column:
-    """Bytes that the given columns take in a row: strings by length, the rest at 16 per value."""
+    """Bytes that the given columns take in a row: text and bytes by length, nested values by twice that
+    of their JSON text, the rest at 16 per value."""
     width = F.lit(16 * len(columns) + 16).cast("bigint")
     for name in columns:
-        if isinstance(df.schema[name].dataType, StringType):
+        kind = df.schema[name].dataType
+        if isinstance(kind, (StringType, BinaryType)):
             width = width + F.coalesce(F.octet_length(name), F.lit(0))
+        elif isinstance(kind, (ArrayType, MapType, StructType)):
+            width = width + 2 * F.octet_length(F.to_json(F.struct(name)))
     return width
 
 

@@ -28,14 +28,14 @@ def split_hot(
     rows / rows_per_task large groups, so their keys are few.
     """
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    large = groups.filter(F.col("__rows") > rows_per_task)
     if not keys:
         rows = groups.first()[0]
         return (None, df, rows) if rows > rows_per_task else (df, None, 0)
+    large = session.stage(groups.filter(F.col("__rows") > rows_per_task), "hot")
     rows, size = large.agg(F.sum("__rows"), F.sum(row_bytes(large, keys))).first()
     if rows is None:
         return df, None, 0
-    hot = broadcast_if(session.stage(large.select(*keys), "hot"), size)
+    hot = broadcast_if(large.select(*keys), size)
     return null_safe_join(df, hot, keys, "left_anti"), null_safe_join(df, hot, keys, "left_semi"), rows
 
 
@@ -52,3 +52,14 @@ def slice_groups(
     parts = max(1, math.ceil(rows / rows_per_task))
     ordered = pinned.repartitionByRange(parts, *[F.col(k) for k in keys], *order, F.col(ROW))
     return session.stage(ordered.withColumn(SLICE, F.spark_partition_id()), "slices")
+
+
+def join_to_slices(sliced: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
+    """``sliced`` with what each (group, slice) takes from those before it.
+
+    There are no more such pairs than slices and large groups together. They are written and measured,
+    so that the sliced rows need not be shuffled once more for them.
+    """
+    small = session.stage(carried, "carried")
+    size = small.agg(F.sum(row_bytes(small, small.columns))).first()[0] or 0
+    return null_safe_join(sliced, broadcast_if(small, size), [*keys, SLICE])

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline import session, settings
+from tierline.operators.clean import ties
 from tierline.operators.joins import broadcast_if, null_safe_join, row_bytes
-from tierline.operators.slices import ROW, SLICE, slice_groups, split_hot
+from tierline.operators.slices import ROW, SLICE, join_to_slices, slice_groups, split_hot
 
 MIN_REPEAT = 20  # rows per distinct value from which ranking the values beats ranking the rows
 
@@ -26,7 +27,8 @@ def number_within(
     name: str,
     rows_per_task: int | None = settings.ROWS_PER_TASK,
 ) -> DataFrame:
-    """row_number of each row in its group. Let ``order`` end in a unique column."""
+    """row_number of each row in its group. All other columns break ties, so sliced or not the numbers agree."""
+    order = [*order, *ties(df, keys)]
 
     def plain(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order)
@@ -49,11 +51,7 @@ def _number_sliced(
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     counts = sliced.groupBy(*keys, SLICE).count()
     offsets = counts.select(*keys, SLICE, F.sum("count").over(earlier).alias("__before"))
-    numbered = null_safe_join(
-        sliced.withColumn(name, F.row_number().over(inside)),
-        offsets.filter("__before > 0"),
-        [*keys, SLICE],
-    )
+    numbered = join_to_slices(sliced.withColumn(name, F.row_number().over(inside)), offsets.filter("__before > 0"), keys)
     position = F.col(name) + F.coalesce("__before", F.lit(0))
     return numbered.withColumn(name, position.cast("bigint")).drop(ROW, SLICE, "__before")
 
@@ -131,11 +129,8 @@ def _previous_sliced(
     last = F.max_by(value, F.struct(*order, ROW)).alias("__last")
     tails = sliced.groupBy(*keys, SLICE).agg(last)
     carried = F.lag("__last").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("__carried")
-    joined = null_safe_join(
-        sliced.withColumns({name: F.lag(value).over(inside), "__nth": F.row_number().over(inside)}),
-        tails.select(*keys, SLICE, carried),
-        [*keys, SLICE],
-    )
+    inner = sliced.withColumns({name: F.lag(value).over(inside), "__nth": F.row_number().over(inside)})
+    joined = join_to_slices(inner, tails.select(*keys, SLICE, carried), keys)
     previous = F.when(F.col("__nth") == 1, F.col("__carried")).otherwise(F.col(name))
     return joined.withColumn(name, previous).drop(ROW, SLICE, "__nth", "__carried")
 

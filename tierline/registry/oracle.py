@@ -349,6 +349,12 @@ SELECT * FROM s WHERE o_orderstatus = 'F' OR o_orderdate IS NULL
 ORACLES["top_2000_per_flag"] = """SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_returnflag
   ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) <= 2000"""
+_BIG = "round(o_totalprice) * 1e9::DOUBLE"
+ORACLES["money_large_amounts"] = f"""SELECT o_orderkey, {_BIG} AS revenue, {_BIG} * 1e5::DOUBLE AS huge_revenue,
+  {_BIG} * 1.18::DOUBLE AS with_tax, (o_orderkey + 0.123456789::DOUBLE) * 1.18::DOUBLE AS fine_with_tax, {_BIG} AS full,
+  0.0::DOUBLE AS free, 0.0::DOUBLE AS no_stock FROM orders"""
+ORACLES["money_large_totals"] = f"""SELECT o_orderpriority,
+  CAST(sum(CASE WHEN o_orderkey <> 1 THEN CAST({_BIG} AS BIGINT) END) AS DOUBLE) AS total FROM orders GROUP BY ALL"""
 ORACLES["upsert_named_table"] = MERGED
 ORACLES["pipeline_two_runs"] = f"""SELECT o_orderkey AS order_id, lower(trim(o_orderpriority)) AS category,
   o_totalprice AS price, o_orderdate AS order_date, CAST(year(o_orderdate) AS INTEGER) AS order_year,

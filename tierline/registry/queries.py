@@ -526,6 +526,30 @@ def incremental_null_marks(spark, sf):
     return incremental.current(spark, root, "orders")
 
 
+@query
+def money_large_amounts(spark, sf):
+    """Amounts beyond exact decimals, factors of nothing, and more decimals than six."""
+    big, fine = F.round("o_totalprice") * 1e9, F.col("o_orderkey") + 0.123456789
+    return load(spark, sf, "orders").select(
+        "o_orderkey",
+        money.revenue(big).alias("revenue"),
+        money.revenue(big * 1e5).alias("huge_revenue"),
+        money.price_with_tax(big).alias("with_tax"),
+        money.price_with_tax(fine).alias("fine_with_tax"),
+        money.net_revenue(big, F.lit(0.0)).alias("full"),
+        money.net_revenue(big, F.lit(1.0)).alias("free"),
+        money.inventory_value(big, F.lit(0)).alias("no_stock"),
+    )
+
+
+@query
+def money_large_totals(spark, sf):
+    """Sums of large amounts and of one that is not finite, which counts as null."""
+    big = F.when(F.col("o_orderkey") == 1, F.lit(float("inf"))).otherwise(F.round("o_totalprice") * 1e9)
+    priced = load(spark, sf, "orders").select("o_orderpriority", big.alias("price"))
+    return priced.groupBy("o_orderpriority").agg(money.total(F.col("price")).alias("total"))
+
+
 @query
 def upsert_named_table(spark, sf):
     """Two upserts by the name of a table that is not there at first; read through the catalog."""

@@ -1,0 +1,66 @@
+"""Near copies by five-word shingles against brute force over all pairs."""
+
+import random
+import re
+
+import test_simhash
+
+import corpus_pipeline
+from tierline.llm import resemblance
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {" ".join(words[i : i + 5]) for i in range(len(words) - 4)} or ({" ".join(words)} if words else set())
+
+
+def brute(texts):
+    sets = {k: shingles(t) for k, t in texts.items()}
+    name = {k: k for k in texts}
+    keys = sorted(texts)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = name[a], name[b]
+                name = {k: min(x, y) if v in (x, y) else v for k, v in name.items()}
+    return name
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for at in rng.sample(range(len(words)), n):
+        words[at] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def texts_of(rng):
+    texts = {1: None, 2: "", 3: "One", 4: "ONE", 5: "a b c d e f"}
+    for base in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 400))]
+        texts[100 * (base + 1)] = " ".join(words)
+        for k in range(1, 9):  # up to a fifth of the shingles, and beyond
+            texts[100 * (base + 1) + k] = edited(rng, words, rng.randrange(1, 2 + len(words) // 40))
+    return texts
+
+
+def test_components_as_by_all_pairs(spark, monkeypatch):
+    texts = texts_of(random.Random(5))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute(texts)
+    assert len(set(want.values())) < len(texts) - 100
+    assert {r.doc_id: r.component_id for r in resemblance.near_duplicates(docs).collect()} == want
+    monkeypatch.setattr(resemblance, "LEAST_TILE", 20)
+    monkeypatch.setattr(resemblance, "SETS", 4)
+    assert {r.doc_id for r in resemblance.keep_one(docs).collect()} == set(want.values())
+
+
+def test_stage_drops_similar_documents_beyond_three_bits(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    texts = {1: " ".join(words)} | {k: edited(rng, words, 5) for k in range(2, 6)}
+    prints = {k: test_simhash.brute_fingerprint(t) for k, t in texts.items()}
+    assert len(set(test_simhash.brute_components(prints).values())) > 1 and set(brute(texts).values()) == {1}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    steps = dict(corpus_pipeline.STAGES)
+    assert [r.doc_id for r in steps["SimHash near-dedup"](spark, docs, "").collect()] == [1]
+    assert steps["SimHash near-dedup"](spark, docs.limit(0), "").count() == 0

@@ -1,0 +1,236 @@
+"""Near copies by exact Jaccard similarity of five-word shingles, found through wide SimHashes.
+
+Two texts are near copies if their sets of shingles share 4/5 of their union. Equal sets are one class.
+Each class is sketched by a SimHash of 256 bits over its distinct shingles. Similar sets differ in at most
+a fifth of their size, so classes are dealt to tiles by size and only tiles of the same or neighbouring
+levels meet, all pairs of them: candidates are those within NEAR bits, and within NEAR_WORD in the first
+word. At a similarity of exactly 4/5 a bit differs with a probability of 0.152, so about one such pair in
+50,000 is missed (more among sets of fewer than ten shingles), and fewer above. Candidates are joined to
+clusters by spanning links, and all pairs of a cluster that are not yet linked are verified on the shingle
+hashes; a cluster beyond SETS classes is verified tile by tile.
+
+Null text counts as empty. Texts without words are one class, one with fewer words than a shingle is one
+shingle. An empty table gives an empty one; a row whose key is null is in its own text's class only.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tierline.llm import simhash
+from tierline.llm.graph import attach, components
+from tierline.llm.tiles import Forest
+from tierline.session import stage
+
+SHINGLE = 5
+SHARED, OF = 4, 5  # similarity as a fraction
+WORDS = 4  # of a sketch, 64 bits each
+NEAR, NEAR_WORD = 72, 22  # differing bits
+LEAST_TILE, MOST_TILE = 1 << 13, 1 << 17
+SETS = 2048
+SMALL_SETS = 4096  # classes of small clusters verified together
+_MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+
+
+def shingles(text: str) -> np.ndarray:
+    """The distinct shingles' hashes in ascending order."""
+    return np.unique(np.array(simhash._hashes(text, SHINGLE), np.uint64))
+
+
+def _name(hashes: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(hashes.tobytes(), simhash.SEED)
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """The 256-bit SimHash of a set, as words."""
+    sums = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(hashes), simhash.HELD):
+        part = hashes[at : at + simhash.HELD]
+        wide = np.empty((len(part), WORDS), np.uint64)
+        wide[:, 0] = part
+        for word in range(1, WORDS):
+            x = part + np.uint64(0x9E3779B97F4A7C15 * word % 2**64)
+            for shift, factor in zip((30, 27), _MIX):
+                x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+            wide[:, word] = x ^ (x >> np.uint64(31))
+        sums += np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return np.packbits(2 * sums > len(hashes), bitorder="little").view(np.uint64)
+
+
+def _prints(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, fp, size, level, s0..s3) of each row: its class, the class's size and sketch."""
+    longs = [f"s{i}" for i in range(WORDS)]
+    fields = [T.StructField(key, docs.schema[key].dataType), T.StructField("fp", T.LongType()), T.StructField("size", T.IntegerType())]
+    schema = T.StructType([*fields, T.StructField("level", T.IntegerType()), *[T.StructField(s, T.LongType()) for s in longs]])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                names, sizes = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.int32)
+                words = np.zeros((batch.num_rows, WORDS), np.uint64)
+                for row, value in enumerate(batch.column(1)):
+                    hashes = shingles(value.as_py() or "")
+                    names[row], sizes[row], words[row] = _name(hashes), len(hashes), sketch(hashes)
+                levels = np.floor(np.log(np.maximum(sizes, 1)) / np.log(OF / SHARED)).astype(np.int32)
+                columns = [names.view(np.int64), sizes, levels, *words.view(np.int64).T.copy()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], names=schema.names)
+
+    return docs.select(key, F.col(text).alias("text")).mapInArrow(hashed, schema)
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    size, side = table.column("size").to_numpy(), table.column("side").to_numpy()
+    order = np.lexsort((size, side))
+    size, side, fp = size[order].astype(np.int64), side[order], table.column("fp").to_numpy()[order]
+    words = [table.column(f"s{i}").to_numpy()[order].view(np.uint64) for i in range(WORDS)]
+    n, (ia, ib, la, lb) = int(np.searchsorted(side, 1)), (table.column(c)[0].as_py() for c in ("ia", "ib", "la", "lb"))
+    forest = Forest(len(fp))
+    shift = 0 if (la, ia) == (lb, ib) else n  # a tile meets itself, or the right side after the left
+    theirs = size[shift:]
+    for at in range(0, n, simhash.LEFT):
+        to = min(at + simhash.LEFT, n)
+        begin = shift + int(np.searchsorted(theirs, -(-SHARED * size[at] // OF), "left"))
+        end = shift + int(np.searchsorted(theirs, OF * size[to - 1] // SHARED, "right"))
+        for run in range(begin, end, simhash.RIGHT):
+            stop = min(run + simhash.RIGHT, end)
+            i, j = np.nonzero(np.bitwise_count(words[0][at:to, None] ^ words[0][None, run:stop]) <= NEAR_WORD)
+            i, j = i + at, j + run
+            apart = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int16) for w in words)
+            near = (apart <= NEAR) & (i != j)
+            if near.any():
+                forest.link(i[near], j[near])
+    a, b = forest.edges()
+    return pa.table({"a": pa.array(fp[a]), "b": pa.array(fp[b])})
+
+
+def candidates(classes: DataFrame) -> DataFrame:
+    """Spanning links (a, b) of the classes whose sketches are near. Reads ``classes`` twice: give a stored table.
+
+    The counts that come to the driver are one a level, some tens.
+    """
+    counts = dict(classes.groupBy("level").count().collect())
+    tile = min(max(sum(counts.values()) // 64, LEAST_TILE), MOST_TILE)
+    chunks = F.array(*[F.lit(-(-counts.get(p, 0) // tile)) for p in range(max(counts, default=0) + 2)])
+    own = classes.withColumn("i", F.pmod(F.xxhash64("fp"), F.get(chunks, F.col("level"))).cast("int"))
+
+    def partners(level):
+        n = F.get(chunks, level)
+        tiles = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+        def pair(j):
+            first = (F.col("level") < level) | ((F.col("level") == level) & (F.col("i") <= j))
+            return F.struct(
+                F.least("level", level).alias("la"),
+                F.when(first, F.col("i")).otherwise(j).alias("ia"),
+                F.greatest("level", level).alias("lb"),
+                F.when(first, j).otherwise(F.col("i")).alias("ib"),
+                F.when(first, 0).otherwise(1).alias("side"),
+            )
+
+        return F.transform(tiles, pair)
+
+    around = F.sequence(F.greatest(F.lit(0), F.col("level") - 1), F.col("level") + 1)
+    met = own.withColumn("t", F.explode(F.flatten(F.transform(around, partners))))
+    rows = met.select("fp", "size", *[f"s{i}" for i in range(WORDS)], "t.*")
+    return rows.groupBy("la", "ia", "lb", "ib").applyInArrow(_compare, "a long, b long")
+
+
+def spanning(sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, positions linked to it), a spanning tree of each group that similar non-empty sets form.
+
+    Breadth first: a set meets only those that no link has reached yet.
+    """
+    sizes = np.array([len(s) for s in sets])
+    distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    own = np.split(flat, np.cumsum(sizes)[:-1])
+    where, flag, queue = np.arange(len(sets)), np.zeros(len(distinct), np.int32), []
+    while len(where):
+        reached = np.zeros(len(where), bool)
+        if queue:
+            at = queue.pop()
+            flag[own[at]] = 1
+            common = np.add.reduceat(flag[flat], np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+            flag[own[at]] = 0
+            reached = OF * common >= SHARED * (len(own[at]) + sizes - common)
+            if reached.any():
+                yield at, where[reached]
+        else:
+            reached[0] = True
+        if reached.any():
+            queue += where[reached].tolist()
+            flat = flat[np.repeat(~reached, sizes)]
+            where, sizes = where[~reached], sizes[~reached]
+
+
+def _verify(table: pa.Table) -> pa.Table:
+    order = np.argsort(table.column("cluster").to_numpy(), kind="stable")
+    cluster, fp = table.column("cluster").to_numpy()[order], table.column("fp").to_numpy()[order]
+    raw = table.column("hashes").combine_chunks()
+    bounds = np.flatnonzero(np.r_[True, cluster[1:] != cluster[:-1], True])
+    a, b = [], []
+    for begin, end in zip(bounds[:-1], bounds[1:]):
+        sets = [np.frombuffer(raw[int(k)].as_py(), np.uint64) for k in order[begin:end]]
+        for i, found in spanning(sets):
+            a += [fp[begin + i]] * len(found)
+            b += fp[begin + found].tolist()
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _sets(docs: DataFrame) -> DataFrame:
+    """(fp, hashes) of (text) rows."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                found = [shingles(value.as_py() or "") for value in whole.slice(at, 1024).column(0)]
+                names = np.array([_name(h) for h in found], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([h.tobytes() for h in found], pa.binary())], names=["fp", "hashes"])
+
+    return docs.mapInArrow(hashed, "fp long, hashes binary")
+
+
+def _links(docs: DataFrame, named: DataFrame, key: str, text: str) -> DataFrame:
+    """Spanning links (a, b) between similar classes."""
+    clusters = stage(components(candidates(named.filter("size > 0"))).select(F.col("id").alias("fp"), F.col("component").alias("cluster")), "clusters")
+    counts = stage(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "counts")
+    wanted = stage(named.join(clusters, "fp", "left_semi").select(F.col("rep").alias("__rep")).distinct(), "wanted")
+    texts = docs.join(wanted, F.col(key) == F.col("__rep"), "left_semi").select(F.col(text).alias("text"))
+    sets = _sets(texts).groupBy("fp").agg(F.first("hashes").alias("hashes"))
+    parts = max(24, -(-(counts.agg(F.sum("n")).first()[0] or 0) // SMALL_SETS))
+    tiles = F.ceil(F.col("n") / SETS).cast("int")
+    dealt = attach(clusters, counts.withColumn("tiles", tiles), "cluster", counts).select("fp", "cluster", "tiles")
+    rows = sets.join(dealt, "fp").withColumn("i", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    small = F.col("tiles") == 1
+    rows = rows.select(
+        "fp", "cluster", "hashes", small.alias("small"), F.least("i", "j").alias("ia"), F.greatest("i", "j").alias("ib"),
+        F.when(small, F.pmod(F.xxhash64("cluster"), F.lit(parts))).otherwise(F.col("cluster")).alias("at"),
+    )
+    return rows.groupBy("small", "at", "ia", "ib").applyInArrow(_verify, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, fp, component_id) of each row: its class, and the smallest key that links of near copies reach."""
+    prints = stage(_prints(docs, key, text), "prints")
+    same = [F.first(c).alias(c) for c in ("size", "level", *[f"s{i}" for i in range(WORDS)])]
+    classes = stage(prints.groupBy("fp").agg(F.min(key).cast("long").alias("rep"), F.count(F.lit(1)).alias("n"), *same), "classes")
+    named = classes.filter("rep is not null")
+    found = stage(components(_links(docs, named, key, text)), "found")
+    moved = named.select("fp", "rep").join(found.withColumnRenamed("id", "fp"), "fp")
+    least = moved.groupBy("component").agg(F.min("rep").alias("component_id"))
+    reached = found.join(least, "component").select(F.col("id").alias("fp"), "component_id")
+    table = named.join(reached, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
+    return attach(prints.select(key, "fp"), table, "fp", classes.select("fp", "n")).select(key, "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that name their component, as ``simhash.keep_one`` keeps them."""
+    return simhash.kept(docs, near_duplicates(docs, key, text), key)

@@ -195,11 +195,16 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: i
 
     Rows without a key cannot be named and all stay.
     """
-    found = stage(near_duplicates(docs, key, text, radius), "near")
+    return kept(docs, near_duplicates(docs, key, text, radius), key)
+
+
+def kept(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` that name their component in ``found``, a (key, fp, component_id) of each row."""
+    found = stage(found, "near")
     dropped = found.filter(F.col(key) != F.col("component_id")).select(key)
-    kept = docs.join(dropped.distinct(), key, "left_anti")
+    left = docs.join(dropped.distinct(), key, "left_anti")
     repeated = found.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")
     if repeated.limit(1).count():
-        unnamed = kept.filter(F.col(key).isNull())
-        return kept.filter(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(unnamed)
-    return kept
+        unnamed = left.filter(F.col(key).isNull())
+        return left.filter(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(unnamed)
+    return left

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierline.llm import chat, classifier, embeddings, mixing, packing, pii, quality, secrets, sharding, simhash
+from tierline.llm import chat, classifier, embeddings, merkle, mixing, packing, pii, quality, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -96,6 +96,26 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    fields = [F.col(f) for f in merkle.FIELDS]
+    lowered = [F.translate("text", UPPER, UPPER.lower()) if f == "text" else F.col(f) for f in merkle.FIELDS]
+    tampers = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    leaves = _table(spark, sf, "documents").select(
+        "doc_id", "source", merkle.leaf(fields).alias("leaf"), F.when(tampers, merkle.leaf(lowered)).alias("tampered")
+    )
+    found = merkle.manifest(leaves, carry=("tampered",))
+    used = F.coalesce("tampered", "leaf")
+    folded = found.withColumn("folded_root", merkle.folded(used, F.col("left"), F.col("right")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(merkle.proof(F.col("left"), F.col("right")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -107,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -114,4 +135,5 @@ ORACLES: dict[str, str] = {
     "op3_embedding_near_dedup": embeddings.ORACLE,
     "op4_mixing": mixing.ORACLE,
     "op7_quality_rules": quality.oracle(),
+    "op11_merkle_manifest": merkle.oracle(f"translate(text, '{UPPER}', '{UPPER.lower()}')", 5),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierline.llm import chat, classifier, embeddings, merkle, mixing, packing, pii, quality, secrets, sharding, simhash
+from tierline.llm import chat, classifier, embeddings, merkle, mixing, packing, pii, quality, secrets, sharding, simhash, topk
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -116,6 +116,10 @@ def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -128,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_exact_top_k": op12_exact_top_k,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -136,4 +141,5 @@ ORACLES: dict[str, str] = {
     "op4_mixing": mixing.ORACLE,
     "op7_quality_rules": quality.oracle(),
     "op11_merkle_manifest": merkle.oracle(f"translate(text, '{UPPER}', '{UPPER.lower()}')", 5),
+    "op12_exact_top_k": topk.oracle("vec_id % 50 = 0"),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierline.llm import chat, classifier, embeddings, merkle, mixing, packing, pii, quality, secrets, sharding, simhash, topk
+from tierline.llm import chat, classifier, embeddings, merkle, mixing, packing, phrases, pii, quality, secrets, sharding, simhash, topk
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -120,6 +120,10 @@ def op12_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -133,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_exact_top_k": op12_exact_top_k,
+    "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -142,4 +147,5 @@ ORACLES: dict[str, str] = {
     "op7_quality_rules": quality.oracle(),
     "op11_merkle_manifest": merkle.oracle(f"translate(text, '{UPPER}', '{UPPER.lower()}')", 5),
     "op12_exact_top_k": topk.oracle("vec_id % 50 = 0"),
+    "op13_collocations": phrases.oracle(),
 }

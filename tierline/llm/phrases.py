@@ -37,8 +37,8 @@ TOP = 2000
 CHUNK = 65_000  # words looked up together; with those beyond the cut they number fewer than 2^16
 SHARD = 500_000  # phrases in a trie
 BITS = 25  # of the bit map's positions
-MERGED = 1_000_000  # pairs that a task holds before it merges them
-CACHED = 400_000  # words whose codes a task remembers
+MERGED = 400_000  # pairs that a task holds before it merges them
+CACHED = 150_000  # words whose codes a task remembers
 SEGMENT = 1 << 20  # bytes of a text cut into words together
 BREAKS = b".,;:!?\n\v\f\r"
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + BREAKS, b"abcdefghijklmnopqrstuvwxyz" + b"\xff" * len(BREAKS))
@@ -336,7 +336,7 @@ def _collected(candidates: DataFrame, shard: int) -> tuple[list[str], np.ndarray
 
 
 def _counted(chunks: DataFrame, candidates: DataFrame, shards: int, length: int, least: int, further: bool) -> DataFrame:
-    """The passes of all shards, stored: (phrase, following, n)."""
+    """What the passes of all shards find ``least`` times or more, stored: (phrase, following, f)."""
     context = chunks.sparkSession.sparkContext
     bits = np.zeros(1 << (BITS - 3), np.uint8)
     for shard in range(shards):
@@ -351,7 +351,9 @@ def _counted(chunks: DataFrame, candidates: DataFrame, shards: int, length: int,
         if not len(paths):
             continue
         trie, numbers = context.broadcast(Trie(langs, lang, paths)), context.broadcast(ids)
-        stored.append(stage(_pass(chunks, trie, sent, numbers, length, least, further), "counted"))
+        counts = _pass(chunks, trie, sent, numbers, length, least, further)
+        sums = counts.groupBy("phrase", "following").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+        stored.append(stage(sums, "counted"))
         trie.unpersist()
     out = stored[0]
     for more in stored[1:]:
@@ -376,8 +378,7 @@ def frequent(chunks: DataFrame, least: int = MIN_COUNT, longest: int = LONGEST)
             break
         counted = _counted(chunks, candidates, shards, length, least, further=length < longest)
         named = candidates.select(F.col("id").alias("phrase"), "lang", "path")
-        sums = counted.groupBy("phrase", "following").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-        sums = stage(sums.join(named, "phrase"), "frequent")
+        sums = stage(counted.join(named, "phrase"), "frequent")
         found = found.unionByName(sums.filter("following is null").select("lang", "path", "f"))
         candidates = sums.filter("following is not null").select("lang", F.concat("path", F.array("following")).alias("path"))
     return found

@@ -37,8 +37,9 @@ TOP = 2000
 CHUNK = 65_000  # words looked up together; with those beyond the cut they number fewer than 2^16
 SHARD = 500_000  # phrases in a trie
 BITS = 25  # of the bit map's positions
-MERGED = 400_000  # pairs that a task holds before it merges them
+MERGED = 300_000  # pairs that a task holds before it merges them
 CACHED = 150_000  # words whose codes a task remembers
+WINDOWS = 32  # of a trie, searched for room before cells are added
 SEGMENT = 1 << 20  # bytes of a text cut into words together
 BREAKS = b".,;:!?\n\v\f\r"
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + BREAKS, b"abcdefghijklmnopqrstuvwxyz" + b"\xff" * len(BREAKS))
@@ -117,9 +118,10 @@ def coded(docs: DataFrame, text: str, lang: str, longest: int, seed: int) -> Dat
                 held[name] = run[at:]
 
         for batch in batches:
-            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, body in zip(batch.column(0), batch.column(1)):  # one text at a time becomes Python's
+                name = name.as_py()
                 held.setdefault(name, [])
-                for found in words_of(body):
+                for found in words_of(body.as_py()):
                     held[name] += [known[w] for w in found]
                     yield from full(name)
                 held[name].append(0)
@@ -155,7 +157,7 @@ class Trie:
         floor = len(langs) + 1 + len(self.words)
         self.base = np.zeros(floor + 1, np.int64)
         self.check = np.full(floor + 1, -1, np.int32)
-        self.low, self.end, self.floor = floor, floor, floor
+        self.cursor, self.end, self.floor = floor, floor, floor
         state = lang.astype(np.int64) + 1
         for depth in range(paths.shape[1]):
             state = self._children(state, steps[:, depth])
@@ -184,31 +186,30 @@ class Trie:
         single = starts[counts == 1]
         if len(single):
             self._room(self.end + len(single) + 1)
-            free = np.flatnonzero(self.check[self.low : self.end + len(single)] < 0)[: len(single)] + self.low
+            free = np.flatnonzero(self.check[self.floor : self.end + len(single)] < 0)[: len(single)] + self.floor
             self.base[above[single]] = free - by[single]
             self.check[free] = above[single]
-            self.low, self.end = int(free[-1]) + 1, max(self.end, int(free[-1]) + 1)
+            self.end = max(self.end, int(free[-1]) + 1)
         return (self.base[above] + by)[back]
 
     def _place(self, parent: int, words: np.ndarray) -> None:
+        """Finds room for the children of one state: in one of the windows from the cursor on, else at the end."""
         base = self.end - int(words[0])
-        tried = max(1, min(256, (1 << 18) // len(words)))
-        for at in range(self.low, self.end, tried):
-            free = np.flatnonzero(self.check[at : min(at + tried, self.end)] < 0) + at
-            bases = free - int(words[0])
-            self._room(int(self.end + words[-1]) + tried + 1)
+        tried = max(1, min(1024, (1 << 18) // len(words)))
+        self._room(int(self.end + words[-1]) + tried + 1)
+        for _ in range(WINDOWS):
+            if self.cursor >= self.end:
+                self.cursor = self.floor
+            to = min(self.cursor + tried, self.end)
+            bases = np.flatnonzero(self.check[self.cursor : to] < 0) + self.cursor - int(words[0])
             fits = np.flatnonzero((self.check[bases[:, None] + words[None, :]] < 0).all(axis=1))
             if len(fits):
                 base = int(bases[fits[0]])
                 break
-            if at > self.low + 4096:
-                break
-        self._room(base + int(words[-1]) + 1)
+            self.cursor = to
         self.base[parent] = base
         self.check[base + words] = parent
         self.end = max(self.end, base + int(words[-1]) + 1)
-        while self.low < self.end and self.check[self.low] >= 0:
-            self.low += 1
 
     def steps(self, vocab: np.ndarray) -> np.ndarray:
         """The word number of each code."""
@@ -249,6 +250,12 @@ def _merged(keys: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.n
 COUNTED = "phrase long, following long, n long"
 
 
+def _rows(block: pa.RecordBatch) -> Iterator[list]:
+    """The rows of a batch, one at a time: (lang, own, vocab, ids)."""
+    for values in zip(*(block.column(c) for c in ("lang", "own", "vocab", "ids"))):
+        yield [v.as_py() for v in values]
+
+
 def _pass(chunks: DataFrame, trie, bits, ids, length: int, least: int, further: bool) -> DataFrame:
     """What one trie counts: (phrase, null, occurrences), and, if ``further``, (phrase, following word,
     occurrences up to ``least`` of a task) of what may be frequent with that word added."""
@@ -264,7 +271,7 @@ def _pass(chunks: DataFrame, trie, bits, ids, length: int, least: int, further:
         counts = np.zeros(tree.phrases, np.int64)
         held, size = [], 0
         for block in batches:
-            for lang, own, vocab, chunk in zip(*(block.column(c).to_pylist() for c in ("lang", "own", "vocab", "ids"))):
+            for lang, own, vocab, chunk in _rows(block):
                 codes = np.frombuffer(vocab, np.int64)
                 local = np.frombuffer(chunk, "<u2").astype(np.int64)
                 position, phrase = tree.accepted(lang, tree.steps(codes)[local], own, length)
@@ -309,7 +316,7 @@ def _word_counts(chunks: DataFrame) -> DataFrame:
                 )
 
         for block in batches:
-            for lang, own, vocab, chunk in zip(*(block.column(c).to_pylist() for c in ("lang", "own", "vocab", "ids"))):
+            for lang, own, vocab, chunk in _rows(block):
                 codes = np.frombuffer(vocab, np.int64)
                 n = np.bincount(np.frombuffer(chunk, "<u2")[:own], minlength=len(codes))
                 some = np.flatnonzero((n > 0) & (codes != 0))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import mixing, packing, quality, resemblance, secrets
+from tierline.llm import mixing, packing, quality, secrets, simhash
 from tierline.session import stage
 
 
@@ -28,8 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies, in four of five shingles, stays."""
-    return resemblance.keep_one(docs)
+    """The document of the smallest id of each group of near copies, within three bits, stays."""
+    return simhash.keep_one(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

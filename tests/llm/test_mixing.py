@@ -1,5 +1,6 @@
 """Mixing against SQL, a plain apportionment, and its own promises."""
 
+import math
 from collections import Counter, defaultdict
 
 import compare
@@ -66,13 +67,37 @@ def test_against_plain_apportionment(spark):
         assert abs(r.target - goal[r.source]) < 1e-6 and r.source_size == sizes[r.source]
         assert 0 <= r.taken <= 2 * r.size
         taken[r.source] += r.taken
-    seats = round(sum(goal.values()) / mixing.BLOCK_WORDS)
+    block = max(1, min(mixing.BLOCK_WORDS, math.floor(min(g for g in goal.values() if g > 0))))
+    assert {r.block_words for r in rows} == {block}
+    seats = round(sum(goal.values()) / block)
     for j in range(1, mixing.SHARDS + 1):
         won = highest_quotients(goal, order, seats * j // mixing.SHARDS)
         assert all(r.quotas[j - 1] == won[r.source] for r in rows)
     for s in sizes:
-        assert taken[s] == min(2 * sizes[s], won[s] * mixing.BLOCK_WORDS)
-        assert abs(taken[s] - goal[s]) <= mixing.BLOCK_WORDS
+        assert taken[s] == min(2 * sizes[s], won[s] * block)
+        assert abs(taken[s] - goal[s]) <= block
+    for r in rows:
+        assert sum(p.words for p in r.parts) == r.taken
+        assert all(0 <= p.first_block - (r.quotas[p.shard - 1] if p.shard else 0) <= p.last_block < r.quotas[p.shard] for p in r.parts)
+
+
+@pytest.mark.parametrize("sizes", [[16, 900], [20 + i for i in range(40)], [13], [1, 1, 5000], [3, 0, 2]])
+def test_sources_below_a_block(spark, sizes):
+    docs = spark.createDataFrame([(i, words(n), f"s{i:02}", "t", 1) for i, n in enumerate(sizes)], SCHEMA)
+    rows = {r.source: r for r in mixing.mixed(docs).collect()}
+    assert all(abs(r.taken - r.target) <= r.block_words <= max(1, r.target) or r.target == 0 for r in rows.values())
+    assert all(r.taken > 0 for r in rows.values() if r.target >= 1)
+    assert mixing.mix(docs).count() >= sum(n > 0 for n in sizes)
+
+
+def test_many_sources(spark):
+    goals = spark.range(20_000).selectExpr("concat('s', id) AS source", "id AS nth", "1000 + id AS source_size", "1500.0D + id % 977 AS target")
+    rows = mixing.quotas(goals).collect()
+    block, seats = 64, round(sum(r.target for r in rows) / 64)
+    border = sorted((r.target / (2 * i + 1) for r in rows for i in range(60)), reverse=True)[seats - 1]
+    for r in rows:
+        assert r.block_words == block and (r.target / (2 * r.quotas[-1] - 1) >= border >= r.target / (2 * r.quotas[-1] + 1))
+    assert sum(r.quotas[-1] for r in rows) == seats
 
 
 def test_mix_rows(spark):

@@ -48,6 +48,22 @@ def test_every_sign_below_the_letters(spark):
         assert np.frombuffer(found, "<u2").tolist() == library_ids(text)[:-1], repr(text)
 
 
+def test_colliding_pieces():
+    """Words of letters in the order of parity of bits, and with the letters exchanged: a polynomial with
+    an odd factor gives both one value modulo 2^64."""
+    order = [bin(i).count("1") % 2 for i in range(2048)]
+    one, other = "".join("ab"[x] for x in order), "".join("ba"[x] for x in order)
+    for texts in ([one, other], [one + " c", "c " + other, one + " " + other]):
+        coder = packing.PieceTokenizer(PATH, "<u2")
+        starts = coder._hashes(np.frombuffer((one + other).encode(), np.uint8), np.array([0, 2048]), np.array([2048, 4096]))
+        assert starts[0] == starts[1]
+        for _ in range(2):
+            for text, found in zip(texts, coder.encode(texts)):
+                assert np.frombuffer(found, "<u2").tolist() == library_ids(text)[:-1]
+        for text in texts:
+            assert np.frombuffer(coder.encode([text])[0], "<u2").tolist() == library_ids(text)[:-1]
+
+
 def test_few_pieces_kept_and_short_segments(monkeypatch):
     monkeypatch.setattr(packing, "PIECES_KEPT", 20)
     monkeypatch.setattr(packing, "SEGMENT", 50)

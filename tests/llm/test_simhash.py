@@ -74,6 +74,16 @@ def test_edges(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.keep_one(docs.limit(0)).count() == 0
 
 
+def test_one_id_two_texts(spark):
+    one, two = "alpha beta gamma delta epsilon " * 4, "quite another text of other words entirely " * 3
+    rows = [(3, one), (5, one), (5, two), (7, two), (7, two), (9, ""), (9, None), (None, one), (None, one)]
+    docs = spark.createDataFrame([(k, t, "en", "s") for k, t in rows], "doc_id long, text string, row string, fp string")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect() if r.doc_id is not None), key=repr)[:2] == [(3, one), (5, two)]
+    assert sum(r.doc_id is None for r in kept.collect()) == 2 and kept.count() == 5
+
+
 @pytest.mark.parametrize("tile", [1 << 17, 40])
 def test_tiles_lose_no_link(spark, tile, monkeypatch):
     monkeypatch.setattr(simhash, "TILE", tile)

@@ -1,11 +1,12 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
-Each source's documents are laid in seeded order on a line of words, cut into blocks of equal size.
-Blocks are awarded to sources by highest quotients target / (2i + 1), shard by shard: the awards of
-the first j shards are the apportionment of j / shards of all blocks, so each shard holds an integer
-quota of every source. A source with quota q contributes its first q blocks, going round its line at
-most twice; as the line is in seeded order, they are a seeded choice. Only the document in which a
-quota ends is taken in part.
+Each source's documents are laid in seeded order on a line of words, cut into blocks of equal size:
+BLOCK_WORDS, or the least target above nothing where that is less, so every source with a target has
+blocks to win. Blocks are awarded to sources by highest quotients target / (2i + 1), shard by shard: the
+awards of the first j shards are the apportionment of j / shards of all blocks, so each shard holds an
+integer quota of every source. A source with quotas q1, q2, ... gives its first q1 blocks to the first
+shard, those up to q2 to the second and so on, going round its line at most twice; as the line is in
+seeded order, they are a seeded choice. Only a document in which a quota ends is cut.
 
 Null text has no words, a null source is a source (the last), equal rows are taken alike in sum, and
 an empty table gives an empty one. Sources whose words are all taken twice stop there.
@@ -59,33 +60,31 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
 
 
 def quotas(goals: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS) -> DataFrame:
-    """(source, nth, source_size, target, quotas): blocks awarded in the first 1, 2, ... shards.
+    """(source, nth, source_size, target, block_words, quotas): blocks awarded in the first 1, 2, ... shards.
 
-    With S sources no quota lies further than S/2 + 1/2 from the exact share, so only the awards
-    within that of it are ranked; those below are certain.
+    With S sources and H blocks the border quotient lies within a part S / 2H of the total over H, so
+    only the awards that this leaves open are ranked, some five a source; those above are certain.
     """
-    count = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    total = F.sum("target").over(Window.partitionBy(F.lit(0)))
-    house = F.floor(F.round(F.col("total") / block_words) * F.col("shard") / shards).cast("bigint")
-    rows = goals.withColumns({"n": count, "total": total}).withColumn(
-        "shard", F.explode(F.sequence(F.lit(1), F.lit(shards)))
-    )
-    rows = rows.withColumn("house", house).withColumn("margin", F.floor(F.col("n") / 2).cast("bigint") + 2)
+    every = Window.partitionBy(F.lit(0))
+    least = F.floor(F.min(F.when(F.col("target") > 0, F.col("target"))).over(every))
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.coalesce(least, F.lit(1)))).cast("int")
+    rows = goals.withColumns({"n": F.count(F.lit(1)).over(every), "total": F.sum("target").over(every), "block_words": block})
+    rows = rows.withColumn("shard", F.explode(F.sequence(F.lit(1), F.lit(shards))))
+    house = F.floor(F.round(F.col("total") / F.col("block_words")) * F.col("shard") / shards).cast("bigint")
+    rows = rows.withColumn("house", house)
     ideal = F.coalesce(F.col("target") * F.col("house") / F.nullif(F.col("total"), F.lit(0.0)), F.lit(0.0))
-    rows = rows.withColumn("base", F.greatest(F.lit(0).cast("bigint"), F.floor(ideal).cast("bigint") - F.col("margin")))
-    open_seats = F.col("house") - F.sum("base").over(Window.partitionBy("shard"))
-    rows = rows.withColumn("open", open_seats)
-    awards = rows.withColumn("i", F.explode(F.sequence(F.col("base"), F.col("base") + 2 * F.col("margin") + 1)))
+    margin = F.coalesce(ideal * F.col("n") / F.nullif(2.0 * F.col("house"), F.lit(0.0)), F.lit(0.0)) + 1e-9 * ideal + 2
+    rows = rows.withColumn("base", F.greatest(F.lit(0).cast("bigint"), F.floor(ideal - margin).cast("bigint")))
+    rows = rows.withColumn("last", F.ceil(ideal + margin).cast("bigint"))
+    rows = rows.withColumn("open", F.col("house") - F.sum("base").over(Window.partitionBy("shard")))
+    awards = rows.withColumn("i", F.explode(F.sequence(F.col("base"), F.col("last"))))
     quotient = F.col("target") / (2 * F.col("i") + 1)
     rank = F.row_number().over(Window.partitionBy("shard").orderBy(quotient.desc(), "nth", "i"))
     won = F.when((rank <= F.col("open")) & (F.col("target") > 0), 1).otherwise(0)
-    per_shard = (
-        awards.withColumn("won", won)
-        .groupBy("source", "nth", "source_size", "target", "shard")
-        .agg((F.max("base") + F.sum("won")).alias("quota"))
-    )
+    names = ["source", "nth", "source_size", "target", "block_words"]
+    per_shard = awards.withColumn("won", won).groupBy(*names, "shard").agg((F.max("base") + F.sum("won")).alias("quota"))
     in_order = F.transform(F.sort_array(F.collect_list(F.struct("shard", "quota"))), lambda x: x["quota"])
-    return per_shard.groupBy("source", "nth", "source_size", "target").agg(in_order.alias("quotas"))
+    return per_shard.groupBy(*names).agg(in_order.alias("quotas"))
 
 
 def line(sizes: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -113,7 +112,8 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     """One row per row of ``docs``: its words, its source's figures, and the words taken of it.
 
     ``first`` and ``second`` are the words taken on the first and second way round; words are taken
-    from a document's beginning.
+    from a document's beginning. ``parts`` says where they go: (shard from 0, first and last block of the
+    source's awards, words) for each shard and way round that takes any.
     """
     sizes = docs.select(F.col(key), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
     return _mixed(stage(sizes, "sizes"), key)
@@ -122,16 +122,38 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
 def _mixed(sizes: DataFrame, key: str) -> DataFrame:
     shares = quotas(targets(sizes)).withColumnRenamed("source", "q_source")
     rows = line(sizes, key).join(shares, F.col("source").eqNullSafe(F.col("q_source")))
-    limit = F.element_at("quotas", -1) * BLOCK_WORDS
+    limit = F.element_at("quotas", -1) * F.col("block_words")
     first = _taken(limit, F.col("start"), F.col("size"))
     second = _taken(limit - F.col("source_size"), F.col("start"), F.col("size"))
     rows = rows.withColumns({"first": first, "second": second})
     return rows.select(
         key, "source", "size", "source_size", "target", "first", "second", (F.col("first") + F.col("second")).alias("taken"),
-        "start", "quotas",
+        "start", "quotas", "block_words", _parts().alias("parts"),
     )
 
 
+def _parts() -> Column:
+    """The shards that a document's words go to, from the quotas that bound each shard's run of the line."""
+    width = F.col("block_words").cast("bigint")
+
+    def part(shard: Column, way: int) -> Column:
+        begin = F.col("start") + way * F.col("source_size")
+        before = F.when(shard > 0, F.get("quotas", shard - 1)).otherwise(0) * width
+        low = F.greatest(begin, before)
+        high = F.least(begin + F.col("size"), F.get("quotas", shard) * width)
+        return F.struct(
+            shard.cast("int").alias("shard"), F.floor(low / width).alias("first_block"),
+            F.floor((high - 1) / width).alias("last_block"), (high - low).alias("words"),
+        )
+
+    shards = F.sequence(F.lit(0), F.size("quotas") - 1)
+
+    def round_(way: int) -> Column:
+        return F.transform(shards, lambda shard: part(shard, way))
+
+    return F.filter(F.concat(*[round_(way) for way in range(LIMIT)]), lambda p: p["words"] > 0)
+
+
 def _first_words(text: Column, n: Column) -> Column:
     """A text up to the end of its ``n``-th word, white space as it was."""
 
@@ -194,13 +216,14 @@ WITH d AS (
         / nullif(sum(CASE WHEN at_cap THEN 0 ELSE weight END) OVER (), 0)) END AS target
   FROM f
 ), house AS (
-  SELECT CAST(floor(round(sum(target) / {BLOCK_WORDS})) AS BIGINT) AS seats, max(target) AS most, sum(target) AS total FROM t
+  SELECT CAST(round(sum(target) / any_value(block)) AS BIGINT) AS seats, any_value(block) AS block, sum(target) AS total
+  FROM t, (SELECT greatest(1, least({BLOCK_WORDS}, CAST(floor(coalesce(min(target) FILTER (target > 0), 1)) AS BIGINT))) AS block FROM t)
 ), awards AS (
   SELECT source, row_number() OVER (ORDER BY target / (2 * i + 1) DESC, nth, i) AS rank
   FROM (SELECT source, nth, target, unnest(range(0, CAST(target * seats / total AS BIGINT) + (SELECT count(*) FROM t) + 3)) AS i
         FROM t, house WHERE target > 0)
 ), quota AS (
-  SELECT source, count(*) * {BLOCK_WORDS} AS words FROM awards, house WHERE rank <= seats GROUP BY source
+  SELECT source, count(*) * any_value(block) AS words FROM awards, house WHERE rank <= seats GROUP BY source
 ), laid AS (
   SELECT doc_id, source, size,
     CAST(sum(size) OVER (PARTITION BY source ORDER BY place, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start

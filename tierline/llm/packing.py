@@ -49,8 +49,9 @@ class PieceTokenizer:
     in order. Texts of plain Latin letters and ASCII signs (where normal form C changes nothing) are
     cut into those pieces with numpy; of other texts the words go through the library's own steps.
 
-    Pieces are told apart by a 64-bit polynomial hash from prefix sums. Ids of known pieces are gathered
-    from one array; the library's model gets the new pieces of a batch at once.
+    Pieces are looked up by a 64-bit polynomial hash from prefix sums, and every piece is compared byte by
+    byte with the one its hash led to; a batch in which any differs goes to the library as it is. Ids of
+    known pieces are gathered from one array; the library's model gets the new pieces of a batch at once.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -71,6 +72,8 @@ class PieceTokenizer:
         self.keys = np.zeros(0, np.uint64)  # ascending
         self.first, self.count, self.used = (np.zeros(0, np.int64) for _ in range(3))
         self.ids = np.zeros(0, self.dtype)
+        self.at, self.size = (np.zeros(0, np.int64) for _ in range(2))  # of a known piece's bytes
+        self.bytes = np.zeros(0, np.uint8)
         self.batch = 0
         self.power = self.inverse = np.ones(1, np.uint64)
 
@@ -108,19 +111,24 @@ class PieceTokenizer:
         np.cumsum(sums, out=sums)
         return (sums[end] - sums[start]) * self.inverse[start]
 
-    def _learn(self, keys: np.ndarray, found: list[bytes]) -> None:
-        """Adds new ``keys``, ascending; beyond ``PIECES_KEPT`` those not used for longest go."""
+    def _learn(self, keys: np.ndarray, found: list[bytes], spelled: np.ndarray, size: np.ndarray) -> None:
+        """Adds new ``keys``, ascending, with their pieces' bytes; beyond ``PIECES_KEPT`` those not used
+        for longest go."""
         if len(self.keys) > PIECES_KEPT:
             kept = self.used >= np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
             if kept.all():
                 kept = self.used == self.batch
             self.ids, self.first = _gather(self.ids, self.first[kept], self.count[kept])
-            self.keys, self.count, self.used = self.keys[kept], self.count[kept], self.used[kept]
+            self.bytes, self.at = _gather(self.bytes, self.at[kept], self.size[kept])
+            self.keys, self.count, self.used, self.size = self.keys[kept], self.count[kept], self.used[kept], self.size[kept]
         at = np.searchsorted(self.keys, keys)
         count = np.array([len(x) for x in found], np.int64) // self.dtype.itemsize
         first = len(self.ids) + np.cumsum(count) - count
         self.keys, self.first, self.count = np.insert(self.keys, at, keys), np.insert(self.first, at, first), np.insert(self.count, at, count)
         self.used = np.insert(self.used, at, self.batch)
+        begin = len(self.bytes) + np.cumsum(size) - size
+        self.at, self.size = np.insert(self.at, at, begin), np.insert(self.size, at, size)
+        self.bytes = np.concatenate([self.bytes, spelled])
         self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), self.dtype)])
 
     def _batch(self, parts: list[bytes], plain: bool) -> list[bytes]:
@@ -139,10 +147,15 @@ class PieceTokenizer:
         inner = at < len(self.keys)
         known[inner] = self.keys[at[inner]] == keys[inner]
         self.used[at[known]] = self.batch
+        size = end - start
+        same = _equal(data, start, size, data, start[where][inverse], size[where][inverse])
+        if not same or not _equal(data, start[where[known]], size[where[known]], self.bytes, self.at[at[known]], self.size[at[known]]):
+            return self._library([part.decode("utf-8", "surrogatepass") for part in parts])
         if not known.all():
             fresh = where[~known]
             texts = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(start[fresh].tolist(), end[fresh].tolist())]
-            self._learn(keys[~known], self._model(texts) if plain else self._words(texts))
+            found = self._model(texts) if plain else self._words(texts)
+            self._learn(keys[~known], found, _gather(data, start[fresh], size[fresh])[0], size[fresh])
             at = np.searchsorted(self.keys, keys)
         at = at[inverse]
         ids, first = _gather(self.ids, self.first[at], self.count[at])
@@ -181,6 +194,13 @@ def _gather(values: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[n
     return values[np.repeat(first - at, count) + np.arange(to[-1] if len(to) else 0)], at
 
 
+def _equal(ours: np.ndarray, at: np.ndarray, size: np.ndarray, theirs: np.ndarray, there: np.ndarray, length: np.ndarray) -> bool:
+    """Whether the runs of ``ours`` equal those of ``theirs``, one by one."""
+    if not np.array_equal(size, length):
+        return False
+    return np.array_equal(_gather(ours, at, size)[0], _gather(theirs, there, length)[0])
+
+
 def _segments(data: bytes) -> list[bytes]:
     """Parts of about SEGMENT bytes at most, cut at white space where there is any."""
     parts, at = [], 0

@@ -191,20 +191,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that name their class; of rows that repeat a name, one stays.
+    """One row of ``docs`` for each group of near copies: the one of the smallest key.
 
-    Rows without a key cannot be named and all stay.
+    Rows are told apart by key and text, so an id that repeats with different texts loses none of them to
+    the group of another; of rows equal in both, one stays. Rows without a key have no place in the order
+    and all stay.
     """
-    return kept(docs, near_duplicates(docs, key, text, radius), key)
-
-
-def kept(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` that name their component in ``found``, a (key, fp, component_id) of each row."""
-    found = stage(found, "near")
-    dropped = found.filter(F.col(key) != F.col("component_id")).select(key)
-    left = docs.join(dropped.distinct(), key, "left_anti")
-    repeated = found.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")
+    body = F.coalesce(F.col(text), F.lit(""))
+    named = docs.select(F.struct(F.col(key).alias("key"), F.md5(F.encode(body, "UTF-8")).alias("mark")).alias("row"), F.col(text).alias("text"))
+    prints = stage(fingerprints(named.filter("row.key is not null"), "row", "text"), "prints")
+    classes = stage(prints.groupBy("fp").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")), "classes")
+    found = components(links(classes.select("fp", F.col("fp").alias("rep")), radius))
+    grouped = classes.join(found.withColumnRenamed("id", "fp"), "fp", "left").withColumn("group", F.coalesce("component", "fp"))
+    grouped = stage(grouped.select("fp", "first", "group"), "groups")
+    stays = grouped.groupBy("group").agg(F.min("first").alias("stays"))
+    table = grouped.join(stays, "group").select("fp", "stays")
+    rows = stage(attach(prints, table, "fp", classes.select("fp", "n")), "near")
+    dropped = rows.filter("row <> stays").select(F.col("row.key").alias("__key"), F.col("row.mark").alias("__mark")).distinct()
+    mark = F.md5(F.encode(body, "UTF-8"))
+    left = docs.join(dropped, (F.col(key) == F.col("__key")) & (mark == F.col("__mark")), "left_anti")
+    repeated = prints.groupBy("row").count().filter("count > 1")
     if repeated.limit(1).count():
         unnamed = left.filter(F.col(key).isNull())
-        return left.filter(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(unnamed)
+        single = left.filter(F.col(key).isNotNull()).withColumn("__mark", mark).dropDuplicates([key, "__mark"])
+        return single.drop("__mark").unionByName(unnamed)
     return left

@@ -5,6 +5,9 @@ order. Amounts of up to six decimals are taken as millionths in a bigint, which
 primitive codegen, or as DECIMAL where they are too large for that; both give the same, exactly rounded
 result. Each operand is tested by itself. What neither can hold, more decimals or 1e13 and beyond, is
 computed in double and rounded, never cut or dropped. NaN and infinite amounts count as null.
+
+Sums and means add millionths, and what an amount has beyond its nearest millionth as an integer of its
+own, in parts of 1e-15: the same result whatever the order of rows, rounded once.
 """
 
 from __future__ import annotations
@@ -22,7 +25,8 @@ LONG = 2**62  # products up to here fit a bigint with room for rounding
 SMALL = SAFE // MILLION  # amounts up to here have exact millionths
 LARGE = 1e13  # decimal(19,6) holds amounts below
 SUMMED = 1e6  # amounts whose whole units are summed as bigint, whatever the number of rows
-WHOLE = 1e15  # beyond, a double has no cents
+WHOLE = 1e16  # beyond, a double has no fraction; decimal(22,6) holds amounts below
+FINE = 1e15  # parts of a unit in which the distance from the nearest millionth is summed
 
 
 def finite(value: Column) -> Column:
@@ -70,11 +74,12 @@ def _factor_parts(factor: Decimal) -> tuple[int, int]:
 def revenue(price: Column, factor: Decimal = Decimal(1)) -> Column:
     """``price`` times ``factor``, rounded to two places."""
     numerator, scale = _factor_parts(factor)
-    price = finite(price)
+    raw, price = price.cast("double"), finite(price)
+    parts = F.rint(raw * float(MILLION))
     return (
         F.when(
-            (F.abs(price) < SMALL // max(1, numerator)) & _six(price),
-            _cents(millionths(price) * F.lit(numerator), MILLION * scale),
+            (F.abs(raw) < SMALL // max(1, numerator)) & (parts / float(MILLION) == raw),  # the usual case, cheaply
+            _cents(parts.cast("bigint") * F.lit(numerator), MILLION * scale),
         )
         .when(_six(price), _decimal_cents(_as_decimal(price) * F.lit(factor)))
         .otherwise(F.round(price * float(factor), 2))
@@ -136,7 +141,8 @@ def _sums(value: Column) -> tuple[Column, Column, Column]:
     """Aggregates: the exact sum as a decimal, the sum of what has no cents as a double, and the count.
 
     Small amounts are summed as bigint, whole units and millionths apart. Their millionths are rounded
-    from the amount itself, so a large whole part does not blur them; larger amounts are decimals.
+    from the amount itself, so a large whole part does not blur them; larger amounts are decimals. What
+    either leaves of the amount is summed in parts of 1e-15; the sum is cut towards zero to six places.
     """
     value = finite(value)
     size = F.abs(value)
@@ -150,7 +156,11 @@ def _sums(value: Column) -> tuple[Column, Column, Column]:
         + F.coalesce(fraction.cast("decimal(20,0)") * F.lit(Decimal("0.000001")), zero)
         + F.coalesce(large.cast("decimal(37,6)"), zero)
     )
-    return amount, F.sum(F.when(size >= WHOLE, value)), F.count(value)
+    left = (value - F.rint(value * float(MILLION)) / float(MILLION)) * FINE
+    left = F.coalesce(F.sum(F.when(size < SMALL, F.rint(left).cast("bigint"))), F.lit(0)).cast("double") * (MILLION / FINE)
+    below = amount.cast("double") + left / MILLION < 0
+    cut = F.when(below, F.ceil(left)).otherwise(F.floor(left)).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    return (amount + cut).cast("decimal(38,6)"), F.sum(F.when(size >= WHOLE, value)), F.count(value)
 
 
 def total(value: Column) -> Column:

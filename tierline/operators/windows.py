@@ -105,8 +105,11 @@ def previous_within(
     name: str,
     rows_per_task: int | None = settings.ROWS_PER_TASK,
 ) -> DataFrame:
-    """``value`` of the preceding row of the group, ascending by ``order``; null on the first row."""
-    ascending = [F.asc(column) for column in order]
+    """``value`` of the preceding row of the group, ascending by ``order``; null on the first row.
+
+    All other columns break ties, so the result depends neither on the layout nor on slicing.
+    """
+    ascending = [*[F.asc(column) for column in order], *ties(df, [*keys, *order])]
 
     def plain(rows: DataFrame) -> DataFrame:
         return rows.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*ascending)))
@@ -116,20 +119,18 @@ def previous_within(
     ordinary, hot, hot_rows = split_hot(df, keys, rows_per_task)
     if hot is None:
         return plain(ordinary)
-    sliced = _previous_sliced(hot, keys, order, value, name, hot_rows, rows_per_task)
+    sliced = _previous_sliced(hot, keys, ascending, value, name, hot_rows, rows_per_task)
     return sliced if ordinary is None else plain(ordinary).unionByName(sliced)
 
 
 def _previous_sliced(
-    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, rows: int, rows_per_task: int
+    df: DataFrame, keys: list[str], order: list[Column], value: str, name: str, rows: int, rows_per_task: int
 ) -> DataFrame:
-    ascending = [F.asc(column) for column in order]
-    sliced = slice_groups(df, keys, ascending, rows, rows_per_task)
-    inside = Window.partitionBy(*keys, SLICE).orderBy(*ascending, ROW)
-    last = F.max_by(value, F.struct(*order, ROW)).alias("__last")
-    tails = sliced.groupBy(*keys, SLICE).agg(last)
-    carried = F.lag("__last").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("__carried")
+    sliced = slice_groups(df, keys, order, rows, rows_per_task)
+    inside = Window.partitionBy(*keys, SLICE).orderBy(*order, ROW)
     inner = sliced.withColumns({name: F.lag(value).over(inside), "__nth": F.row_number().over(inside)})
+    tails = inner.groupBy(*keys, SLICE).agg(F.max_by(value, "__nth").alias("__last"))
+    carried = F.lag("__last").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("__carried")
     joined = join_to_slices(inner, tails.select(*keys, SLICE, carried), keys)
     previous = F.when(F.col("__nth") == 1, F.col("__carried")).otherwise(F.col(name))
     return joined.withColumn(name, previous).drop(ROW, SLICE, "__nth", "__carried")
@@ -145,12 +146,13 @@ def top_k(
     keys: list[str] | None = None,
     rows_per_task: int | None = settings.ROWS_PER_TASK,
 ) -> DataFrame:
-    """The first ``k`` rows, overall or per group.
+    """The first ``k`` rows, overall or per group. All other columns break ties, whatever ``k``.
 
     Spark limits small groups on the map side. For a larger ``k`` the rows are numbered, too large
     groups in slices, so that none is sorted in a single task.
     """
     if k <= GROUP_LIMIT:
+        order = [*order, *ties(df, keys or [])]
         if not keys:
             return df.orderBy(*order).limit(k)
         window = Window.partitionBy(*keys).orderBy(*order)

@@ -355,6 +355,11 @@ ORACLES["money_large_amounts"] = f"""SELECT o_orderkey, {_BIG} AS revenue, {_BIG
   0.0::DOUBLE AS free, 0.0::DOUBLE AS no_stock FROM orders"""
 ORACLES["money_large_totals"] = f"""SELECT o_orderpriority,
   CAST(sum(CASE WHEN o_orderkey <> 1 THEN CAST({_BIG} AS BIGINT) END) AS DOUBLE) AS total FROM orders GROUP BY ALL"""
+_FINE = """CAST(CASE o_orderkey % 6 WHEN 0 THEN 0.0000004 WHEN 1 THEN 0.000000001 WHEN 2 THEN 1000000.0000004
+  WHEN 3 THEN 1000000000000000 WHEN 4 THEN -3.0000004 ELSE CAST(round(o_totalprice, 2) AS DECIMAL(38,10)) END AS DECIMAL(38,10))"""
+ORACLES["money_fine_totals"] = f"""SELECT o_orderpriority, o_orderkey % 6 < 3 AS fine, CAST(round(sum({_FINE}), 2) AS DOUBLE) AS total,
+  CAST(sign(sum({_FINE})) * CAST((2 * CAST(abs(sum({_FINE})) * 10000000000::BIGINT AS HUGEINT) + count(*) * 100000000)
+    // (2 * count(*) * 100000000) AS BIGINT) AS DOUBLE) / 100::DOUBLE AS mean FROM orders GROUP BY ALL"""
 ORACLES["upsert_named_table"] = MERGED
 ORACLES["pipeline_two_runs"] = f"""SELECT o_orderkey AS order_id, lower(trim(o_orderpriority)) AS category,
   o_totalprice AS price, o_orderdate AS order_date, CAST(year(o_orderdate) AS INTEGER) AS order_year,

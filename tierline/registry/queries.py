@@ -550,6 +550,17 @@ def money_large_totals(spark, sf):
     return priced.groupBy("o_orderpriority").agg(money.total(F.col("price")).alias("total"))
 
 
+@query
+def money_fine_totals(spark, sf):
+    """Totals and means of amounts finer than millionths, mixed with large ones and with cents."""
+    kinds = [F.lit(4e-7), F.lit(1e-9), F.lit(1e6 + 4e-7), F.lit(1e15), F.lit(-3.0000004), F.round("o_totalprice", 2)]
+    amount = F.element_at(F.array(*kinds), (F.col("o_orderkey") % len(kinds) + 1).cast("int"))
+    priced = load(spark, sf, "orders").select("o_orderpriority", (F.col("o_orderkey") % 6 < 3).alias("fine"), amount.alias("price"))
+    return priced.groupBy("o_orderpriority", "fine").agg(
+        money.total(F.col("price")).alias("total"), money.mean(F.col("price")).alias("mean")
+    )
+
+
 @query
 def upsert_named_table(spark, sf):
     """Two upserts by the name of a table that is not there at first; read through the catalog."""

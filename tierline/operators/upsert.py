@@ -78,7 +78,7 @@ def prepare_merge(
     places = fresh.select(*partition_by).union(leaving.select(*partition_by)).distinct()
     places.write.mode("overwrite").parquet(f"{prepared}/touched")
     touched = spark.read.schema(places.schema).parquet(f"{prepared}/touched")
-    old = null_safe_join(_folders(table, touched, partition_by), touched, partition_by, "left_semi")
+    old = null_safe_join(folders_in(table, touched, partition_by), touched, partition_by, "left_semi")
     merged = merge_frames(old, fresh, pk, unique=True)
     merged.write.mode("overwrite").parquet(f"{prepared}/rows")
 
@@ -98,7 +98,7 @@ def merged_view(spark: SparkSession, path: str, prepared: str) -> DataFrame:
     return null_safe_join(table, touched, touched.columns, "left_anti").unionByName(rows)
 
 
-def _folders(table: DataFrame, touched: DataFrame, partition_by: list[str]) -> DataFrame:
+def folders_in(table: DataFrame, touched: DataFrame, partition_by: list[str]) -> DataFrame:
     """``table`` filtered to values that ``touched`` has, column by column, so that the scan lists only
     folders that may be touched. The values are some of the table's folder names."""
     for column in partition_by:
@@ -114,7 +114,7 @@ def _drop_folders(spark: SparkSession, path: str, places: DataFrame) -> None:
     if places.isEmpty():
         return
     columns = places.columns
-    stale = null_safe_join(_folders(spark.read.parquet(path), places, columns), places, columns, "left_semi")
+    stale = null_safe_join(folders_in(spark.read.parquet(path), places, columns), places, columns, "left_semi")
     folders = stale.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")).distinct()
     for row in folders.toLocalIterator():
         # the metadata column holds the path as an encoded URI

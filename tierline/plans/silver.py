@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierline.functions import dates, labels, money, text
 from tierline.operators.audit import stamp
 from tierline.operators.clean import dedup_latest, keep_positive, normalise, require
+from tierline.operators.joins import null_safe_join
 from tierline.operators.windows import dense_rank_within, number_within, previous_within
 from tierline.settings import Run
 
@@ -77,7 +78,8 @@ def clean_customers(customers: DataFrame, run: Run = Run()) -> DataFrame:
     return stamp(rows, "silver", "customers", run.name, run.env, run.ts)
 
 
-def transform_orders(orders: DataFrame, run: Run = Run()) -> DataFrame:
+def transform_orders(orders: DataFrame, run: Run = Run(), ranks: DataFrame | None = None) -> DataFrame:
+    """``ranks`` (category, rating_rate, rank_in_category) are taken as given where ``orders`` are not all."""
     price = F.col("price")
     rows = orders.withColumns(
         dates.date_parts(F.col("order_date"), "order_")
@@ -91,9 +93,10 @@ def transform_orders(orders: DataFrame, run: Run = Run()) -> DataFrame:
     rows = previous_within(
         rows, ["product_id"], ["order_date", "order_id"], "price", "prev_price", run.rows_per_task
     )
-    rows = dense_rank_within(
-        rows, ["category"], "rating_rate", "rank_in_category", rows_per_task=run.rows_per_task
-    )
+    if ranks is None:
+        rows = dense_rank_within(rows, ["category"], "rating_rate", "rank_in_category", rows_per_task=run.rows_per_task)
+    else:
+        rows = null_safe_join(rows, ranks, ["category", "rating_rate"])
     rows = rows.withColumn("price_change", money.price_change(price, F.col("prev_price")))
     source = run.table("silver", "silver_orders")
     return stamp(rows, "silver_transformed", source, run.name, run.env, run.ts)

@@ -364,6 +364,18 @@ ORACLES["upsert_named_table"] = MERGED
 ORACLES["pipeline_two_runs"] = f"""SELECT o_orderkey AS order_id, lower(trim(o_orderpriority)) AS category,
   o_totalprice AS price, o_orderdate AS order_date, CAST(year(o_orderdate) AS INTEGER) AS order_year,
   CAST(month(o_orderdate) AS INTEGER) AS order_month FROM ({MERGED}) WHERE o_totalprice > 0"""
+_DELTA = f"""WITH rows AS (
+  SELECT o_orderkey AS order_id, o_custkey AS product_id, lower(trim(o_orderpriority)) AS category, o_totalprice AS price,
+    o_orderdate AS order_date, (o_orderkey % 9) / 2 AS rating
+  FROM ({MERGED}) WHERE o_totalprice > 0 AND NOT (o_orderdate > TIMESTAMP '1998-12-31' AND o_orderkey % 11 = 0)
+)"""
+ORACLES["layers_delta_run"] = f"""{_DELTA} SELECT order_id, product_id, category, price, order_date,
+  dense_rank() OVER (PARTITION BY category ORDER BY rating DESC) AS rank_in_category,
+  round(price - coalesce(lag(price) OVER (PARTITION BY product_id ORDER BY order_date, order_id), price), 2) AS price_change
+FROM rows"""
+ORACLES["layers_delta_marts"] = f"""{_DELTA} SELECT category, CAST(year(order_date) AS INTEGER) AS order_year,
+  CAST(month(order_date) AS INTEGER) AS order_month, {_total("price")} AS total_revenue, {_mean("price")} AS avg_price,
+  count(*) AS total_orders, count(DISTINCT product_id) AS unique_products FROM rows GROUP BY ALL"""
 ORACLES["optimised_table"] = "SELECT * FROM orders"
 ORACLES["zorder_spans"] = "SELECT unnest(['name', 'o_orderdate']) AS column, true AS skips_half"
 ORACLES["stream_late_files"] = "SELECT *, (SELECT max(o_orderdate) FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderdate > TIMESTAMP '1998-12-31') AS mark FROM orders"

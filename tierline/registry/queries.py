@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tierline.functions import dates, keys, labels, money, records, text
 from tierline.operators import audit, clean, incremental, joins, layout, quality, upsert, windows
-from tierline.plans import bronze, gold, layers, silver
+from tierline.plans import bronze, delta, gold, layers, silver
 from tierline.registry import inputs
 from tierline.registry.inputs import RUN, load
 from tierline.session import scratch_path, stage
@@ -589,6 +589,35 @@ def pipeline_two_runs(spark, sf):
     return _business(silver_orders).select("order_id", "category", "price", "order_date", "order_year", "order_month")
 
 
+def _rated(orders: DataFrame) -> DataFrame:
+    """Raw orders of several ratings; in a later delivery some have a price that is not valid."""
+    rated = inputs.whole_orders(orders).withColumn("rating_rate", (F.col("order_id") % 9) / 2)
+    late = F.col("order_date") > F.lit(inputs.SPLIT_DATE).cast("timestamp_ntz")
+    return rated.withColumn("price", F.when(late & (F.col("order_id") % 11 == 0), -1.0).otherwise(F.col("price")))
+
+
+def _two_deliveries(spark, sf) -> str:
+    root = scratch_path(spark, "delta")
+    fresh = incremental.rows_after(inputs.later_orders(spark, sf), "o_orderdate", "1998-12-31 00:00:00")
+    for rows in (inputs.base_orders(spark, sf), fresh):
+        delta.follow_orders(spark, root, _rated(rows), RUN)
+    return root
+
+
+@query
+def layers_delta_run(spark, sf):
+    """Transformed orders after a second delivery that replaces, adds and takes away some."""
+    rows = _business(delta.orders(spark, _two_deliveries(spark, sf)))
+    return rows.select("order_id", "product_id", "category", "price", "order_date", "rank_in_category", "price_change")
+
+
+@query
+def layers_delta_marts(spark, sf):
+    """Sales by category after that delivery, of which only touched groups were computed anew."""
+    rows = _business(delta.mart(spark, _two_deliveries(spark, sf), "agg_sales_by_category"))
+    return rows.select("category", "order_year", "order_month", "total_revenue", "avg_price", "total_orders", "unique_products")
+
+
 @query
 def optimised_table(spark, sf):
     """A partitioned catalog table z-ordered in place: its rows, and whether its folders are still pruned."""

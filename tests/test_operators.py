@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierline.functions import money
 from tierline.operators import clean, incremental, joins, layout, quality, slices, upsert, windows
 from tierline.session import scratch_path, stage
-from tierline.sources import tables
+from tierline.sources import files, tables
 from tierline.streaming.load import stream_upsert
 
 
@@ -537,3 +537,22 @@ def test_fine_totals_whatever_the_order(spark):
     want = float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
     for parts in (1, 3, 8):
         assert sums(df.repartition(parts))[0] == want
+
+
+def test_malformed_lines_are_set_apart(spark, tmp_path):
+    schema = spark.createDataFrame([], "a long, b double, c string").schema
+    (tmp_path / "json").mkdir()
+    (tmp_path / "json" / "x.json").write_text('{"a": 1, "b": 2.5, "c": "x"}\n{"a": 2}\n{"a": "no"}\n{"a": 3, \n[1\n{"a": 4, "c": null}\n')
+    good, bad = files.split_malformed(spark, str(tmp_path / "json"), schema, "json")
+    assert good.columns == ["a", "b", "c"] and sorted(r.a for r in good.collect()) == [1, 2, 4]
+    assert sorted((r.record, r.reason) for r in bad.collect()) == [
+        ("[1", "not JSON"), ('{"a": "no"}', "a value of the wrong type"), ('{"a": 3, ', "not JSON"),
+    ]
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "x.csv").write_text("1|2.5|x\n2|dear|y\n3|1.0\n4|1|z|more\n5||\n")
+    good, bad = files.split_malformed(spark, str(tmp_path / "csv"), schema, "csv", "|")
+    assert sorted(r.a for r in good.collect()) == [1, 5]
+    assert sorted((r.record, r.reason) for r in bad.collect()) == [
+        ("2|dear|y", "a value of the wrong type"), ("3|1.0", "another number of fields"), ("4|1|z|more", "another number of fields"),
+    ]
+    assert all(r.file.endswith("x.csv") for r in bad.collect())

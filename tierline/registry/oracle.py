@@ -376,6 +376,11 @@ FROM rows"""
 ORACLES["layers_delta_marts"] = f"""{_DELTA} SELECT category, CAST(year(order_date) AS INTEGER) AS order_year,
   CAST(month(order_date) AS INTEGER) AS order_month, {_total("price")} AS total_revenue, {_mean("price")} AS avg_price,
   count(*) AS total_orders, count(DISTINCT product_id) AS unique_products FROM rows GROUP BY ALL"""
+_FAULTS = """SELECT CASE o_orderkey % 7 WHEN 0 THEN '{}' WHEN 1 THEN 'a value of the wrong type' ELSE 'taken' END AS reason,
+  count(*) AS lines FROM orders GROUP BY ALL"""
+ORACLES["json_quarantine"] = _FAULTS.format("not JSON")
+ORACLES["csv_quarantine"] = _FAULTS.format("another number of fields")
+ORACLES["domestic_suppliers"] = "SELECT p_partkey AS product_id, coalesce(p_type IN ('ECONOMY', 'LARGE'), false) AS is_domestic FROM part"
 ORACLES["optimised_table"] = "SELECT * FROM orders"
 ORACLES["zorder_spans"] = "SELECT unnest(['name', 'o_orderdate']) AS column, true AS skips_half"
 ORACLES["stream_late_files"] = "SELECT *, (SELECT max(o_orderdate) FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderdate > TIMESTAMP '1998-12-31') AS mark FROM orders"

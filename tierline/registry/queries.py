@@ -753,6 +753,41 @@ def csv_scan(spark, sf):
     return _business(bronze.products_from_csv(spark, path, RUN, sep=";"))
 
 
+def _reported(good, bad):
+    """How many lines were taken and how many were set apart, by reason."""
+    taken = good.select(F.lit("taken").alias("reason"))
+    return taken.unionByName(bad.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query
+def json_quarantine(spark, sf):
+    """Orders as JSON lines, some cut short and some with a word for a price."""
+    path, orders = scratch_path(spark, "json"), load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    whole = F.to_json(F.struct("o_orderkey", "o_totalprice"))
+    worded = F.to_json(F.struct("o_orderkey", F.lit("dear").alias("o_totalprice")))
+    line = F.when(F.col("o_orderkey") % 7 == 0, F.substring(whole, 1, 9)).when(F.col("o_orderkey") % 7 == 1, worded).otherwise(whole)
+    orders.select(line.alias("value")).write.text(path)
+    return _reported(*files.split_malformed(spark, path, orders.schema, "json"))
+
+
+@query
+def csv_quarantine(spark, sf):
+    """Orders as CSV lines, some with a field too few and some with a word for a price."""
+    path, orders = scratch_path(spark, "csv"), load(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    key = F.col("o_orderkey").cast("string")
+    price = F.when(F.col("o_orderkey") % 7 == 1, "dear").otherwise(F.col("o_totalprice").cast("string"))
+    line = F.when(F.col("o_orderkey") % 7 == 0, key).otherwise(F.concat_ws("|", key, price, "o_orderstatus"))
+    orders.select(line.alias("value")).write.text(path)
+    return _reported(*files.split_malformed(spark, path, orders.schema, "csv", "|"))
+
+
+@query
+def domestic_suppliers(spark, sf):
+    """Products by whether their supplier is of the home country, which some are."""
+    rows = inputs.products(spark, sf).filter("updated_at = '2024-01-15'")
+    return rows.select("product_id", labels.is_domestic(F.upper(F.trim("country"))).alias("is_domestic"))
+
+
 @query
 def catalog_table(spark, sf):
     name = f"tierline_orders_{uuid.uuid4().hex}"

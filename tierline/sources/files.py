@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tierline.functions.records import field
+from tierline.session import stage
+
+_RECORD, _FILE = "__record", "__file"
 
 
 def read_json_records(
@@ -41,6 +44,31 @@ def read_csv(
     return reader.option("header", header).option("mode", mode).csv(path)
 
 
+def split_malformed(
+    spark: SparkSession, path: str, schema: StructType, file_format: str, sep: str = ",", **options
+) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit ``schema``, the others as (record, reason, file)) of JSON lines or CSV.
+
+    The files are parsed once, into a stored copy that both read, and between them they hold every line;
+    count ``reason`` for a report.
+    A missing key of JSON is null and no fault; a CSV line needs as many fields as the schema.
+    """
+    typed = StructType([*schema.fields, StructField(_RECORD, StringType())])
+    reader = spark.read.schema(typed).options(**options).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD)
+    record = F.col(_RECORD)
+    if file_format == "json":
+        rows = reader.json(path)
+        broken = F.try_parse_json(record).isNull()
+        reason = F.when(broken, "not JSON").otherwise("a value of the wrong type")
+    else:
+        rows = reader.option("sep", sep).option("columnPruning", False).csv(path)
+        short = F.size(F.split(record, F.concat(F.lit("\\Q"), F.lit(sep), F.lit("\\E")), -1)) != len(schema.fields)
+        reason = F.when(short, "another number of fields").otherwise("a value of the wrong type")
+    stored = stage(rows.withColumn(_FILE, F.col("_metadata.file_path")), "parsed")
+    bad = stored.filter(record.isNotNull()).select(record.alias("record"), reason.alias("reason"), F.col(_FILE).alias("file"))
+    return stored.filter(record.isNull()).drop(_RECORD, _FILE), bad
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

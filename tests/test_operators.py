@@ -291,6 +291,71 @@ def test_compaction_does_not_shuffle(spark):
     assert spark.read.parquet(big).agg(F.sum("id")).first()[0] == 499500
 
 
+def fragments(spark, path):
+    """A table of two folders, each with one large file and six small ones, one of them with a column more."""
+    spark.range(40000).selectExpr("id", "uuid() AS u", "concat('0', id % 2) AS p").repartition(1).write.partitionBy("p").parquet(path)
+    for i in range(6):
+        few = spark.range(i * 10, i * 10 + 10).selectExpr("-id AS id", "'x' AS u", "concat('0', id % 2) AS p")
+        few = few.withColumn("extra", F.lit(i)) if i == 5 else few
+        few.repartition(1).write.mode("append").partitionBy("p").parquet(path)
+
+
+def files_of(spark, path):
+    """Files by folder."""
+    found = {}
+    for folder, _, names in os.walk(path.removeprefix("file:")):
+        for name in names:
+            if name.endswith(".parquet"):
+                found.setdefault(os.path.relpath(folder, path.removeprefix("file:")), set()).add(name)
+    return found
+
+
+def test_small_files_are_packed_and_large_ones_stay(spark):
+    path = scratch_path(spark, "fragments")
+    fragments(spark, path)
+    before, sizes = files_of(spark, path), {}
+    for folder, names in before.items():
+        for name in names:
+            sizes[name] = os.path.getsize(os.path.join(path.removeprefix("file:"), folder, name))
+    read = spark.read.option("mergeSchema", True).parquet
+    whole = rows(read(path).select("id", "u", "p", "extra"))
+    large = {folder: max(names, key=sizes.get) for folder, names in before.items()}
+    assert layout.compact_small(spark, path, 100_000) == 12
+    after = files_of(spark, path)
+    assert set(after) == set(before) == {"p=00", "p=01"}
+    assert all(len(after[folder]) == 2 and large[folder] in after[folder] for folder in after)
+    assert rows(read(path).select("id", "u", "p", "extra")) == whole
+    assert layout.compact_small(spark, path, 100_000) == 0 and files_of(spark, path) == after
+
+
+def test_packing_that_died_is_completed_or_dropped(spark, monkeypatch):
+    path = scratch_path(spark, "fragments")
+    fragments(spark, path)
+    read = spark.read.option("mergeSchema", True).parquet
+    whole, before = rows(read(path)), files_of(spark, path)
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:  # before the plan stands: nothing has changed
+        patch.setattr(layout.session, "rename", die)
+        with pytest.raises(RuntimeError):
+            layout.compact_small(spark, path, 100_000)
+    assert rows(read(path)) == whole
+    with monkeypatch.context() as patch:  # while files change places
+        patch.setattr(layout.session, "move_files", die)
+        with pytest.raises(RuntimeError):
+            layout.compact_small(spark, path, 100_000)
+    assert layout.compact_small(spark, path, 100_000) == 0
+    assert rows(read(path)) == whole and sum(map(len, files_of(spark, path).values())) == 4 < sum(map(len, before.values()))
+
+
+def test_packing_of_an_empty_folder(spark):
+    path = scratch_path(spark, "none")
+    spark.range(0).write.parquet(path)
+    assert layout.compact_small(spark, path) == 0 and spark.read.parquet(path).count() == 0
+
+
 def test_partition_filter_prunes(spark):
     path = scratch_path(spark, "pruned")
     layout.write_partitioned(spark.range(10).withColumn("p", F.col("id") % 2), path, ["p"])
@@ -414,6 +479,31 @@ def test_zorder_tells_prefixed_strings_apart(spark):
     assert rows(spark.read.parquet(target)) == rows(df)
 
 
+def test_text_bounds_follow_the_rows(spark):
+    df = spark.range(1000).selectExpr("CASE WHEN id < 500 THEN 'hot' WHEN id < 990 THEN format_string('k%04d', id) END AS s")
+    bounds = layout._text_bounds(df, "s", 10)
+    values = sorted(row.s for row in df.collect() if row.s is not None)
+    ends = {values[-(-len(values) * i // 10) - 1] for i in range(1, 10)}
+    assert bounds == sorted(ends) and bounds[0] == "hot"
+    assert layout._text_bounds(df.filter("s IS NULL"), "s", 10) == []
+
+
+def test_one_odd_key_leaves_string_order_intact(spark):
+    source, target = scratch_path(spark, "odd"), scratch_path(spark, "zo")
+    one = "format_string('%s#%09d', if(id % 2 = 0, 'Customer', 'Supplier'), pmod(hash(id), 1000))"
+    df = spark.range(8000).selectExpr(f"if(id = 0, 'X1', {one}) AS s", "if(id = 0, 'Y1', format_string('Part#%09d', pmod(hash(id, 1), 1000))) AS t")
+    df.repartition(4).write.parquet(source)
+    size = quality.table_stats(spark, source).first()["bytes"]
+    layout.zorder(spark, source, target, ["s", "t"], file_bytes=size // 16)
+    written = spark.read.parquet(target)
+    for column in ("s", "t"):
+        ranges = written.groupBy("_metadata.file_path").agg(F.min(column), F.max(column)).collect()
+        values = [row[0] for row in df.select(column).collect()]
+        opened = sum(low <= value <= high for value in values for _, low, high in ranges)
+        assert len(ranges) >= 12 and opened / len(values) / len(ranges) < 0.45
+    assert rows(written) == rows(df)
+
+
 def test_zorder_of_too_many_columns_says_so(spark):
     many = spark.range(3).select(*[F.col("id").alias(f"c{i}") for i in range(20)])
     assert layout.with_z_value(many, many.columns, "z", 3).select("z").distinct().count() > 1

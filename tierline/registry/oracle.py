@@ -383,6 +383,7 @@ ORACLES["csv_quarantine"] = _FAULTS.format("another number of fields")
 ORACLES["domestic_suppliers"] = "SELECT p_partkey AS product_id, coalesce(p_type IN ('ECONOMY', 'LARGE'), false) AS is_domestic FROM part"
 ORACLES["optimised_table"] = "SELECT * FROM orders"
 ORACLES["zorder_spans"] = "SELECT unnest(['name', 'o_orderdate']) AS column, true AS skips_half"
+ORACLES["zorder_spans_prefixes"] = "SELECT unnest(['buyer', 'code']) AS column, true AS skips_most"
 ORACLES["stream_late_files"] = "SELECT *, (SELECT max(o_orderdate) FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderdate > TIMESTAMP '1998-12-31') AS mark FROM orders"
 ORACLES["catalog_table"] = "SELECT * FROM orders"
 ORACLES["partitioned_read"] = """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year,
@@ -394,6 +395,7 @@ ORACLES["evolved_read"] = """SELECT * REPLACE (CASE WHEN o_orderdate > TIMESTAMP
   AS o_orderpriority) FROM orders"""
 ORACLES["zorder_rows"] = "SELECT * FROM lineitem"
 ORACLES["compact_rows"] = "SELECT * FROM orders"
+ORACLES["compact_small_files"] = "SELECT * FROM orders"
 ORACLES["table_stats"] = """SELECT count(*) AS rows, CAST(11 AS BIGINT) AS columns, CAST(1 AS BIGINT) AS files,
   true AS has_bytes FROM lineitem"""
 

@@ -631,21 +631,39 @@ def optimised_table(spark, sf):
 def zorder_spans(spark, sf):
     """How well a lookup by each column skips files, here by names that share a prefix and by dates: the
     share of files whose range holds a value is at most a half on average."""
+    orders = load(spark, sf, "orders").withColumn("name", F.format_string("Customer#%012d", "o_custkey"))
+    opened = _opened_shares(spark, orders, ["name", "o_orderdate"])
+    return opened.select("column", (F.col("share") <= 0.5).alias("skips_half"))
+
+
+def _opened_shares(spark, rows, columns):
+    """The share of files whose range holds a value, on average over all rows, for each z-order column."""
     path, source = scratch_path(spark, "zorder"), scratch_path(spark, "named")
-    orders = load(spark, sf, "orders")
-    orders.withColumn("name", F.format_string("Customer#%012d", "o_custkey")).write.parquet(source)
+    rows.write.parquet(source)
     sixteenth = quality.table_stats(spark, source).first()["bytes"] // 16
-    layout.zorder(spark, source, path, ["name", "o_orderdate"], file_bytes=sixteenth)
-    rows = spark.read.parquet(path)
-    spans = []
-    for column in ("name", "o_orderdate"):
-        ranges = rows.groupBy("_metadata.file_path").agg(F.min(column).alias("least"), F.max(column).alias("most"))
-        values = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    layout.zorder(spark, source, path, columns, file_bytes=sixteenth)
+    ordered = spark.read.parquet(path)
+    shares = []
+    for column in columns:
+        ranges = ordered.groupBy("_metadata.file_path").agg(F.min(column).alias("least"), F.max(column).alias("most"))
+        values = ordered.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
         met = values.join(F.broadcast(ranges), F.col("value").between(F.col("least"), F.col("most")), "left")
-        opened = met.agg(F.sum("n").alias("opened"))
-        share = F.col("opened") / (F.lit(rows.count()) * F.lit(ranges.count()))
-        spans.append(opened.select(F.lit(column).alias("column"), (share <= 0.5).alias("skips_half")))
-    return spans[0].unionByName(spans[1])
+        share = F.sum("n") / (F.lit(ordered.count()) * F.lit(ranges.count()))
+        shares.append(met.agg(share.alias("share")).select(F.lit(column).alias("column"), "share"))
+    return shares[0].unionByName(shares[1])
+
+
+@query
+def zorder_spans_prefixes(spark, sf):
+    """The same for two string columns: keys of two prefixes, and one odd key besides."""
+    odd = F.col("o_orderkey") == F.lit(load(spark, sf, "orders").agg(F.min("o_orderkey")).first()[0])
+    rows = load(spark, sf, "orders").select(
+        "*",
+        F.when(odd, "X1").when(F.col("o_orderkey") % 2 == 0, F.format_string("Customer#%012d", "o_custkey"))
+        .otherwise(F.format_string("Supplier#%012d", "o_custkey")).alias("buyer"),
+        F.when(odd, "Y1").otherwise(F.format_string("Order#%012d", F.pmod(F.xxhash64("o_orderkey"), F.lit(100000)))).alias("code"),
+    )
+    return _opened_shares(spark, rows, ["buyer", "code"]).select("column", (F.col("share") <= 0.4).alias("skips_most"))
 
 
 @query
@@ -858,6 +876,18 @@ def compact_rows(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def compact_small_files(spark, sf):
+    """Orders in folders that each hold a large file and many small ones, after packing the small ones."""
+    path, orders = scratch_path(spark, "fragments"), load(spark, sf, "orders")
+    recent = F.col("o_orderkey") % 5 == 0
+    orders.filter(~recent).repartition(1).write.partitionBy("o_orderpriority").parquet(path)
+    orders.filter(recent).repartition(20).write.mode("append").partitionBy("o_orderpriority").parquet(path)
+    largest = quality.table_stats(spark, orders).first()["bytes"] // 8
+    layout.compact_small(spark, path, largest)
+    return spark.read.parquet(path)
+
+
 @query
 def table_stats(spark, sf):
     return quality.table_stats(spark, f"{sf}/lineitem.parquet").selectExpr("rows", "columns", "files", "bytes > 0 AS has_bytes")

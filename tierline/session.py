@@ -46,14 +46,39 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tierline/{application}/{label}-{uuid.uuid4().hex}"
 
 
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _files(spark, path)
+    return files.exists(target)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a file or folder."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, target = _files(spark, path)
     if files.exists(target) and not files.delete(target, True):
         raise OSError(f"could not delete {path}")
 
 
+def rename(spark: SparkSession, path: str, name: str) -> None:
+    """Give a file or folder another name in the same file system."""
+    files, source = _files(spark, path)
+    if not files.rename(source, _files(spark, name)[1]):
+        raise OSError(f"could not rename {path}")
+
+
+def move_files(spark: SparkSession, path: str, folder: str) -> None:
+    """Move the data files of one folder, where it is still there, into another."""
+    files, source = _files(spark, path)
+    for status in files.listStatus(source) if files.exists(source) else []:
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")):
+            rename(spark, f"{path}/{name}", f"{folder}/{name}")
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierline.functions import money
-from tierline.operators import clean, incremental, joins, layout, quality, slices, upsert, windows
+from tierline.operators import clean, incremental, joins, layout, numbering, quality, slices, upsert, windows
 from tierline.session import scratch_path, stage
 from tierline.sources import files, tables
 from tierline.streaming.load import stream_upsert
@@ -267,6 +267,62 @@ def test_profile_counts(spark):
     assert empty[("rows", "*")] == 0 and empty[("columns", "*")] == 2
 
 
+def test_value_profile_counts_every_kind(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0, [1], b"x", None), ("a", -0.5, [1, 2], b"x", None), (None, 1.0, None, None, None), ("b", None, [1], b"y", None)],
+        "s string, d double, l array<int>, b binary, n int",
+    )
+    found = quality.value_profile(df, df.columns, top=1)
+    got = {r[0]: tuple(r[1:]) for r in found.collect()}
+    assert got == {
+        "s": (4, 1, 2, 1, "a", 2), "d": (4, 1, 2, 1, "1.0", 2), "l": (4, 1, 2, 1, '{"l":[1]}', 2),
+        "b": (4, 1, 2, 1, "78", 2), "n": (4, 4, 0, None, None, None),
+    }
+    assert quality.value_profile(df.limit(0), df.columns).count() == 0
+    assert "WindowGroupLimit" in plan(found)
+    same = quality.value_profile(df.repartition(3), ["d", "s"], top=5).filter("column = 's'").orderBy("place")
+    assert [(r.value, r.value_rows) for r in same.collect()] == [("a", 2), ("b", 1)]
+
+
+def test_quantiles_of_values_and_of_none(spark):
+    df = spark.range(101).selectExpr("id", "IF(id < 0, id, NULL) AS none")
+    got = {(r[0], r[1]): r[2] for r in quality.quantile_profile(df, ["id", "none"], [0.0, 0.5, 1.0]).collect()}
+    assert got == {("id", 0.0): 0.0, ("id", 0.5): 50.0, ("id", 1.0): 100.0} | {("none", s): None for s in (0.0, 0.5, 1.0)}
+
+
+# --- numbering ---
+
+
+def test_numbers_are_dense_and_stay(spark):
+    path = scratch_path(spark, "numbers")
+    first = spark.createDataFrame([("b", 2), ("a", 1), (None, 1), ("b", 2), ("a", None)], "k string, j int")
+    one = {(r.k, r.j): r.sk for r in numbering.number_keys(first, path, ["k", "j"]).collect()}
+    assert one == {(None, 1): 1, ("a", None): 2, ("a", 1): 3, ("b", 2): 4}
+    second = spark.createDataFrame([("aa", 0), ("a", 1), ("A", 9), ("b", 2), ("aa", 0)], "k string, j int")
+    two = numbering.number_keys(second.repartition(3), path, ["k", "j"])
+    assert rows(two) == rows(spark.createDataFrame([("aa", 0, 6), ("a", 1, 3), ("A", 9, 5), ("b", 2, 4), ("aa", 0, 6)]))
+    again = numbering.number_keys(first, path, ["k", "j"])
+    assert {(r.k, r.j): r.sk for r in again.collect()} == one
+    assert numbering.key_map(spark, path, ["k", "j"], "sk").count() == 6
+
+
+def test_numbers_of_many_partitions_have_no_gap(spark):
+    path = scratch_path(spark, "numbers")
+    for low, high in ((0, 5000), (3000, 9000)):
+        got = numbering.number_keys(spark.range(low, high, numPartitions=7), path, ["id"])
+    assert rows(numbering.key_map(spark, path, ["id"], "sk")) == sorted(((i, i + 1) for i in range(9000)), key=repr)
+    assert got.count() == 6000
+
+
+def test_numbers_of_no_rows_and_of_a_taken_name(spark):
+    path = scratch_path(spark, "numbers")
+    none = numbering.number_keys(spark.range(0), path, ["id"])
+    assert none.count() == 0 and none.columns == ["id", "sk"]
+    assert numbering.number_keys(spark.range(2), path, ["id"]).agg(F.max("sk")).first()[0] == 2
+    with pytest.raises(ValueError, match="column of the rows"):
+        numbering.number_keys(spark.range(2).withColumn("sk", F.lit(1)), path, ["id"])
+
+
 def test_orphans_count_rows_and_null_keys(spark):
     fact = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
     dim = spark.createDataFrame([(1,)], "k int")

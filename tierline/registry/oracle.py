@@ -185,6 +185,9 @@ ORACLES["sales_by_date"] = f"""WITH {SALE_LINES}
 SELECT order_year, order_month, order_day, is_weekend, {_total("revenue")} AS daily_revenue,
   count(order_id) AS daily_orders, {_mean("unit_price")} AS avg_order_value,
   count(DISTINCT product_id) AS unique_products_sold FROM sale_lines GROUP BY ALL"""
+ORACLES["sales_by_year_rollup"] = f"""WITH {SALE_LINES}
+SELECT category, order_year, {_total("revenue")} AS total_revenue, count(order_id) AS total_orders,
+  true AS estimate_is_near FROM sale_lines GROUP BY ALL"""
 ORACLES["top_products"] = _TOP
 ORACLES["top_ten_products"] = f"{_TOP} ORDER BY total_revenue DESC, product_id LIMIT 10"
 ORACLES["top_k_per_category"] = f"""WITH {SALE_LINES}
@@ -275,6 +278,10 @@ ORACLES["surrogate_keys"] = """SELECT l_orderkey, l_partkey,
     || length(l_returnflag) || ':' || l_returnflag) AS line_sk FROM lineitem"""
 ORACLES["surrogate_unique"] = """SELECT count(o_orderkey) AS rows, count(DISTINCT o_orderkey) AS keys FROM orders"""
 ORACLES["surrogate_monotonic_unique"] = "SELECT count(*) AS rows, count(*) AS keys FROM lineitem"
+ORACLES["surrogate_dense_two_runs"] = """WITH buyers AS (
+  SELECT o_custkey, bool_or(o_orderdate <= TIMESTAMP '1998-12-31') AS early FROM orders GROUP BY o_custkey)
+SELECT o_orderkey, o_custkey, customer_sk FROM orders JOIN (
+  SELECT o_custkey, row_number() OVER (ORDER BY early DESC, o_custkey) AS customer_sk FROM buyers) USING (o_custkey)"""
 ORACLES["audit_columns"] = """SELECT *, TIMESTAMP '2024-01-01' AS _gold_ingest_ts, 'gold' AS _layer,
   'orders' AS _source_table, 'tierline' AS _pipeline, 'dev' AS _env, TIMESTAMP '2024-01-01' AS _ingest_ts,
   'api' AS _source FROM orders"""
@@ -418,3 +425,11 @@ UNION ALL SELECT 'violations', 'valid_email', count(*) FILTER (NOT regexp_matche
   '{settings.EMAIL_PATTERN}')) FROM raw_customers
 UNION ALL SELECT 'violations', 'recent_signup',
   count(*) FILTER (NOT coalesce(signup_date >= TIMESTAMP '2001-01-01', false)) FROM raw_customers"""
+
+_PROFILED = ["o_orderpriority", "o_custkey", "o_orderkey"]
+ORACLES["profile_values"] = " UNION ALL ".join(f"""(SELECT '{c}' AS "column", (SELECT count(*) FROM orders) AS rows,
+  (SELECT count(*) FILTER ({c} IS NULL) FROM orders) AS nulls, (SELECT count(DISTINCT {c}) FROM orders) AS "distinct",
+  row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS place, CAST({c} AS VARCHAR) AS value,
+  count(*) AS value_rows FROM orders WHERE {c} IS NOT NULL GROUP BY {c} QUALIFY place <= 3)""" for c in _PROFILED)
+ORACLES["profile_quantiles"] = """SELECT "column", CAST(share AS DOUBLE) AS share, true AS is_near
+FROM unnest(['o_totalprice', 'o_custkey']) AS a("column"), unnest([0.1, 0.5, 0.9]) AS b(share)"""

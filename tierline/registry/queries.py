@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions import dates, keys, labels, money, records, text
-from tierline.operators import audit, clean, incremental, joins, layout, quality, upsert, windows
+from tierline.operators import audit, clean, incremental, joins, layout, numbering, quality, upsert, windows
 from tierline.plans import bronze, delta, gold, layers, silver
 from tierline.registry import inputs
 from tierline.registry.inputs import RUN, load
@@ -53,6 +53,21 @@ def sales_by_category_estimate(spark, sf):
     return joins.null_safe_join(mart, exact, named).withColumn("estimate_close", close).drop("unique_products", "exact")
 
 
+@query
+def sales_by_year_rollup(spark, sf):
+    """Years united from a stored monthly mart, and whether the estimate of products is near the exact count."""
+    lines = inputs.sale_lines(spark, sf)
+    years = gold.sales_by_year(stage(_sketched_months(lines), "months"), RUN)
+    exact = lines.groupBy("category", "order_year").agg(F.countDistinct("product_id").alias("exact"))
+    near = F.abs(F.col("unique_products") - F.col("exact")) <= 0.05 * F.col("exact")
+    joined = joins.null_safe_join(_business(years), exact, ["category", "order_year"])
+    return joined.withColumn("estimate_is_near", near).drop("unique_products", "exact")
+
+
+def _sketched_months(lines):
+    return _business(gold.sales_by_month_sketched(lines, RUN))
+
+
 @query
 def sales_by_date(spark, sf):
     return _business(gold.sales_by_date(inputs.sale_lines(spark, sf), RUN))
@@ -380,6 +395,15 @@ def surrogate_monotonic_unique(spark, sf):
     return numbered.agg(F.count("line_sk").alias("rows"), F.countDistinct("line_sk").alias("keys"))
 
 
+@query
+def surrogate_dense_two_runs(spark, sf):
+    """Numbers of customers with an order: those of a first run keep theirs, a second run's follow without gaps."""
+    path = scratch_path(spark, "numbers")
+    for orders in (inputs.base_orders(spark, sf), load(spark, sf, "orders")):
+        numbered = numbering.number_keys(orders.select("o_orderkey", "o_custkey"), path, ["o_custkey"], "customer_sk")
+    return numbered
+
+
 @query
 def audit_columns(spark, sf):
     stamped = audit.stamp(load(spark, sf, "orders"), "gold", "orders", RUN.name, RUN.env, RUN.ts)
@@ -900,3 +924,23 @@ def profile(spark, sf):
         "recent_signup": F.col("signup_date") >= F.lit("2001-01-01").cast("timestamp_ntz"),
     }
     return quality.profile(inputs.customers(spark, sf), rules, exact_distinct="country")
+
+
+@query
+def profile_values(spark, sf):
+    """Exact distinct counts and the most frequent values of several columns, one of them a key."""
+    return quality.value_profile(load(spark, sf, "orders"), ["o_orderpriority", "o_custkey", "o_orderkey"])
+
+
+@query
+def profile_quantiles(spark, sf):
+    """Whether sketched quantiles of prices and keys are within a hundredth of their rank."""
+    orders = load(spark, sf, "orders").select("o_totalprice", "o_custkey")
+    found = quality.quantile_profile(orders, list(orders.columns), [0.1, 0.5, 0.9])
+    long = orders.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("number")) for c in orders.columns]))
+    )
+    below, upto = F.avg((F.col("number") < F.col("value")).cast("int")), F.avg((F.col("number") <= F.col("value")).cast("int"))
+    met = long.join(F.broadcast(found), "column").groupBy("column", "share").agg(below.alias("below"), upto.alias("upto"))
+    near = (F.col("below") <= F.col("share") + 0.01) & (F.col("upto") >= F.col("share") - 0.01)
+    return met.select("column", "share", near.alias("is_near"))

@@ -412,6 +412,29 @@ def test_packing_of_an_empty_folder(spark):
     assert layout.compact_small(spark, path) == 0 and spark.read.parquet(path).count() == 0
 
 
+def test_types_widen_and_columns_come(spark):
+    path = scratch_path(spark, "evolving")
+    one = spark.sql("SELECT 1 AS a, CAST(1.5 AS FLOAT) AS f, CAST(1.25 AS DECIMAL(5,2)) AS d, named_struct('x', 1) AS s, array(2) AS l, 7 AS i")
+    two = spark.sql("SELECT 1L << 40 AS a, 2.5D AS f, CAST(1.125 AS DECIMAL(9,3)) AS d, named_struct('x', 2L, 'y', 'n') AS s, array(3L) AS l, 0.5D AS i, 'new' AS t")
+    for rows_ in (one, two, one):
+        layout.append_evolving(rows_, path)
+    found = layout.read_evolving(spark, path)
+    assert found.schema.simpleString() == "struct<a:bigint,f:double,d:decimal(9,3),s:struct<x:bigint,y:string>,l:array<bigint>,i:double,t:string>"
+    old = (1, 1.5, Decimal("1.250"), (1, None), [2], 7.0, None)
+    assert rows(found) == sorted([old, old, (1 << 40, 2.5, Decimal("1.125"), (2, "n"), [3], 0.5, "new")], key=repr)
+    with pytest.raises(ValueError, match="a: files of bigint and string"):
+        layout.append_evolving(spark.sql("SELECT 'x' AS a"), path)
+    assert found.count() == 3
+
+
+def test_evolving_read_opens_no_footer(spark):
+    path = scratch_path(spark, "evolving")
+    layout.append_evolving(spark.range(3), path)
+    with open(f"{path.removeprefix('file:')}/torn.parquet", "w") as torn:
+        torn.write("no footer")
+    assert layout.read_evolving(spark, path).columns == ["id"]
+
+
 def test_partition_filter_prunes(spark):
     path = scratch_path(spark, "pruned")
     layout.write_partitioned(spark.range(10).withColumn("p", F.col("id") % 2), path, ["p"])
@@ -493,7 +516,7 @@ def test_partition_merge_lists_touched_folders_only(spark):
     path = scratch_path(spark, "pruned")
     layout.write_partitioned(spark.range(1000).selectExpr("id AS k", "id % 10 AS p", "0 AS v"), path, ["p"])
     touched = spark.createDataFrame([(3,), (None,)], "p bigint")
-    old = upsert._folders(spark.read.parquet(path), touched, ["p"])
+    old = upsert.folders_in(spark.read.parquet(path), touched, ["p"])
     assert old.count() == 100 and len(old.select("_metadata.file_path").distinct().collect()) == 1
     plan = old._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan

@@ -1,14 +1,34 @@
-"""File layout: partitioned writes, compaction, z-ordering."""
+"""File layout: partitioned writes, growing schemas, compaction, z-ordering."""
 
 from __future__ import annotations
 
+import functools
 import itertools
+import json
 import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DataType, DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    ByteType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from tierline import session, settings
 from tierline.operators.joins import broadcast_if, null_safe_join, row_bytes
@@ -21,6 +41,8 @@ _CELL = "__cell"
 _BIN = "__bin"
 _FILE = "__file"
 _PACKING = "_packing"  # readers skip names with an underscore
+_SCHEMAS = "_schemas"
+_INTEGERS = [ByteType, ShortType, IntegerType, LongType]
 Z_BITS = 62  # of a z-value, a bigint
 MOST_BITS = 9  # for each column, unless asked for
 
@@ -45,6 +67,71 @@ def read_evolved(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
+def _wider(one: DataType, other: DataType, where: str) -> DataType:
+    """The type that Parquet files of either type can be read as."""
+    if one == other:
+        return one
+    if isinstance(one, StructType) and isinstance(other, StructType):
+        return widened(one, other, f"{where}.")
+    if isinstance(one, ArrayType) and isinstance(other, ArrayType):
+        return ArrayType(_wider(one.elementType, other.elementType, f"{where}[]"))
+    if isinstance(one, MapType) and isinstance(other, MapType):
+        return MapType(_wider(one.keyType, other.keyType, where), _wider(one.valueType, other.valueType, f"{where}[]"))
+    kinds = {type(one), type(other)}
+    if kinds <= set(_INTEGERS):
+        return max(one, other, key=lambda kind: _INTEGERS.index(type(kind)))
+    if kinds <= {*_INTEGERS[:-1], FloatType, DoubleType}:
+        return DoubleType()
+    if kinds == {DateType, TimestampNTZType}:
+        return TimestampNTZType()
+    if kinds == {DecimalType}:
+        scale = max(one.scale, other.scale)
+        digits = max(one.precision - one.scale, other.precision - other.scale)
+        if digits + scale <= 38:
+            return DecimalType(digits + scale, scale)
+    raise ValueError(f"{where}: files of {one.simpleString()} and {other.simpleString()} cannot be read as one column")
+
+
+def widened(one: StructType, other: StructType, where: str = "") -> StructType:
+    """The columns of both schemas, each of a type that holds what either has: integers and decimals widen,
+    float and short integers become double, dates become timestamps. Raises where no such type is."""
+    theirs = {field.name: field for field in other}
+    both = [
+        StructField(field.name, _wider(field.dataType, theirs[field.name].dataType, where + field.name) if field.name in theirs else field.dataType)
+        for field in one
+    ]
+    return StructType(both + [StructField(field.name, field.dataType) for field in other if field.name not in one.names])
+
+
+def evolving_schema(spark: SparkSession, path: str) -> StructType:
+    """All columns ever appended to the table at ``path``, from the schemas stored beside its files."""
+    if not session.exists(spark, f"{path}/{_SCHEMAS}"):
+        return StructType()
+    stored = sorted(row.value for row in spark.read.text(f"{path}/{_SCHEMAS}").distinct().collect())
+    versions = sorted((json.loads(line) for line in stored), key=lambda version: version["version"])
+    return functools.reduce(widened, [StructType.fromJson(version["schema"]) for version in versions], StructType())
+
+
+def append_evolving(df: DataFrame, path: str) -> None:
+    """Append ``df`` to the table at ``path``, which may lack columns of it or have narrower ones.
+
+    The schema is stored with the table when it grows, before the rows are: a run that dies between leaves
+    columns without rows. Raises, and writes nothing, where a column's types do not fit together.
+    """
+    spark, known = df.sparkSession, evolving_schema(df.sparkSession, path)
+    schema = widened(known, df.schema)
+    if schema != known:
+        line = json.dumps({"version": len(schema.names), "schema": schema.jsonValue()})
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{path}/{_SCHEMAS}")
+    df.write.mode("append").parquet(path)
+
+
+def read_evolving(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path`` under all its columns, older rows with nulls or widened values. Planning opens no
+    file of rows, however many there are."""
+    return spark.read.schema(evolving_schema(spark, path)).parquet(path)
+
+
 def _read(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     return spark.read.parquet(source) if isinstance(source, str) else source
 

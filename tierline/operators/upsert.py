@@ -10,6 +10,8 @@ from tierline.operators.joins import null_safe_join
 from tierline.operators.layout import write_partitioned
 from tierline.session import discard, scratch_path
 
+MOST_FOLDERS = 10_000  # values of a folder column named in a filter
+
 
 def one_per_key(new: DataFrame, pk: str, latest: list[str] | None = None) -> DataFrame:
     """``new`` with one row per key, the last by ``latest``; rows without a key all stay."""
@@ -100,9 +102,12 @@ def merged_view(spark: SparkSession, path: str, prepared: str) -> DataFrame:
 
 def folders_in(table: DataFrame, touched: DataFrame, partition_by: list[str]) -> DataFrame:
     """``table`` filtered to values that ``touched`` has, column by column, so that the scan lists only
-    folders that may be touched. The values are some of the table's folder names."""
+    folders that may be touched. A column with more than ``MOST_FOLDERS`` values stays unfiltered; the
+    caller's join decides either way."""
     for column in partition_by:
-        values = [row[0] for row in touched.select(column).distinct().collect()]
+        values = [row[0] for row in touched.select(column).distinct().limit(MOST_FOLDERS + 1).collect()]
+        if len(values) > MOST_FOLDERS:
+            continue
         named = [value for value in values if value is not None]
         condition = F.col(column).isin(named) if named else F.lit(False)
         table = table.filter(condition | F.col(column).isNull() if None in values else condition)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tierline.functions.dates import parse_timestamp
 from tierline.operators.audit import stamp_raw
 from tierline.settings import Run
-from tierline.sources.files import read_csv, read_json_records
+from tierline.sources.files import flattened, read_csv, read_json_records, split_malformed
 from tierline.sources.jdbc import read_jdbc_partitioned
 
 # Input schemas and the defaults of absent fields.
@@ -32,8 +33,19 @@ PRODUCT_SCHEMA = (
 
 def orders_from_json(spark: SparkSession, path: str, run: Run = Run(), source: str = "rest_api") -> DataFrame:
     """Order records; the order date is the time of the run, as the records carry none."""
+    return _orders(read_json_records(spark, path, ORDER_RECORD, ORDER_FIELDS), run, source)
+
+
+def orders_and_rejects(
+    spark: SparkSession, path: str, run: Run = Run(), source: str = "rest_api"
+) -> tuple[DataFrame, DataFrame]:
+    """The orders of ``orders_from_json`` from lines that fit, and (record, reason, file) of the others."""
+    good, bad = split_malformed(spark, path, StructType.fromDDL(ORDER_RECORD), "json")
+    return _orders(good.select(*flattened(ORDER_FIELDS)), run, source), bad
+
+
+def _orders(records: DataFrame, run: Run, source: str) -> DataFrame:
     now = F.current_timestamp() if run.ts is None else F.lit(run.ts)
-    records = read_json_records(spark, path, ORDER_RECORD, ORDER_FIELDS)
     dated = records.withColumns({"order_date": F.date_trunc("second", now), "source": F.lit(source)})
     return stamp_raw(dated, "api", run.ts)
 
@@ -44,6 +56,14 @@ def products_from_csv(
     return stamp_raw(read_csv(spark, path, PRODUCT_SCHEMA, **options), source, run.ts)
 
 
+def products_and_rejects(
+    spark: SparkSession, path: str, run: Run = Run(), source: str = "csv", sep: str = ",", header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The products of lines that fit the schema, and (record, reason, file) of the others."""
+    good, bad = split_malformed(spark, path, StructType.fromDDL(PRODUCT_SCHEMA), "csv", sep, header=header)
+    return stamp_raw(good, source, run.ts), bad
+
+
 def customers_from_table(table: DataFrame, run: Run = Run(), source: str = "database") -> DataFrame:
     """``table`` as read from the database, with its date texts parsed."""
     parsed = {name: parse_timestamp(F.col(name)) for name in ("signup_date", "updated_at")}

@@ -400,6 +400,11 @@ ORACLES["partition_overwrite"] = """SELECT o_orderkey, o_custkey, o_orderstatus,
 FROM orders"""
 ORACLES["evolved_read"] = """SELECT * REPLACE (CASE WHEN o_orderdate > TIMESTAMP '1998-12-31' THEN o_orderpriority END
   AS o_orderpriority) FROM orders"""
+ORACLES["evolved_types"] = """SELECT * REPLACE (CASE WHEN o_orderdate > TIMESTAMP '1998-12-31' THEN o_orderpriority END
+  AS o_orderpriority, CASE WHEN o_orderdate > TIMESTAMP '1998-12-31' THEN o_totalprice
+  ELSE CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) END AS o_totalprice) FROM orders"""
+ORACLES["bronze_rejects"] = f"""WITH {RAW_PRODUCTS} SELECT CASE product_id % 7 WHEN 0 THEN 'another number of fields'
+  WHEN 1 THEN 'a value of the wrong type' ELSE 'taken' END AS reason, count(*) AS lines FROM raw_products GROUP BY ALL"""
 ORACLES["zorder_rows"] = "SELECT * FROM lineitem"
 ORACLES["compact_rows"] = "SELECT * FROM orders"
 ORACLES["compact_small_files"] = "SELECT * FROM orders"

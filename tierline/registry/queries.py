@@ -883,6 +883,28 @@ def evolved_read(spark, sf):
     return layout.read_evolved(spark, early, late)
 
 
+@query
+def evolved_types(spark, sf):
+    """Older orders with int keys, float prices and no priority, newer ones as they are, under one stored schema."""
+    path = scratch_path(spark, "evolving")
+    narrow = {"o_orderkey": F.col("o_orderkey").cast("int"), "o_totalprice": F.col("o_totalprice").cast("float")}
+    layout.append_evolving(inputs.base_orders(spark, sf).withColumns(narrow).drop("o_orderpriority"), path)
+    layout.append_evolving(incremental.rows_after(load(spark, sf, "orders"), "o_orderdate", "1998-12-31"), path)
+    return layout.read_evolving(spark, path)
+
+
+@query
+def bronze_rejects(spark, sf):
+    """Products as CSV, some with a field too few and some with a word for a price: taken and set apart."""
+    path = scratch_path(spark, "csv")
+    rows = inputs.products(spark, sf).select("product_id", "product_name", "category", "price", "stock_qty", "supplier_id", "country", "updated_at")
+    texts = [F.concat(F.lit('"'), F.col(name).cast("string"), F.lit('"')) for name in rows.columns]
+    worded = F.when(F.col("product_id") % 7 == 1, "dear").otherwise(texts[3])
+    line = F.when(F.col("product_id") % 7 == 0, texts[0]).otherwise(F.concat_ws(",", *texts[:3], worded, *texts[4:]))
+    rows.select(line.alias("value")).write.text(path)
+    return _reported(*bronze.products_and_rejects(spark, path, RUN, header=False))
+
+
 @query
 def zorder_rows(spark, sf):
     path = scratch_path(spark, "zorder")

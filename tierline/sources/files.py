@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -28,7 +28,12 @@ def read_json_records(
     records = spark.read.schema(schema).option("mode", "PERMISSIVE").option("multiLine", multiline).json(path)
     if fields is None:
         return records
-    return records.select(*[field(where, default).alias(name) for name, (where, default) in fields.items()])
+    return records.select(*flattened(fields))
+
+
+def flattened(fields: dict[str, tuple]) -> list[Column]:
+    """The columns that ``fields`` describes, as for ``read_json_records``."""
+    return [field(where, default).alias(name) for name, (where, default) in fields.items()]
 
 
 def read_csv(

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tierline.operators import layout
 from tierline.plans import bronze, gold, layers, silver
 from tierline.session import scratch_path, stage
 from tierline.settings import Run
@@ -198,6 +199,64 @@ def test_star_joins_three_dimensions(spark, made):
     assert joined.count() == fact.count()
 
 
+def scans(plan):
+    """The file scans of an executed plan."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return scans(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return scans(plan.plan())
+    found = [plan] if kind == "FileSourceScanExec" else []
+    children = plan.children()
+    return found + [scan for i in range(children.size()) for scan in scans(children.apply(i))]
+
+
+def quarter_star(spark, folders):
+    """Sales of 24 months in folders, and the winter days of 2024 over them."""
+    path, days = scratch_path(spark, "fact"), scratch_path(spark, "days")
+    fact = spark.range(731).select(
+        F.col("id").alias("order_id"), F.when(F.col("id") < 730, F.expr("timestamp_ntz '2023-01-01' + make_dt_interval(id)")).alias("order_date")
+    )
+    fact = fact.withColumns({"order_year": F.year("order_date"), "order_month": F.month("order_date")})
+    layout.write_partitioned(fact, path, ["order_year", "order_month"])
+    gold.dim_date(spark, dt.date(2023, 1, 1), dt.date(2025, 12, 31), RUN).write.parquet(days)
+    stored = spark.read.parquet(path)
+    joined = gold.star(stored, spark.read.parquet(days), folders=folders)
+    assert joined.count() == 731 and joined.filter("season IS NULL").count() == 1
+    winter = joined.filter("season = 'Winter' AND year = 2024")
+    want = [i for i in range(730) if (d := dt.date(2023, 1, 1) + dt.timedelta(i)).year == 2024 and d.month in (12, 1, 2)]
+    assert sorted(r.order_id for r in winter.collect()) == want
+    facts = [s for s in scans(winter._jdf.queryExecution().executedPlan()) if "order_month" in s.toString()]
+    assert len(facts) == 1
+    return facts[0]
+
+
+def test_star_reads_only_the_folders_of_a_quarter(spark):
+    scan = quarter_star(spark, gold.DATE_FOLDERS)
+    assert "dynamicpruning" in scan.toString()
+    assert scan.metrics().apply("numPartitions").value() == 3  # January, February and December
+    everything = quarter_star(spark, None)
+    assert "dynamicpruning" not in everything.toString()
+    assert everything.metrics().apply("numPartitions").value() == 25
+
+
+def test_star_filters_reach_a_large_fact(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold")
+    fact, dim = scratch_path(spark, "fact"), scratch_path(spark, "products")
+    spark.range(5000).selectExpr("id AS order_id", "id % 100 AS product_id", "date'2024-01-01' AS order_date").write.parquet(fact)
+    spark.range(100).selectExpr("id AS product_id", "concat('g', id % 10) AS category_group").write.parquet(dim)
+    try:
+        for key, value in zip(keys, ("-1", "-1", "0")):
+            spark.conf.set(key, value)
+        joined = gold.star(spark.read.parquet(fact), product_dim=spark.read.parquet(dim)).filter("category_group = 'g3'")
+        assert "might_contain" in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 500
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+
+
 def test_json_orders_take_defaults(spark):
     path = scratch_path(spark, "json")
     lines = [

@@ -177,16 +177,28 @@ def top_products(fact: DataFrame, products: DataFrame, run: Run = Run(), k: int
     return _stamp(rows, run.table("gold", "fact_orders"), run)
 
 
+# Folders of a stored fact, by the column of the date dimension that each one holds.
+DATE_FOLDERS = {"order_year": "year", "order_month": "month"}
+
+
 def star(
     fact: DataFrame,
     date_dim: DataFrame | None = None,
     customer_dim: DataFrame | None = None,
     product_dim: DataFrame | None = None,
+    folders: dict[str, str] | None = None,
 ) -> DataFrame:
     """The fact with its dimensions' columns, left-joined; names clashing with the fact get a prefix.
 
     No hint is given: Spark broadcasts a dimension while its size allows, and otherwise shuffles
     with AQE splitting the partitions of hot keys.
+
+    ``folders`` names the columns a stored fact is partitioned by that follow from its date, each with the
+    date dimension's column it equals (``DATE_FOLDERS``). They are joined on besides the date. This changes
+    no row, but a later filter on any column of the date dimension, such as a season, then prunes the
+    fact's folders when the query runs, which a date alone cannot. A fact whose folders contradict its
+    dates finds no day for those rows. Filters on a large dimension reach the fact as bloom filters once
+    Spark expects them to pay.
     """
     joined = fact
     parts = (
@@ -198,9 +210,12 @@ def star(
         if dim is None:
             continue
         columns = [c for c in dim.columns if c != key and not c.startswith("_")]
+        own = (folders or {}) if dim is date_dim else {}
         renamed = dim.select(
             F.col(key).alias("__dim_key"),
+            *[F.col(c).alias(f"__dim_{folder}") for folder, c in own.items()],
             *[F.col(c).alias(prefix + c if c in joined.columns else c) for c in columns],
         )
-        joined = joined.join(renamed, fact_key == F.col("__dim_key"), "left").drop("__dim_key")
+        met = [fact_key == F.col("__dim_key"), *[F.col(folder) == F.col(f"__dim_{folder}") for folder in own]]
+        joined = joined.join(renamed, met, "left").drop("__dim_key", *[f"__dim_{folder}" for folder in own])
     return joined

@@ -211,6 +211,13 @@ SELECT season, region, category_group, {_total("revenue")} AS total_revenue, cou
 FROM sale_lines LEFT JOIN orders ON order_id = o_orderkey LEFT JOIN people ON o_custkey = customer_id
 LEFT JOIN goods ON sale_lines.product_id = goods.product_id
 LEFT JOIN calendar ON CAST(order_date AS DATE) = full_date GROUP BY ALL"""
+ORACLES["star_one_quarter"] = f"""WITH {SALE_LINES}, {CALENDAR}, {SILVER_CUSTOMERS}, {DIM_PRODUCT}
+SELECT year, month, region, category_group, supplier_country, {_total("revenue")} AS total_revenue,
+  count(order_id) AS total_orders
+FROM sale_lines JOIN calendar ON CAST(order_date AS DATE) = full_date
+LEFT JOIN orders ON order_id = o_orderkey LEFT JOIN customers_transformed ON o_custkey = customer_id
+LEFT JOIN dim_product ON sale_lines.product_id = dim_product.product_id
+WHERE year = 1997 AND season = 'Summer' GROUP BY ALL"""
 ORACLES["orphans"] = """SELECT l_partkey, count(*) AS fact_rows FROM lineitem
 WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_type <> 'PROMO') GROUP BY l_partkey"""
 

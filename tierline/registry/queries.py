@@ -148,6 +148,32 @@ def star_by_season_region(spark, sf):
     )
 
 
+def _stored_sales(spark, sf) -> str:
+    """Sale lines with their buyers in a folder for each month."""
+    buyers = load(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id")
+    )
+    columns = ["order_id", "product_id", "order_date", "order_year", "order_month", "revenue"]
+    lines = inputs.sale_lines(spark, sf).select(*columns)
+    path = scratch_path(spark, "sales")
+    layout.write_partitioned(lines.join(buyers, "order_id", "left"), path, ["order_year", "order_month"])
+    return path
+
+
+@query
+def star_one_quarter(spark, sf):
+    """The summer of one year over a fact in monthly folders, by the stored dimensions: a filter on the date
+    dimension alone, so that only three folders are read."""
+    customers = gold.dim_customer(_silver_customers(spark, sf), RUN).select("customer_id", "region")
+    days = stage(gold.dim_date_covering(load(spark, sf, "lineitem"), "l_shipdate", RUN), "days")
+    fact = spark.read.parquet(_stored_sales(spark, sf))
+    joined = gold.star(fact, days, customers, _product_dim(spark, sf), gold.DATE_FOLDERS)
+    summer = joined.filter((F.col("year") == 1997) & (F.col("season") == "Summer"))
+    return summer.groupBy("year", "month", "region", "category_group", "supplier_country").agg(
+        money.total(F.col("revenue")).alias("total_revenue"), F.count("order_id").alias("total_orders")
+    )
+
+
 @query
 def orphans(spark, sf):
     stocked = load(spark, sf, "part").filter(F.col("p_type") != "PROMO")

@@ -7,9 +7,11 @@ import public_tokenizers
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tierline.llm import chat
 from tierline.llm.queries import QUERIES
+from tierline.session import stage
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 SCHEMA = "conv_id long, turn long, role string, text string, window string, loss int"
@@ -73,6 +75,45 @@ def test_windows(spark, budget, history):
         assert targets == [t for r, t in shown[w.repeated :] if r == "assistant"]
 
 
+def long_rows(n):
+    """A conversation of ``n`` turns, one of equal turns and without an id, and two short ones."""
+    roles = ["user", "assistant"]
+    rows = [(7, i, "system" if i == 0 else roles[i % 2], f"turn {i} " + "word " * (i * 7 % 23)) for i in range(n)]
+    rows += [(None, 1, "assistant", "same </s> words")] * (n // 10)
+    rows += [(8, 0, "system", "s"), (8, 1, "assistant", "t"), (9, None, None, None)]
+    return rows
+
+
+@pytest.mark.parametrize("budget,history,run_tokens", [(1024, 256, 50_000), (60, 20, 100), (200, 300, 1)])
+def test_long_conversations_in_runs(spark, budget, history, run_tokens):
+    rows = long_rows(100_000 if run_tokens == 50_000 else 600)
+    kept = dict(budget=budget, history=history, long_bytes=500, run_tokens=run_tokens)
+    turns = spark.createDataFrame([(*r, "w", 1) for r in rows], SCHEMA)
+    parts = chat.formatted_parts(turns, PATH, PATTERN, **kept)
+    parts = [stage(part.withColumn("task", F.spark_partition_id()), "windows") for part in parts]
+    check(chat.read_back(*chat.formatted_parts(turns, PATH, PATTERN, **kept)).collect(), rows)
+    assert {w.conv_id for w in parts[0].collect()} == {8, 9}
+    windows = sorted((w for w in parts[1].collect() if w.conv_id == 7), key=lambda w: (w.run, w.window))
+    coder = chat.encoding(PATH, PATTERN)
+    tokens = [len(coder.encode_ordinary(chat.render(r, t)[0])) for c, _, r, t in rows if c == 7]
+    told = [(r, t) for c, _, r, t in rows if c == 7]
+    shown, before = 0, 0
+    for w in windows:
+        turns_of = chat.read(w.text)
+        fresh = len(turns_of) - w.repeated
+        assert turns_of[w.repeated :] == told[shown : shown + fresh]
+        assert w.run == before // max(run_tokens, history) or w.window > 0
+        if shown:
+            assert turns_of[0] == told[0] and turns_of[1 : w.repeated] == told[shown - w.repeated + 1 : shown]
+            room = min(history, budget - tokens[0] - tokens[shown])
+            most = next(k for k in range(shown) if sum(tokens[shown - k - 1 : shown]) > room or k + 1 == shown)
+            assert w.repeated - 1 == most
+        shown, before = shown + fresh, before + sum(tokens[shown : shown + fresh])
+    assert shown == len(told)
+    if run_tokens == 50_000:
+        assert len({w.run for w in windows}) == -(-sum(tokens) // run_tokens) and len({w.task for w in windows}) > 1
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert chat.format_chats(none, PATH, PATTERN).count() == 0 and chat.read_back(chat.format_chats(none, PATH, PATTERN)).count() == 0

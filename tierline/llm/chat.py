@@ -7,8 +7,10 @@ repeats: every assistant text is a target exactly once. A turn longer than the b
 its own, whole.
 
 Tokens are counted where the table is read; conversations are then streamed in sorted partitions with
-the turns of about one window in memory, so a conversation may have any number of turns. A conversation
-stays in one task, as its windows follow one another.
+the turns of about one window in memory, so a conversation may have any number of turns. One of more than
+LONG_BYTES is cut into runs of RUN_TOKENS by the prefix sums of its tokens, and each run is windowed apart
+with the system turn and the latest history carried into it; a window never spans two runs. Only the digests
+of ``read_back`` need a conversation's windows one after another.
 
 Null texts and roles count as empty; rows with equal or null turn numbers are ordered by role and text,
 nulls last; rows without a conversation id form one conversation; repeated rows are repeated turns; an
@@ -21,15 +23,24 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.operators.joins import broadcast_if, null_safe_join, row_bytes
+from tierline.session import stage
+
 BUDGET = 1024
 HISTORY = 256
+LONG_BYTES = 1 << 24  # of roles and texts; a conversation beyond it is cut into runs
+RUN_TOKENS = 1 << 20
+SLICE_RUNS = 64  # bytes of a sorted slice of long conversations for each token of a run
+MOST_SLICES = 1 << 16
 PART = 20_000  # characters counted at a time: pieces of endless words are counted, not merged, across
 
 # The template's own marks and those of the common instruction format.
@@ -92,19 +103,92 @@ def _counted(turns: DataFrame, path: str, pattern: str) -> DataFrame:
     return turns.mapInArrow(count, schema)
 
 
+SYSTEM, PAST, OWN = range(3)  # what a row is to its run: carried into it, or its own
+ORDER = [F.asc_nulls_first, F.asc_nulls_last, F.asc_nulls_last, F.asc_nulls_last]
+
+
+def _order() -> list:
+    return [how(name) for how, name in zip(ORDER, ("conv_id", "turn", "role", "text"))]
+
+
+def _summed(turns: DataFrame) -> DataFrame:
+    """Sorted partitions with their number as ``slice`` and, as ``before``, the tokens of the same
+    conversation that come before a turn in it."""
+    schema = T.StructType([*turns.schema.fields, T.StructField("slice", T.IntegerType()), T.StructField("before", T.LongType())])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, held = TaskContext.get().partitionId(), add, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            convs = batch.column("conv_id").dictionary_encode("encode")
+            codes = convs.indices.to_numpy()
+            tokens = batch.column("tokens").to_numpy()
+            begins = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            lengths = np.diff(np.append(begins, len(codes)))
+            before = np.cumsum(tokens) - tokens
+            before -= np.repeat(before[begins], lengths)
+            names = convs.dictionary.to_pylist()
+            if names[codes[0]] == last:
+                before[: lengths[0]] += held
+            last, held = names[codes[-1]], int(before[-1] + tokens[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(len(codes), part, np.int32)), pa.array(before)], names=schema.names
+            )
+
+    return turns.mapInArrow(add, schema)
+
+
+def _runs(counted: DataFrame, slices: int, history: int, run_tokens: int) -> DataFrame:
+    """The turns of long conversations by run, and those that are carried into each run.
+
+    Turns are range-partitioned in their order, equal rows by an id besides, so that a conversation runs on
+    over neighbouring slices; between those only sums move, one a (conversation, slice). A run is at least
+    as long as the history, so a turn is carried into the next run alone.
+    """
+    pinned = stage(counted.withColumn("__id", F.monotonically_increasing_id()), "turns")
+    by = [*_order(), F.asc("__id")]
+    found = stage(_summed(pinned.repartitionByRange(slices, *by).sortWithinPartitions(*by).drop("__id")), "slices")
+    sums = found.groupBy("conv_id", "slice").agg(F.sum("tokens").alias("tokens"))
+    earlier = Window.partitionBy("conv_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stage(sums.select("conv_id", "slice", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("offset")), "offsets")
+    size = offsets.agg(F.sum(row_bytes(offsets, offsets.columns))).first()[0] or 0
+    placed = null_safe_join(found, broadcast_if(offsets, size), ["conv_id", "slice"], "inner")
+    placed = placed.withColumn("before", F.col("offset") + F.col("before")).drop("slice", "offset")
+    placed = placed.withColumn("run", F.floor(F.col("before") / run_tokens))
+    starts = stage(placed.groupBy("conv_id", "run").agg(F.min("before").alias("first")), "runs")
+    onward = Window.partitionBy("conv_id").orderBy("run")
+    following = starts.select("conv_id", "run", F.lead("run").over(onward).alias("next"), F.lead("first").over(onward).alias("next_first"))
+    system = (F.col("before") == 0) & F.coalesce(F.col("role") == "system", F.lit(False))
+    near = placed.filter(~system & ((F.col("run") + 1) * run_tokens - F.col("before") <= history))
+    past = null_safe_join(near, following, ["conv_id", "run"], "inner").filter(F.col("next_first") - F.col("before") <= history)
+    first = null_safe_join(starts.filter("run > 0").select("conv_id", "run"), placed.filter(system).drop("run"), ["conv_id"], "inner")
+    parts = [(first, SYSTEM), (past.withColumn("run", F.col("next")), PAST), (placed, OWN)]
+    columns = ["conv_id", "run", "role", "text", "tokens", "before"]
+    return reduce(DataFrame.unionByName, [rows.select(*columns, F.lit(kind).alias("kind")) for rows, kind in parts])
+
+
 class _Conversation:
-    """Turns come in, windows go out; holds the system turn, some history and what waits."""
+    """Turns of a conversation or a run of it come in, windows go out; holds the system turn, some history
+    and what waits."""
 
-    def __init__(self, budget: int, history: int):
-        self.budget, self.most_history = budget, history
+    def __init__(self, budget: int, history: int, run: int = 0):
+        self.budget, self.most_history, self.run = budget, history, run
         self.system: list[tuple[str, str, int]] = []
         self.past: list[tuple[str, str, int]] = []
         self.waiting: list[tuple[str, str, int]] = []
         self.tokens = 0
         self.seen = self.windows = 0
 
+    def carry(self, turn: tuple[str, str, int], kind: int) -> None:
+        """A turn that an earlier run has shown; history comes in its order."""
+        if kind == SYSTEM:
+            self.system = [turn]
+        else:
+            self.past.append(turn)
+
     def add(self, turn: tuple[str, str, int]) -> Iterator[tuple]:
-        if self.seen == 0 and turn[0] == "system":
+        if self.run == 0 and self.seen == 0 and turn[0] == "system":
             self.system = [turn]
         self.seen += 1
         self.waiting.append(turn)
@@ -117,7 +201,7 @@ class _Conversation:
             yield self._window()
 
     def _window(self) -> tuple:
-        first = self.windows == 0
+        first = self.run == 0 and self.windows == 0
         kept = [] if first else self.system
         sums = np.cumsum([t[2] for t in self.waiting])
         room = self.budget - sum(t[2] for t in kept)
@@ -143,20 +227,12 @@ class _Conversation:
         return self.windows - 1, "".join(out), spans, len(repeated), tokens
 
 
-def format_chats(
-    turns: DataFrame, tokenizer: str, pattern: str, budget: int = BUDGET, history: int = HISTORY
-) -> DataFrame:
-    """(conv_id, window, text, loss, repeated, tokens) from rows of (conv_id, turn, role, text).
-
-    ``loss`` holds the code point spans of ``text`` to learn from, ``repeated`` how many turns at its
-    beginning an earlier window has already shown. A conversation's windows are in one partition, in order.
-    """
-    given = turns.select("conv_id", "turn", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    counted = _counted(given, tokenizer, pattern)
-    order = [F.asc_nulls_first("conv_id"), *[F.asc_nulls_last(c) for c in ("turn", "role", "text")]]
+def _windows(turns: DataFrame, budget: int, history: int) -> DataFrame:
+    """Windows of turns whose runs lie in one partition each, in order, behind what is carried into them."""
     schema = T.StructType(
         [
-            given.schema["conv_id"],
+            turns.schema["conv_id"],
+            T.StructField("run", T.LongType()),
             T.StructField("window", T.LongType()),
             T.StructField("text", T.StringType()),
             T.StructField("loss", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
@@ -172,32 +248,82 @@ def format_chats(
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows))
-            types = [kind, pa.int64(), pa.string(), arrow, pa.int64(), pa.int64()]
+            types = [kind, pa.int64(), pa.int64(), pa.string(), arrow, pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=schema.names)
 
         for batch in batches:
-            kind = batch.schema.field(0).type
+            kind = batch.schema.field("conv_id").type
             rows = []
-            columns = [batch.column(c).to_pylist() for c in ("conv_id", "role", "text", "tokens")]
-            for conv, role, text, tokens in zip(*columns):
-                if chat is None or conv != key:
+            columns = [batch.column(c).to_pylist() for c in ("conv_id", "run", "kind", "role", "text", "tokens")]
+            for conv, run, part, role, text, tokens in zip(*columns):
+                if chat is None or (conv, run) != key:
                     if chat is not None:
-                        rows += [(key, *w) for w in chat.end()]
-                    key, chat = conv, _Conversation(budget, history)
-                rows += [(key, *w) for w in chat.add((role or "", text or "", tokens))]
+                        rows += [(*key, *w) for w in chat.end()]
+                    key, chat = (conv, run), _Conversation(budget, history, run)
+                turn = (role or "", text or "", tokens)
+                if part == OWN:
+                    rows += [(*key, *w) for w in chat.add(turn)]
+                else:
+                    chat.carry(turn, part)
             if rows:
                 yield batch_of(rows)
         if chat is not None:
-            yield batch_of([(key, *w) for w in chat.end()])
+            yield batch_of([(*key, *w) for w in chat.end()])
+
+    return turns.mapInArrow(windows, schema)
+
+
+def formatted_parts(
+    turns: DataFrame, tokenizer: str, pattern: str, budget: int = BUDGET, history: int = HISTORY,
+    long_bytes: int = LONG_BYTES, run_tokens: int = RUN_TOKENS,
+) -> list[DataFrame]:
+    """The windows of ``format_chats`` in one or two frames: those of conversations of up to ``long_bytes``,
+    each in one partition, in order, and those of the others, by runs of ``run_tokens`` or more, where there
+    are any. ``turns`` is read once more to find out."""
+    run_tokens = max(run_tokens, history, 1)
+    given = turns.select("conv_id", "turn", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("role", "text")), F.lit(16).cast("bigint"))
+    sizes = given.groupBy("conv_id").agg(F.sum(size).alias("bytes")).filter(F.col("bytes") > long_bytes)
+    hot = stage(sizes, "long-conversations")
+    n, total, width = hot.agg(F.count(F.lit(1)), F.sum("bytes"), F.sum(row_bytes(hot, hot.columns))).first()
+    usual, parts = given, []
+    if n:
+        ids = broadcast_if(hot.select("conv_id"), width)
+        usual = null_safe_join(given, ids, ["conv_id"], "left_anti")
+        slices = min(MOST_SLICES, -(-total // (SLICE_RUNS * run_tokens)))
+        counted = _counted(null_safe_join(given, ids, ["conv_id"], "left_semi"), tokenizer, pattern)
+        runs = _runs(counted, slices, history, run_tokens).repartition("conv_id", "run")
+        runs = runs.sortWithinPartitions(F.asc_nulls_first("conv_id"), "run", "kind", "before")
+        parts = [_windows(runs, budget, history)]
+    whole = _counted(usual, tokenizer, pattern).repartition("conv_id").sortWithinPartitions(*_order())
+    whole = whole.withColumns({"run": F.lit(0).cast("bigint"), "kind": F.lit(OWN)})
+    return [_windows(whole, budget, history), *parts]
+
 
-    return counted.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(windows, schema)
+def format_chats(
+    turns: DataFrame, tokenizer: str, pattern: str, budget: int = BUDGET, history: int = HISTORY,
+    long_bytes: int = LONG_BYTES, run_tokens: int = RUN_TOKENS,
+) -> DataFrame:
+    """(conv_id, run, window, text, loss, repeated, tokens) from rows of (conv_id, turn, role, text).
+
+    ``loss`` holds the code point spans of ``text`` to learn from, ``repeated`` how many turns at its
+    beginning an earlier window has already shown. Windows are numbered in each run; there is one run,
+    number 0, but for conversations of more than ``long_bytes``.
+    """
+    parts = formatted_parts(turns, tokenizer, pattern, budget, history, long_bytes, run_tokens)
+    return reduce(DataFrame.unionByName, parts)
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
+def read_back(usual: DataFrame, by_run: DataFrame | None = None) -> DataFrame:
     """A row for each conversation, from its windows alone: counts and digests of turns and targets.
 
-    Takes the output of ``format_chats`` as it is, each conversation's windows in order.
+    Takes the frames of ``formatted_parts`` as they are. A digest is taken byte after byte, so the windows
+    of a long conversation are streamed through one task here, in order.
     """
+    if by_run is not None:
+        ordered = by_run.repartition("conv_id").sortWithinPartitions(F.asc_nulls_first("conv_id"), "run", "window")
+        return read_back(usual).unionByName(read_back(ordered))
+    formatted = usual
     schema = T.StructType(
         [
             formatted.schema["conv_id"],

@@ -37,8 +37,7 @@ def op2_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
         [(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string"
     )
     turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    formatted = chat.format_chats(turns, _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return chat.read_back(formatted)
+    return chat.read_back(*chat.formatted_parts(turns, _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
 def op3_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:

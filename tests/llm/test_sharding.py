@@ -1,5 +1,6 @@
 """Sharding against what a permutation must satisfy."""
 
+import math
 import zlib
 from collections import Counter
 
@@ -54,3 +55,56 @@ def test_written_shards(spark, tmp_path):
     back = spark.read.parquet(path)
     assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter((r.doc_id, r.text) for r in docs.collect())
     assert sorted(r["count"] for r in back.groupBy("shard").count().collect()) == [7, 7, 8, 8]
+
+
+def test_shards_of_many_files_keep_their_slots(spark, tmp_path):
+    rows = [(i, f"text {i} " * (i % 9), "", 0) for i in range(3000)] + [(None, "again", "", 0)] * 900 + [(4, None, None, None)] * 3
+    docs = spark.createDataFrame(rows, SCHEMA)
+    path = sharding.write_shards(docs, str(tmp_path / "out"), 3, file_bytes=8000)
+    back = spark.read.parquet(path).select("*", F.input_file_name().alias("file")).collect()
+    assert Counter((r.doc_id, r.text) for r in back) == Counter(r[:2] for r in rows)
+    place = {r.doc_id: (r.shard, r.slot) for r in sharding.assigned(docs, 3).collect()}
+    files = {}
+    for r in back:
+        files.setdefault((r.shard, r.file), []).append(r)
+    for (shard, _), held in files.items():
+        known = [place[r.doc_id] for r in held if r.doc_id is not None and r.text is not None and r.doc_id != 4]
+        assert all(s == shard for s, _ in known) and [t for _, t in known] == sorted(t for _, t in known)
+    assert min(Counter(s for s, _ in files).values()) > 3
+    none = sharding.write_shards(docs.limit(0), str(tmp_path / "none"), 3)
+    assert not spark.read.schema(SCHEMA).parquet(none).count()
+
+
+def test_numbers_of_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 7)
+    rows = spark.range(500).selectExpr("id % 2 AS a")
+    assert sorted(r.number for r in sharding.numbered(rows).collect()) == list(range(500))
+
+
+def feistel(number, n, seed, hashed):
+    """The permutation in plain Python, with the round function's values looked up."""
+    a = max(1, math.isqrt(max(n - 1, 0)) + 1)
+    b = max(1, -(-n // a))
+    x = number
+    while True:
+        for r in range(1, sharding.ROUNDS + 1):
+            left, right = divmod(x, b)
+            left = (left + hashed[seed, 0, r, right] % a) % a
+            right = (right + hashed[seed, 1, r, left] % b) % b
+            x = left * b + right
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 50, 333])
+def test_places_equal_the_walk_in_plain_python(spark, n):
+    seed, shards = 11, 4
+    wide = math.isqrt(n) + 2
+    keys = spark.range(wide).selectExpr("id AS half").crossJoin(spark.range(2).selectExpr("cast(id as int) AS side"))
+    keys = keys.select("*", F.explode(F.sequence(F.lit(1), F.lit(sharding.ROUNDS))).alias("r"))
+    values = keys.withColumn("h", F.xxhash64(F.lit(seed).cast("bigint"), "side", "r", "half"))
+    hashed = {(seed, v.side, v.r, v.half): v.h for v in values.collect()}
+    got = spark.range(n).select("id", sharding.placed(F.col("id"), n, shards, seed).alias("p")).collect()
+    for row in got:
+        walked = feistel(row.id, n, seed, hashed)
+        assert (row.p.shard, row.p.slot) == (walked % shards, walked // shards)

@@ -18,12 +18,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.exprs import let, whole
+from tierline.operators.joins import null_safe_join
 from tierline.session import stage
 
 ROUNDS = 4  # double rounds
 WALK = 64  # steps of the walk; see ``permuted``
 BUCKET_ROWS = 1_000_000
 SALTS = 64
+COPIES = 1 << 16  # numbers of a repeated row that are listed at a time
+FILE_BYTES = 1 << 28
+MOST_PIECES = 1 << 16
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
 
@@ -87,8 +91,10 @@ def numbered(rows: DataFrame, name: str = "number") -> DataFrame:
     )
     ends = run.join(before, "__bucket").withColumn("__end", F.col("__end") + F.col("__before"))
     spread = ends.repartition(*keys, "__salt")
-    first = F.col("__end") - F.col("__n")
-    return spread.select(*keys, F.explode(F.sequence(first, F.col("__end") - 1)).alias(name))
+    first, step = F.col("__end") - F.col("__n"), F.lit(COPIES).cast("bigint")
+    runs = spread.select(*keys, "__end", F.explode(F.sequence(first, F.col("__end") - 1, step)).alias("__from"))
+    upto = F.least(F.col("__from") + step, F.col("__end")) - 1
+    return runs.select(*keys, F.explode(F.sequence("__from", upto)).alias(name))
 
 
 def described(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -108,11 +114,15 @@ def assigned(docs: DataFrame, shards: int, seed: int = 11, key: str = "doc_id",
     return found.withColumn("__at", place).select(*rows.columns, "number", "__at.shard", "__at.slot")
 
 
-def write_shards(docs: DataFrame, path: str, shards: int, seed: int = 11, key: str = "doc_id", text: str = "text") -> str:
+def write_shards(
+    docs: DataFrame, path: str, shards: int, seed: int = 11, key: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES
+) -> str:
     """Writes key and text below ``path``, one folder a shard, ascending by slot within each file.
 
-    Rows meet their places by key, size and checksum; rows equal in all three are dealt their places
-    one by one, in the order of the text's digest.
+    A shard's slots are cut into even runs of about ``file_bytes``, so a shard of any size is written by
+    many tasks; only a file may hold several runs, one after another, never a run several files. Rows meet
+    their places by key, size and checksum. Rows equal in all three have neighbouring numbers, so each
+    different text takes a range of them, in the order of the text's digest, and no task gathers the copies.
     """
     same = [key, "size", "text_crc32"]
     body = whole(F.col(text))
@@ -120,13 +130,17 @@ def write_shards(docs: DataFrame, path: str, shards: int, seed: int = 11, key: s
         key, F.col(text).alias("text"),
         (F.octet_length(body) + 16).cast("bigint").alias("size"), F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"),
     )
+    slots = stage(assigned(docs, shards, seed, key, text), "places")
+    n, total = slots.agg(F.count(F.lit(1)), F.sum("size")).first()
+    rows_each = max(1, n * file_bytes // max(total or 0, 1))
+    pieces = min(MOST_PIECES, max(1, shards * -(-n // (shards * rows_each))))
     counted = own.groupBy(*same, "text").agg(F.count(F.lit(1)).alias("n"))
     end = F.sum("n").over(Window.partitionBy(*same).orderBy(F.sha2("text", 256)).rowsBetween(*_UP_TO))
-    nth = F.row_number().over(Window.partitionBy(*same).orderBy("number"))
-    texts = counted.withColumn("end", end).alias("d")
-    slots = assigned(docs, shards, seed, key, text).withColumn("nth", nth).alias("s")
+    firsts = slots.groupBy(*same).agg(F.min("number").alias("first"))
+    texts = null_safe_join(counted.withColumn("end", end), firsts, same, "inner").alias("d")
     met = [F.col(f"s.{c}").eqNullSafe(F.col(f"d.{c}")) for c in same]
-    rows = slots.join(texts, [*met, F.expr("s.nth <= d.end and s.nth > d.end - d.n")])
-    placed_rows = rows.select(f"d.{key}", "d.text", "s.shard", "s.slot")
-    placed_rows.repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    inside = F.expr("s.number < d.first + d.end and s.number >= d.first + d.end - d.n")
+    rows = slots.alias("s").join(texts, [*met, inside]).select(f"d.{key}", "d.text", "s.shard", "s.slot")
+    cut = rows.repartition(pieces, "shard", F.floor(F.col("slot") / rows_each))
+    cut.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
     return path

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierline.functions import money
 from tierline.operators import clean, incremental, joins, layout, numbering, quality, slices, upsert, windows
+from tierline.registry import queries
 from tierline.session import scratch_path, stage
 from tierline.sources import files, tables
 from tierline.streaming.load import stream_upsert
@@ -725,3 +726,16 @@ def test_malformed_lines_are_set_apart(spark, tmp_path):
         ("2|dear|y", "a value of the wrong type"), ("3|1.0", "another number of fields"), ("4|1|z|more", "another number of fields"),
     ]
     assert all(r.file.endswith("x.csv") for r in bad.collect())
+
+
+def test_top_k_deals_too_large_groups_out(spark, monkeypatch):
+    monkeypatch.setattr(windows, "slice_groups", None)  # whole groups are not sliced for their first rows
+    numbers = [(i // 4, int(i % 10 == 0)) for i in range(20000)]  # equal rows, and one group beyond the bound
+    df = spark.range(20000).selectExpr("id div 4 AS v", "int(id % 10 = 0) AS g")
+    got = sorted((r.g, r.v) for r in windows.top_k(df, [F.desc("v")], 1001, ["g"], 8000).collect())
+    assert got == sorted((g, v) for g in (0, 1) for v in sorted(v for v, of in numbers if of == g)[-1001:])
+    nulls = df.selectExpr("if(v % 7 = 0, null, v) AS v", "if(g = 0, null, g) AS g")
+    found = windows.top_k(nulls, [F.asc("v")], 1001, ["g"], 8000)
+    assert found.count() == 2002
+    assert found.filter("v is null and g = 1").count() == sum(v % 7 == 0 and g == 1 for v, g in numbers)
+    assert found.filter("v is null and g is null").count() == 1001

@@ -9,6 +9,8 @@ None to skip the measurement where groups are known to be small.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,6 +139,7 @@ def _previous_sliced(
 
 
 GROUP_LIMIT = 1000  # Spark's own bound for limiting groups before the shuffle
+SHARES = 8  # shares of ``rows_per_task`` rows that the first rows of a too large group are sought in
 
 
 def top_k(
@@ -148,14 +151,37 @@ def top_k(
 ) -> DataFrame:
     """The first ``k`` rows, overall or per group. All other columns break ties, whatever ``k``.
 
-    Spark limits small groups on the map side. For a larger ``k`` the rows are numbered, too large
-    groups in slices, so that none is sorted in a single task.
+    Spark limits small groups on the map side. For a larger ``k`` the rows are numbered; those of too
+    large groups are dealt out to even shares first, of which only the first ``k`` of a group go on. A ``k``
+    that would leave the shares nearly whole has the groups numbered in slices instead.
     """
+    keys = keys or []
     if k <= GROUP_LIMIT:
-        order = [*order, *ties(df, keys or [])]
+        order = [*order, *ties(df, keys)]
         if not keys:
             return df.orderBy(*order).limit(k)
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn("__nth", F.row_number().over(window)).filter(F.col("__nth") <= k).drop("__nth")
-    numbered = number_within(df, keys or [], order, "__nth", rows_per_task)
-    return numbered.filter(F.col("__nth") <= k).drop("__nth")
+
+    def first(rows: DataFrame, bound: int | None) -> DataFrame:
+        return number_within(rows, keys, order, "__nth", bound).filter(F.col("__nth") <= k).drop("__nth")
+
+    if rows_per_task is None or 4 * k > rows_per_task:
+        return first(df, rows_per_task)
+    ordinary, hot, hot_rows = split_hot(df, keys, rows_per_task)
+    if hot is None:
+        return first(ordinary, None)
+    shares = math.ceil(hot_rows / max(4 * k, rows_per_task // SHARES))
+    best = first(session.stage(_first_of_shares(hot, keys, order, k, shares), "first"), rows_per_task)
+    return best if ordinary is None else first(ordinary, None).unionByName(best)
+
+
+def _first_of_shares(df: DataFrame, keys: list[str], order: list[Column], k: int, shares: int) -> DataFrame:
+    """The first ``k`` rows of each group in each of ``shares`` equal parts of ``df``: all that may be among its
+    first ``k``. The part of a row is pinned, and equal rows spread over the parts too."""
+    order = [*order, *ties(df, keys)]
+    pinned = session.stage(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    dealt = pinned.withColumn(SLICE, F.pmod(F.xxhash64(ROW), F.lit(shares)).cast("int")).drop(ROW)
+    window = Window.partitionBy(SLICE, *keys).orderBy(*order)
+    numbered = dealt.repartitionById(shares, F.col(SLICE)).withColumn("__nth", F.row_number().over(window))
+    return numbered.filter(F.col("__nth") <= k).drop("__nth", SLICE)

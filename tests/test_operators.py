@@ -739,3 +739,14 @@ def test_top_k_deals_too_large_groups_out(spark, monkeypatch):
     assert found.count() == 2002
     assert found.filter("v is null and g = 1").count() == sum(v % 7 == 0 and g == 1 for v, g in numbers)
     assert found.filter("v is null and g is null").count() == 1001
+
+
+@pytest.mark.parametrize("name", ["rank_by_price", "rank_in_category"])
+def test_ranked_lines_are_joined_once(spark, monkeypatch, tmp_path, name):
+    parts = [(1, "p", "ECONOMY", 10), (None, "q", "PROMO", 20)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    lines = "l_orderkey long, l_partkey long, l_extendedprice double, l_quantity double, l_shipdate timestamp_ntz"
+    spark.createDataFrame([(1, 1, 2.0, 1.0, None), (2, None, 3.0, 1.0, None)], lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(windows, "dense_rank_within", lambda df, *_, **__: df)  # what it measures, it reads again
+    made = queries.QUERIES[name](spark, str(tmp_path))
+    assert "Join" not in plan(made) and [r.order_id for r in made.collect()] == [1]

@@ -444,13 +444,13 @@ def audit_columns(spark, sf):
 
 @query
 def rank_in_category(spark, sf):
-    lines = inputs.order_lines(spark, sf).select("order_id", "product_id", "category", "rating_rate")
+    lines = stage(inputs.order_lines(spark, sf).select("order_id", "product_id", "category", "rating_rate"), "lines")
     return windows.dense_rank_within(lines, ["category"], "rating_rate", "rank_in_category")
 
 
 @query
 def rank_by_price(spark, sf):
-    lines = inputs.order_lines(spark, sf).select("order_id", "category", "price")
+    lines = stage(inputs.order_lines(spark, sf).select("order_id", "category", "price"), "lines")
     return windows.dense_rank_within(lines, ["category"], "price", "price_rank", descending=False)
 
 

@@ -750,3 +750,10 @@ def test_ranked_lines_are_joined_once(spark, monkeypatch, tmp_path, name):
     monkeypatch.setattr(windows, "dense_rank_within", lambda df, *_, **__: df)  # what it measures, it reads again
     made = queries.QUERIES[name](spark, str(tmp_path))
     assert "Join" not in plan(made) and [r.order_id for r in made.collect()] == [1]
+
+
+def test_large_files_of_more_orders_are_more():
+    for size in (1, 10_000, 1_300_000, 77_000_000, 500_000_000):
+        large, larges, smalls = queries._fragments(size)
+        assert large <= queries.LARGE_FILE and size * 4 // 25 // larges <= 2 * queries.LARGE_FILE
+        assert size * 4 / 25 / larges >= 0.75 * large and size / 25 / smalls <= max(1, large / 6)

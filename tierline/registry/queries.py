@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -948,15 +949,29 @@ def compact_rows(spark, sf):
     return spark.read.parquet(path)
 
 
+LARGE_FILE = 2 << 20
+
+
+def _fragments(size: int) -> tuple[int, int, int]:
+    """The size of a large file, and how many tasks write the large and the small ones of a table of ``size`` bytes.
+
+    Five folders share four fifths of the table in large files and one fifth in small ones, of which six or more
+    make a large one."""
+    large = min(size // 8, LARGE_FILE)
+    return large, max(1, size * 4 // 25 // max(1, large)), max(20, math.ceil(size / 25 / max(1, large / 6)))
+
+
 @query
 def compact_small_files(spark, sf):
-    """Orders in folders that each hold a large file and many small ones, after packing the small ones."""
+    """Orders in folders that each hold large files and many small ones, after packing the small ones.
+
+    A large file has LARGE_FILE bytes or up to twice that, so that more orders make more files and no task
+    writes more than one of them a folder."""
     path, orders = scratch_path(spark, "fragments"), load(spark, sf, "orders")
-    recent = F.col("o_orderkey") % 5 == 0
-    orders.filter(~recent).repartition(1).write.partitionBy("o_orderpriority").parquet(path)
-    orders.filter(recent).repartition(20).write.mode("append").partitionBy("o_orderpriority").parquet(path)
-    largest = quality.table_stats(spark, orders).first()["bytes"] // 8
-    layout.compact_small(spark, path, largest)
+    recent, (large, larges, smalls) = F.col("o_orderkey") % 5 == 0, _fragments(quality.table_stats(spark, orders).first()["bytes"])
+    orders.filter(~recent).repartition(larges).write.partitionBy("o_orderpriority").parquet(path)
+    orders.filter(recent).repartition(smalls).write.mode("append").partitionBy("o_orderpriority").parquet(path)
+    layout.compact_small(spark, path, large)
     return spark.read.parquet(path)
 
 

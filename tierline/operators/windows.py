@@ -96,6 +96,9 @@ def dense_rank_within(
         ranked = number_within(distinct, keys, order, name, None)
     else:
         ranked = number_within(session.stage(distinct, "values"), keys, order, name, rows_per_task)
+    if most * width > settings.BROADCAST_BYTES and values * MIN_REPEAT <= rows:
+        # hashed: so few values beside the rows of each task, and the rows need not be sorted to meet them
+        return null_safe_join(df, ranked.hint("shuffle_hash"), pair)
     return null_safe_join(df, broadcast_if(ranked, most * width), pair)
 
 

@@ -757,3 +757,30 @@ def test_large_files_of_more_orders_are_more():
         large, larges, smalls = queries._fragments(size)
         assert large <= queries.LARGE_FILE and size * 4 // 25 // larges <= 2 * queries.LARGE_FILE
         assert size * 4 / 25 / larges >= 0.75 * large and size / 25 / smalls <= max(1, large / 6)
+
+
+def test_ranked_values_that_repeat_are_hashed(spark, monkeypatch):
+    monkeypatch.setattr(windows.settings, "BROADCAST_BYTES", 0)
+    df = spark.range(4000).selectExpr("if(id % 40 = 0, null, id % 40) AS v", "if(id % 3 = 0, null, id % 3) AS g")
+    ranked = windows.dense_rank_within(df, ["g"], "v", "r")
+    assert "ShuffledHashJoin" in plan(ranked) and "SortMergeJoin" not in plan(ranked)
+    assert rows(ranked) == rows(windows.dense_rank_within(df, ["g"], "v", "r", rows_per_task=None))
+
+
+def test_a_merge_computes_the_new_rows_once(spark, tmp_path):
+    table, prepared = f"{tmp_path}/table", f"{tmp_path}/prepared"
+    spark.range(5).selectExpr("id AS k", "'a' AS folder").write.partitionBy("folder").parquet(table)
+    drawn = F.udf(lambda: os.urandom(8).hex()).asNondeterministic()
+    new = spark.range(3, 8).select(F.col("id").alias("k"), drawn().alias("folder"))
+    upsert.prepare_merge(spark, table, new, "k", ["folder"], None, prepared)
+    touched, held = ({row.folder for row in spark.read.parquet(f"{prepared}/{part}").collect()} for part in ("touched", "rows"))
+    assert touched == held and len(held) == 6
+
+
+def test_a_later_load_computes_its_source_once(spark, tmp_path):
+    drawn = F.udf(lambda: int.from_bytes(os.urandom(6)), "long").asNondeterministic()
+    marked = lambda mark: spark.range(4).select(F.col("id").alias("k"), mark.alias("t"))
+    for mark in (F.lit(-1).cast("long"), drawn()):
+        incremental.load(marked(mark), str(tmp_path), "t", "incremental", "t", "k")
+    most = incremental.current(spark, str(tmp_path), "t").agg(F.max("t")).first()[0]
+    assert incremental.read_mark(spark, str(tmp_path), "t") == str(most)

@@ -22,7 +22,7 @@ from pyspark.sql.types import DataType, TimestampType
 
 from tierline import settings
 from tierline.operators.upsert import apply_merge, merge_frames, merged_view, one_per_key, prepare_merge
-from tierline.session import discard
+from tierline.session import discard, stage
 from tierline.sources.tables import publish
 
 STATE_SCHEMA = "table_name string, last_watermark string, seq bigint, snapshot string, pending string"
@@ -160,6 +160,8 @@ def load(
         raise ValueError(f"unknown load mode: {mode}")
     last = settled(spark, root, table)
     fresh = rows_after(df, mark_col, last.mark if last else None, inclusive)
+    if last is not None:
+        fresh = stage(fresh, "fresh")  # the merge reads it several times, and the source may be a long chain
     mark = high_mark(fresh, mark_col, last.mark if last else None)
     if last is not None and fresh.isEmpty():
         return last

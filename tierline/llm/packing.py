@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.llm.batches import bounded, give_back
+
 CAPACITY = 4096
 END_ID = 1
 CHUNK = 16_384  # pieces packed at a time
@@ -265,8 +267,11 @@ def pieces(
                     ],
                     names=[key, "piece", "start", "length", "ids"],
                 )
+            batch = whole = None
+        encoder = None
+        give_back()
 
-    return docs.select(key, F.col(text).alias("text")).mapInArrow(cut, schema)
+    return bounded(docs.select(key, F.col(text).alias("text"))).mapInArrow(cut, schema)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -362,5 +367,7 @@ def pack(
                     held, rows, size = [], 0, 0
         if held:
             yield from packed(held, opened)
+        batch = whole = held = None
+        give_back()
 
-    return spread.mapInArrow(place, schema)
+    return bounded(spread).mapInArrow(place, schema)

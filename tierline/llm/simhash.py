@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.llm.batches import bounded, give_back
 from tierline.llm.graph import attach, components
 from tierline.llm.tiles import Forest
 from tierline.session import stage
@@ -99,8 +100,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
                 batch = whole.slice(at, 1024)
                 found = fingerprints_of([t or "" for t in batch.column(1).to_pylist()], shingle)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=schema.names)
+            batch = whole = None
+        give_back()
 
-    return docs.select(key, F.col(text).alias("text")).mapInArrow(hashed, schema)
+    return bounded(docs.select(key, F.col(text).alias("text"))).mapInArrow(hashed, schema)
 
 
 def linked(left: np.ndarray, right: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
